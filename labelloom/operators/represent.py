@@ -6,49 +6,49 @@ The encoder is any function from a text column to an ARRAY<DOUBLE> column;
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.functions.vectors import unit
+from labelloom.functions.vectors import list_column, matrix, unit
 
 
-def token_buckets(text: Column, dims: int) -> Column:
-    """Bucket of every lower-case letter run, from the first 8 hex digits of its MD5."""
-    tokens = F.regexp_extract_all(F.lower(text), F.lit("([a-z]+)"), F.lit(1))
-    return F.transform(
-        tokens,
-        lambda t: (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % dims).cast("int"),
-    )
+def tokens(text: Column) -> Column:
+    """All runs of the letters a to z of the lower-cased text."""
+    return F.regexp_extract_all(F.lower(text), F.lit("([a-z]+)"), F.lit(1))
 
 
-def _counter(dims: int, weights: list[float] | None = None, normalize: bool = False):
-    scale = None if weights is None else np.asarray(weights, dtype=np.float64)
+def bucket_of(token: str, dims: int) -> int:
+    """Bucket of a token: the first 8 hexadecimal digits of its MD5, modulo ``dims``."""
+    return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dims
 
-    @F.pandas_udf("array<double>")
-    def count(buckets: pd.Series) -> pd.Series:
-        def one(b):
-            row = np.bincount(b, minlength=dims).astype(np.float64)
-            if scale is not None:
-                row *= scale
-            if normalize:
-                length = math.sqrt(float(row @ row))
-                row = row / length if length else row
-            return row
 
-        return buckets.map(one)
+def _counter(dims: int, normalize: bool):
+    @F.arrow_udf("array<double>")
+    def count(lists: pa.Array) -> pa.Array:
+        # Distinct tokens of the batch are hashed once; counting is one bincount.
+        words = lists.flatten().dictionary_encode()
+        buckets = np.array([bucket_of(w, dims) for w in words.dictionary.to_pylist()], dtype=np.int64)
+        rows = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        slots = rows * dims + (buckets[words.indices.to_numpy(zero_copy_only=False)] if len(rows) else rows)
+        counts = np.bincount(slots, minlength=len(lists) * dims).astype(np.float64).reshape(len(lists), dims)
+        if normalize:
+            length = np.sqrt((counts * counts).sum(1))
+            counts /= np.where(length == 0, 1.0, length)[:, None]
+        return list_column(counts)
 
     return count
 
 
 def hashed_vector(text: Column, dims: int = 256, normalize: bool = True) -> Column:
     """Hashed token counts of a text.  Row-local: no shuffle, whole texts."""
-    return _counter(dims, None, normalize)(token_buckets(text, dims))
+    return _counter(dims, normalize)(tokens(text))
 
 
 def document_frequency(df: DataFrame, v: str = "v") -> DataFrame:
@@ -79,8 +79,6 @@ def long_form(df: DataFrame, key: str, v: str = "v") -> DataFrame:
 
 def projection_signs(dims: int, out_dims: int, seed: int = 42) -> np.ndarray:
     """±1 matrix from MD5 parities, the same on every engine."""
-    import hashlib
-
     signs = np.empty((out_dims, dims))
     for j in range(out_dims):
         for i in range(dims):
@@ -95,11 +93,9 @@ def random_projection(df: DataFrame, dims: int, out_dims: int, v: str = "v", see
         raise ValueError("out_dims must be at least 1 and below the input dimension")
     signs = projection_signs(dims, out_dims, seed).T / math.sqrt(out_dims)
 
-    @F.pandas_udf("array<double>")
-    def project(vectors: pd.Series) -> pd.Series:
-        if len(vectors) == 0:
-            return pd.Series([], dtype=object)
-        return pd.Series(list(np.stack(vectors.to_numpy()) @ signs))
+    @F.arrow_udf("array<double>")
+    def project(vectors: pa.Array) -> pa.Array:
+        return list_column(matrix(vectors) @ signs if len(vectors) else np.zeros((0, out_dims)))
 
     return df.withColumn(v, project(F.col(v)))
 
@@ -124,11 +120,11 @@ def fuse(parts: list[Column], weights: list[float] | None = None) -> Column:
     """Weighted concatenation of unit parts, scaled to unit length; one part passes through."""
     if len(parts) < 2:
         return parts[0]
-    scaled = [
-        F.transform(unit(p), lambda x, w=w: x * F.lit(float(w)))
-        for p, w in zip(parts, resolve_weights(len(parts), weights))
-    ]
-    return unit(F.concat(*scaled))
+
+    def scaled(part: Column, weight: float) -> Column:
+        return F.transform(unit(part), lambda x: x * F.lit(weight))
+
+    return unit(F.concat(*[scaled(p, w) for p, w in zip(parts, resolve_weights(len(parts), weights))]))
 
 
 def simplex_grid(n_models: int, steps: int = 5) -> list[tuple[float, ...]]:

@@ -10,19 +10,16 @@ up to which callers that may choose take the exact value; beyond it they take
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.functions.vectors import matrix, squared_distances
-from labelloom.scratch import cut, parallelism, settle
+from labelloom.functions.vectors import squared_distances
+from labelloom.operators.pairs import BLOCK_ROWS, pairwise
+from labelloom.scratch import cut, settle
 
-BLOCK_ROWS = 1024
 EXACT_ROWS = 200_000
 
 
@@ -34,7 +31,6 @@ def silhouette_rows(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFram
     (first of the equal points), cluster, weight, s; points of a lone cluster
     give NULL.
     """
-    session = points.sparkSession
     distinct = cut(
         points.groupBy("grp", "v", "labs").agg(
             F.min("id").alias("id"), F.count(F.lit(1)).cast("double").alias("weight")
@@ -47,77 +43,41 @@ def silhouette_rows(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFram
         .agg(F.sum("weight").alias("size")),
         "silhouette_sizes",
     )
-    blocks = settle(
-        distinct.groupBy("grp").agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("bigint").alias("n_blocks")
-        ),
-        "silhouette_blocks",
-    )
-    packed = (
-        distinct.join(blocks, "grp")
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")))
-        .groupBy("grp", "block", "n_blocks")
-        .agg(
-            F.collect_list("id").alias("ids"),
-            F.collect_list("v").alias("vs"),
-            F.collect_list("labs").alias("labs"),
-            F.collect_list("weight").alias("weights"),
-        )
-    )
-    packed = cut(packed, "silhouette_packed")
-    pairs = packed.select(
-        "grp", F.col("block").alias("a"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_blocks") - 1)).alias("b")
-    ).repartition(parallelism(session), "grp", "a", "b")
-    left = packed.select(
-        "grp", F.col("block").alias("a"), F.col("ids").alias("a_ids"), F.col("vs").alias("a_vs"),
-        F.col("labs").alias("a_labs"), F.col("weights").alias("a_weights"),
-    )
-    right = packed.select(
-        "grp", F.col("block").alias("b"), F.col("vs").alias("b_vs"), F.col("labs").alias("b_labs"),
-        F.col("weights").alias("b_weights"),
-    )
-    joined = pairs.join(right, ["grp", "b"]).join(left, ["grp", "a"]).select(
-        "grp", "a_ids", "a_vs", "a_labs", "a_weights", "b_vs", "b_labs", "b_weights"
-    )
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                grp = batch["grp"][row].as_py()
-                ids = batch["a_ids"][row].values.to_numpy(zero_copy_only=False)
-                x, y = matrix(batch["a_vs"][row].values), matrix(batch["b_vs"][row].values)
-                own = matrix(batch["a_labs"][row].values).astype(np.int64)
-                labs = matrix(batch["b_labs"][row].values).astype(np.int64)
-                a_weight = batch["a_weights"][row].values.to_numpy(zero_copy_only=False)
-                weight = batch["b_weights"][row].values.to_numpy(zero_copy_only=False)
-                d = np.sqrt(squared_distances(x, y))
-                for cand in range(labs.shape[1]):
-                    found, code = np.unique(labs[:, cand], return_inverse=True)
-                    marks = np.zeros((len(y), len(found)))
-                    marks[np.arange(len(y)), code] = weight
-                    total = d @ marks
-                    n, m = total.shape
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(n * m, grp, dtype=np.int64)),
-                            pa.array(np.full(n * m, cand, dtype=np.int32)),
-                            pa.array(np.repeat(ids, m)),
-                            pa.array(np.repeat(a_weight, m)),
-                            pa.array(np.repeat(own[:, cand], m)),
-                            pa.array(np.tile(found, n)),
-                            pa.array(total.ravel()),
-                        ],
-                        ["grp", "cand", "id", "weight", "own", "cluster", "total"],
-                    )
+    def sums(grp: int, a: dict, b: dict):
+        own = a["labs"].astype(np.int64)
+        labs = b["labs"].astype(np.int64)
+        d = np.sqrt(squared_distances(a["v"], b["v"]))
+        for cand in range(labs.shape[1]):
+            found, code = np.unique(labs[:, cand], return_inverse=True)
+            marks = np.zeros((len(d[0]), len(found)))
+            marks[np.arange(len(code)), code] = b["weight"]
+            total = d @ marks
+            n, m = total.shape
+            yield {
+                "grp": np.full(n * m, grp, dtype=np.int64),
+                "cand": np.full(n * m, cand, dtype=np.int32),
+                "id": np.repeat(a["id"], m),
+                "weight": np.repeat(a["weight"], m),
+                "own": np.repeat(own[:, cand], m),
+                "cluster": np.tile(found, n),
+                "total": total.ravel(),
+            }
 
     total = (
-        joined.mapInArrow(
-            sums,
+        pairwise(
+            distinct, ["labs", "weight"], sums,
             "grp bigint, cand int, id bigint, weight double, own bigint, cluster bigint, total double",
+            block_rows,
         )
         .groupBy("grp", "cand", "id", "weight", "own", "cluster")
         .agg(F.sum("total").alias("total"))
     )
+    return score_totals(total, sizes)
+
+
+def score_totals(total: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Silhouettes from distance sums per (point, cluster) and cluster sizes."""
     mine = F.col("own") == F.col("cluster")
     per_point = (
         total.join(sizes.withColumn("cluster", F.col("cluster").cast("bigint")), ["grp", "cand", "cluster"])

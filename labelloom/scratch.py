@@ -43,7 +43,7 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def settle(df: DataFrame, max_rows: int = 20_000, name: str = "small") -> DataFrame:
+def settle(df: DataFrame, name: str = "small", max_rows: int = 20_000) -> DataFrame:
     """Fix a table that is expected to be small.
 
     Up to ``max_rows`` rows become a local table, which Spark broadcasts by its
