@@ -43,6 +43,7 @@ class Layout:
     rows: np.ndarray
     chunks: np.ndarray
     max_extra: np.ndarray
+    pivot_extra: np.ndarray
 
     @property
     def pivot_gaps(self) -> np.ndarray:
@@ -75,7 +76,8 @@ def build_cells(
     if n <= cell_rows:
         return _single_cell(points, extra, n)
     wanted = max(1, min(max_pivots, math.ceil(n / cell_rows), MAX_PIVOT_BYTES // (8 * max(dims, 1))))
-    chosen = points.orderBy(F.xxhash64("id"), "id").limit(wanted).select("v").collect()
+    more = (F.col(extra) if extra else F.lit(0.0)).cast("double").alias("extra")
+    chosen = points.orderBy(F.xxhash64("id"), "id").limit(wanted).select("v", more).collect()
     pivots = np.array([r.v for r in chosen], dtype=np.float64).reshape(len(chosen), dims)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +92,7 @@ def build_cells(
                 ["id", "v", "extra", "pivot", "gap"],
             )
 
-    source = points.select("id", "v", (F.col(extra) if extra else F.lit(0.0)).cast("double").alias("extra"))
+    source = points.select("id", "v", more)
     placed = cut(
         spread(source).mapInArrow(
             place, "id bigint, v array<double>, extra double, pivot bigint, gap double"
@@ -161,6 +163,7 @@ def build_cells(
         np.array(columns[2], dtype=np.int64),
         np.array(columns[6], dtype=np.int64),
         np.array(columns[5], dtype=np.float64),
+        np.array([r.extra for r in chosen], dtype=np.float64),
     )
     return Cells(cut(packed.repartition(parallelism(session), "cell"), "packed"), layout)
 
@@ -182,7 +185,7 @@ def _single_cell(points: DataFrame, extra: str | None, n: int) -> Cells:
     zero = np.zeros(1, dtype=np.int64)
     layout = Layout(
         pivot, zero, zero, np.array([gaps.min()]), np.array([gaps.max()]), np.array([n]),
-        zero + 1, np.array([max(row.extra)]),
+        zero + 1, np.array([max(row.extra)]), np.array(row.extra[:1]),
     )
     return Cells(packed, layout)
 

@@ -248,9 +248,9 @@ def _flags(spark, sf):
 
 @query("validation_flags", f"""
 WITH {E_NOISE_SQL}, {_FLAGS_SQL}
-SELECT flag_type, cluster_a::BIGINT AS cluster_a, cluster_b::BIGINT AS cluster_b, round(similarity, 6) + 0e0 AS similarity FROM flags""")
+SELECT flag_type, cluster_a::BIGINT AS cluster_a, coalesce(cluster_b, -1)::BIGINT AS cluster_b, round(similarity, 6) + 0e0 AS similarity FROM flags""")
 def validation_flags(spark, sf):
-    return _flags(spark, sf).select("flag_type", "cluster_a", "cluster_b", r6("similarity").alias("similarity"))
+    return _flags(spark, sf).select("flag_type", "cluster_a", F.coalesce("cluster_b", F.lit(-1)).alias("cluster_b"), r6("similarity").alias("similarity"))
 
 
 @query("consistency_score", f"""
