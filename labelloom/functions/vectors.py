@@ -39,9 +39,18 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def unit(v: Column) -> Column:
-    """L2-normalised vector; a zero vector stays zero."""
-    length = norm(v)
-    return F.when(length == 0, v).otherwise(F.transform(v, lambda x: x / length))
+    """L2-normalised vector; a zero vector stays zero.
+
+    The one-element array binds the length, which a plain reference inside the
+    inner lambda would compute again for every entry.
+    """
+    length = F.array(norm(v))
+    return F.get(
+        F.transform(
+            length, lambda n: F.when(n == 0, v).otherwise(F.transform(v, lambda x: x / n))
+        ),
+        F.lit(0),
+    )
 
 
 def centroids(df: DataFrame, key: str, v: str = "v") -> DataFrame:
@@ -75,3 +84,18 @@ def list_column(m: np.ndarray) -> pa.Array:
 def squared_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     d2 = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2.0 * (x @ y.T)
     return np.maximum(d2, 0.0)
+
+
+def to_bytes(column: pa.Array) -> bytes:
+    """A column of numbers or of equally long lists as raw 8-byte values."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if pa.types.is_list(column.type):
+        column = column.flatten()
+    kind = np.int64 if pa.types.is_integer(column.type) else np.float64
+    return column.to_numpy(zero_copy_only=False).astype(kind, copy=False).tobytes()
+
+
+def from_bytes(raw: pa.Scalar, rows: int, kind: type = np.float64, wide: bool = False) -> np.ndarray:
+    values = np.frombuffer(raw.as_buffer(), dtype=kind)
+    return values.reshape(rows, -1) if wide else values

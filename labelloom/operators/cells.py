@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.functions.vectors import list_column, matrix, squared_distances
+from labelloom.functions.vectors import from_bytes, list_column, matrix, squared_distances, to_bytes
 from labelloom.scratch import cut, parallelism, spread
 
 CELL_ROWS = 1024
@@ -52,12 +52,28 @@ class Layout:
 
 @dataclass
 class Cells:
-    """``packed`` has one row per cell: cell, ids, vs, extra."""
+    """``packed`` has one row per cell: cell, n and the raw bytes of ids, vs and extra."""
 
     packed: DataFrame
     layout: Layout
 
 
+_PACKED = "cell bigint, n bigint, ids binary, vs binary, extra binary"
+
+
+def _pack(group: pa.Table) -> pa.Table:
+    """One row of raw bytes per cell, so that joins move buffers instead of nested arrays."""
+    return pa.table(
+        {
+            "cell": group["cell"].slice(0, 1),
+            "n": pa.array([group.num_rows]),
+            "ids": pa.array([to_bytes(group["id"])], type=pa.binary()),
+            "vs": pa.array([to_bytes(group["v"])], type=pa.binary()),
+            "extra": pa.array([to_bytes(group["extra"])], type=pa.binary()),
+        }
+    )
+
+
 def _cell_key(pivot, ring, chunk):
     return (pivot << 32) + (ring << 24) + chunk
 
@@ -147,11 +163,7 @@ def build_cells(
             + F.pmod(F.xxhash64("id"), F.col("n_chunks")),
         )
         .groupBy("cell")
-        .agg(
-            F.collect_list("id").alias("ids"),
-            F.collect_list("v").alias("vs"),
-            F.collect_list("extra").alias("extra"),
-        )
+        .applyInArrow(_pack, _PACKED)
     )
     columns = list(zip(*rings))
     layout = Layout(
@@ -165,34 +177,39 @@ def build_cells(
         np.array(columns[5], dtype=np.float64),
         np.array([r.extra for r in chosen], dtype=np.float64),
     )
-    return Cells(cut(packed.repartition(parallelism(session), "cell"), "packed"), layout)
+    return Cells(cut(packed, "packed"), layout)
 
 
 def _single_cell(points: DataFrame, extra: str | None, n: int) -> Cells:
     """All points in one cell; only called for at most ``cell_rows`` points."""
     packed = cut(
-        points.groupBy(F.lit(0).cast("bigint").alias("cell")).agg(
-            F.collect_list("id").alias("ids"),
-            F.collect_list("v").alias("vs"),
-            F.collect_list((F.col(extra) if extra else F.lit(0.0)).cast("double")).alias("extra"),
-        ),
+        points.select(
+            F.lit(0).cast("bigint").alias("cell"), "id", "v",
+            (F.col(extra) if extra else F.lit(0.0)).cast("double").alias("extra"),
+        ).groupBy("cell").applyInArrow(_pack, _PACKED),
         "packed",
     )
     row = packed.first()
-    x = np.array(row.vs, dtype=np.float64)
+    x = np.frombuffer(row.vs, dtype=np.float64).reshape(n, -1)
+    more = np.frombuffer(row.extra, dtype=np.float64)
     pivot = x[:1]
     gaps = np.sqrt(squared_distances(pivot, x))[0]
     zero = np.zeros(1, dtype=np.int64)
     layout = Layout(
         pivot, zero, zero, np.array([gaps.min()]), np.array([gaps.max()]), np.array([n]),
-        zero + 1, np.array([max(row.extra)]), np.array(row.extra[:1]),
+        zero + 1, more.max(keepdims=True), more[:1],
     )
     return Cells(packed, layout)
 
 
-def block_of(ids: pa.Array, vs: pa.Array, row: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and matrix of one packed cell."""
-    return ids[row].values.to_numpy(zero_copy_only=False), matrix(vs[row].values)
+def block_of(batch: pa.RecordBatch, row: int, side: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, matrix and extra values of one packed cell."""
+    n = batch[f"{side}n"][row].as_py()
+    return (
+        from_bytes(batch[f"{side}ids"][row], n, np.int64),
+        from_bytes(batch[f"{side}vs"][row], n, wide=True),
+        from_bytes(batch[f"{side}extra"][row], n),
+    )
 
 
 def reachable(layout: Layout, cell: int, x: np.ndarray, radius: np.ndarray) -> np.ndarray:
@@ -231,8 +248,7 @@ def with_targets(
         for batch in batches:
             for row in range(batch.num_rows):
                 cell = batch["cell"][row].as_py()
-                ids, x = block_of(batch["ids"], batch["vs"], row)
-                extra = batch["extra"][row].values.to_numpy(zero_copy_only=False)
+                ids, x, extra = block_of(batch, row)
                 reach = radius(cell, ids, x, extra)
                 found = reachable(layout, cell, x, reach)
                 if symmetric:
@@ -241,20 +257,20 @@ def with_targets(
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([cell]),
+                        batch["n"].slice(row, 1),
                         batch["ids"].slice(row, 1),
                         batch["vs"].slice(row, 1),
                         batch["extra"].slice(row, 1),
-                        list_column(per_row[None, :]),
+                        pa.array([per_row.astype(np.float64).tobytes()], type=pa.binary()),
                         list_column(found[None, :]),
                     ],
-                    ["cell", "ids", "vs", "extra", "radius", "targets"],
+                    ["cell", "n", "ids", "vs", "extra", "radius", "targets"],
                 )
 
     return cut(
         cells.packed.mapInArrow(
             target,
-            "cell bigint, ids array<bigint>, vs array<array<double>>, extra array<double>,"
-            " radius array<double>, targets array<bigint>",
+            f"{_PACKED}, radius binary, targets array<bigint>",
         ),
         "targets",
     )
@@ -272,26 +288,23 @@ def join_cells(
         parallelism(session), "a_cell", "b_cell"
     )
     a = sources.select(
-        F.col("cell").alias("a_cell"), F.col("ids").alias("a_ids"), F.col("vs").alias("a_vs"),
-        F.col("extra").alias("a_extra"), F.col("radius").alias("a_radius"),
+        *[F.col(c).alias(f"a_{c}") for c in ("cell", "n", "ids", "vs", "extra", "radius")]
     )
     b = cells.packed.select(
-        F.col("cell").alias("b_cell"), F.col("ids").alias("b_ids"), F.col("vs").alias("b_vs"),
-        F.col("extra").alias("b_extra"),
+        *[F.col(c).alias(f"b_{c}") for c in ("cell", "n", "ids", "vs", "extra")]
     )
     names = [part.split()[0] for part in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                a_ids, a_vs = block_of(batch["a_ids"], batch["a_vs"], row)
-                b_ids, b_vs = block_of(batch["b_ids"], batch["b_vs"], row)
+                a_ids, a_vs, a_extra = block_of(batch, row, "a_")
+                b_ids, b_vs, b_extra = block_of(batch, row, "b_")
                 out = kernel(
                     same=batch["a_cell"][row].as_py() == batch["b_cell"][row].as_py(),
                     a_ids=a_ids, a=a_vs, b_ids=b_ids, b=b_vs,
-                    a_radius=batch["a_radius"][row].values.to_numpy(zero_copy_only=False),
-                    a_extra=batch["a_extra"][row].values.to_numpy(zero_copy_only=False),
-                    b_extra=batch["b_extra"][row].values.to_numpy(zero_copy_only=False),
+                    a_radius=from_bytes(batch["a_radius"][row], len(a_ids)),
+                    a_extra=a_extra, b_extra=b_extra,
                 )
                 yield pa.RecordBatch.from_arrays([pa.array(out[c]) for c in names], names)
 

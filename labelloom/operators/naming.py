@@ -95,26 +95,44 @@ def keyword_labels(df: DataFrame) -> DataFrame:
     )
 
 
+def label_tokens(content: Column) -> Column:
+    return F.regexp_extract_all(F.lower(content), F.lit(TOKEN), F.lit(1))
+
+
 def token_labels(df: DataFrame, top: int = 2) -> DataFrame:
     """(cluster_id, label): most common tokens, ties by first appearance.
 
-    The place of first appearance is packed into one decimal so that counting
-    stays a hash aggregation with partial sums.
+    Counts and first rows are plain partial sums over numbers.  The place inside
+    a row only matters between tokens that tie in both, so only the rows in
+    which such tokens first appear are looked at again.
     """
-    tokens = df.select(
-        "cluster_id", "id",
-        F.posexplode(F.regexp_extract_all(F.lower("content"), F.lit(TOKEN), F.lit(1))).alias("ix", "token"),
-    ).where(~F.col("token").isin(STOPWORDS))
-    place = F.col("id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("ix")
+    tokens = df.select("cluster_id", "id", F.explode(label_tokens(F.col("content"))).alias("token")).where(
+        ~F.col("token").isin(STOPWORDS)
+    )
     counts = tokens.groupBy("cluster_id", "token").agg(
-        F.count(F.lit(1)).alias("n"), F.min(place).alias("first")
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("first")
     )
-    rank = F.row_number().over(Window.partitionBy("cluster_id").orderBy(F.desc("n"), "first"))
-    best = counts.withColumn("rank", rank).where(F.col("rank") <= top)
+    place = F.rank().over(Window.partitionBy("cluster_id").orderBy(F.desc("n"), "first"))
+    best = settle(counts.withColumn("place", place).where(F.col("place") <= top), "token_candidates")
+    tied = best.groupBy("cluster_id", "place").count().where(F.col("count") > 1)
+    if tied.isEmpty():
+        ordered = best.withColumn("ix", F.lit(0))
+    else:
+        again = df.join(best.select("cluster_id", F.col("first").alias("id")).distinct(), ["cluster_id", "id"])
+        places = again.select(
+            "cluster_id", F.col("id").alias("first"), F.posexplode(label_tokens(F.col("content"))).alias("ix", "token")
+        )
+        ordered = (
+            places.join(best, ["cluster_id", "first", "token"])
+            .groupBy("cluster_id", "token", "n", "first")
+            .agg(F.min("ix").alias("ix"))
+        )
+    rank = F.row_number().over(Window.partitionBy("cluster_id").orderBy(F.desc("n"), "first", "ix"))
+    kept = ordered.withColumn("rank", rank).where(F.col("rank") <= top)
     joined = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "token"))), lambda s: s["token"]), " "
     )
-    return best.groupBy("cluster_id").agg(joined.alias("label"))
+    return kept.groupBy("cluster_id").agg(joined.alias("label"))
 
 
 def confidence(label: Column, size: Column) -> Column:

@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegralType
 
-from labelloom.functions.vectors import matrix
+from labelloom.functions.vectors import from_bytes, matrix, to_bytes
 from labelloom.scratch import cut, parallelism, settle
 
 BLOCK_ROWS = 1024
@@ -45,26 +46,42 @@ def pairwise(
         ),
         "blocks",
     )
+    types = {c: points.schema[c].dataType for c in names}
+    wide = {c: isinstance(types[c], ArrayType) for c in names}
+    entries = {c: types[c].elementType if wide[c] else types[c] for c in names}
+    kinds = {c: np.int64 if isinstance(entries[c], IntegralType) else np.float64 for c in names}
+
+    def pack(group: pa.Table) -> pa.Table:
+        raw = {c: pa.array([to_bytes(group[c])], type=pa.binary()) for c in names}
+        head = {c: group[c].slice(0, 1) for c in ("grp", "block", "n_blocks")}
+        return pa.table({**head, "n": pa.array([group.num_rows]), **raw})
+
     packed = cut(
         points.join(blocks, "grp")
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")))
+        .select("grp", F.pmod(F.xxhash64("id"), F.col("n_blocks")).alias("block"), "n_blocks", *names)
         .groupBy("grp", "block", "n_blocks")
-        .agg(*[F.collect_list(c).alias(c) for c in names]),
+        .applyInArrow(
+            pack, "grp bigint, block bigint, n_blocks bigint, n bigint, " + ", ".join(f"{c} binary" for c in names)
+        ),
         "packed_blocks",
     )
     pairs = packed.select(
         "grp", F.col("block").alias("a"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_blocks") - 1)).alias("b"),
     ).repartition(parallelism(session), "grp", "a", "b")
-    left = packed.select("grp", F.col("block").alias("a"), *[F.col(c).alias(f"a_{c}") for c in names])
-    right = packed.select("grp", F.col("block").alias("b"), *[F.col(c).alias(f"b_{c}") for c in names])
+    left = packed.select("grp", F.col("block").alias("a"), *[F.col(c).alias(f"a_{c}") for c in ("n", *names)])
+    right = packed.select("grp", F.col("block").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("n", *names)])
     joined = pairs.join(right, ["grp", "b"]).join(left, ["grp", "a"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 sides = [
-                    {c: as_array(batch[f"{side}_{c}"][row].values) for c in names} for side in "ab"
+                    {
+                        c: from_bytes(batch[f"{side}_{c}"][row], batch[f"{side}_n"][row].as_py(), kinds[c], wide[c])
+                        for c in names
+                    }
+                    for side in "ab"
                 ]
                 for out in kernel(batch["grp"][row].as_py(), *sides):
                     yield pa.RecordBatch.from_arrays([pa.array(out[c]) for c in out_names], out_names)
