@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.functions.vectors import from_bytes, list_column, matrix, squared_distances, to_bytes
@@ -44,6 +44,7 @@ class Layout:
     chunks: np.ndarray
     max_extra: np.ndarray
     pivot_extra: np.ndarray
+    first_id: np.ndarray
 
     @property
     def pivot_gaps(self) -> np.ndarray:
@@ -52,10 +53,14 @@ class Layout:
 
 @dataclass
 class Cells:
-    """``packed`` has one row per cell: cell, n and the raw bytes of ids, vs and extra."""
+    """``packed`` has one row per cell: cell, n and the raw bytes of ids, vs and extra.
+
+    ``placed`` holds the single rows with their pivot and ring.
+    """
 
     packed: DataFrame
     layout: Layout
+    placed: DataFrame | None = None
 
 
 _PACKED = "cell bigint, n bigint, ids binary, vs binary, extra binary"
@@ -117,7 +122,7 @@ def build_cells(
     )
     spans = placed.groupBy("pivot").agg(
         F.count(F.lit(1)).alias("rows"), F.min("gap").alias("low"), F.max("gap").alias("high"),
-        F.max("extra").alias("max_extra"),
+        F.max("extra").alias("max_extra"), F.min("id").alias("first_id"),
     ).collect()
     session = points.sparkSession
     ring_counts = {
@@ -125,7 +130,7 @@ def build_cells(
         for r in spans
     }
     if max(ring_counts.values()) == 1:
-        rings = [(r.pivot, 0, r.rows, r.low, r.high, r.max_extra) for r in spans]
+        rings = [(r.pivot, 0, r.rows, r.low, r.high, r.max_extra, r.first_id) for r in spans]
         ringed = placed.withColumn("ring", F.lit(0).cast("bigint"))
     else:
         widths = session.createDataFrame(
@@ -143,17 +148,40 @@ def build_cells(
             ).cast("bigint"),
         )
         rings = [
-            (r.pivot, r.ring, r.rows, r.low, r.high, r.max_extra)
+            (r.pivot, r.ring, r.rows, r.low, r.high, r.max_extra, r.first_id)
             for r in ringed.groupBy("pivot", "ring").agg(
                 F.count(F.lit(1)).alias("rows"), F.min("gap").alias("low"), F.max("gap").alias("high"),
-                F.max("extra").alias("max_extra"),
+                F.max("extra").alias("max_extra"), F.min("id").alias("first_id"),
             ).collect()
         ]
-    rings = [(*r, max(1, math.ceil(r[2] / cell_rows))) for r in sorted(rings)]
-    ring_table = session.createDataFrame(
-        [(r[0], r[1], r[6]) for r in rings], "pivot bigint, ring bigint, n_chunks bigint"
+    layout = _layout(pivots, np.array([r.extra for r in chosen], dtype=np.float64), rings, cell_rows)
+    return Cells(cut(_pack_cells(ringed, layout), "packed"), layout, ringed)
+
+
+def _layout(pivots: np.ndarray, pivot_extra: np.ndarray, rings: list[tuple], cell_rows: int) -> Layout:
+    """Layout of rings given as (pivot, ring, rows, low, high, max_extra, first_id)."""
+    columns = list(zip(*sorted(rings))) or [()] * 7
+    rows = np.array(columns[2], dtype=np.int64)
+    return Layout(
+        pivots,
+        np.array(columns[0], dtype=np.int64),
+        np.array(columns[1], dtype=np.int64),
+        np.array(columns[3], dtype=np.float64),
+        np.array(columns[4], dtype=np.float64),
+        rows,
+        np.maximum(1, -(-rows // cell_rows)),
+        np.array(columns[5], dtype=np.float64),
+        pivot_extra,
+        np.array(columns[6], dtype=np.int64),
+    )
+
+
+def _pack_cells(ringed: DataFrame, layout: Layout) -> DataFrame:
+    ring_table = ringed.sparkSession.createDataFrame(
+        list(zip(layout.ring_pivot.tolist(), layout.ring_no.tolist(), layout.chunks.tolist())),
+        "pivot bigint, ring bigint, n_chunks bigint",
     )
-    packed = (
+    return (
         # At most MAX_PIVOTS * MAX_RINGS rows of three numbers.
         ringed.join(F.broadcast(ring_table), ["pivot", "ring"])
         .withColumn(
@@ -165,19 +193,35 @@ def build_cells(
         .groupBy("cell")
         .applyInArrow(_pack, _PACKED)
     )
-    columns = list(zip(*rings))
-    layout = Layout(
-        pivots,
-        np.array(columns[0], dtype=np.int64),
-        np.array(columns[1], dtype=np.int64),
-        np.array(columns[3], dtype=np.float64),
-        np.array(columns[4], dtype=np.float64),
-        np.array(columns[2], dtype=np.int64),
-        np.array(columns[6], dtype=np.int64),
-        np.array(columns[5], dtype=np.float64),
-        np.array([r.extra for r in chosen], dtype=np.float64),
+
+def split_leaders(cells: Cells, leaders: int) -> tuple[Cells, Cells]:
+    """Cells of the ``leaders`` earliest rows of every pivot, and cells of the other rows."""
+    rank = F.row_number().over(Window.partitionBy("pivot").orderBy("id"))
+    ranked = cells.placed.withColumn("rank", rank).where(F.col("rank") <= leaders)
+    head = cut(ranked.drop("rank").withColumn("ring", F.lit(0).cast("bigint")), "leaders")
+    tail = cells.placed.join(head.select("id"), "id", "left_anti")
+    return _part(head, cells.layout), _part(cut(tail, "followers"), cells.layout)
+
+
+def _part(rows: DataFrame, whole: Layout, cell_rows: int = CELL_ROWS) -> Cells:
+    """Cells of some of the placed rows, with the same pivots and ring numbers."""
+    rings = [
+        (r.pivot, r.ring, r.rows, r.low, r.high, 0.0, r.first_id)
+        for r in rows.groupBy("pivot", "ring").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("gap").alias("low"), F.max("gap").alias("high"),
+            F.min("id").alias("first_id"),
+        ).collect()
+    ]
+    layout = _layout(whole.pivots, whole.pivot_extra, rings, cell_rows)
+    return Cells(cut(_pack_cells(rows, layout), "packed_part"), layout, rows)
+
+
+def repack(points: DataFrame, cells: Cells, extra: str, cell_rows: int = CELL_ROWS) -> Cells:
+    """The same cells with another BIGINT or DOUBLE column as ``extra``."""
+    rows = cells.placed.drop("extra").join(points.select("id", F.col(extra).alias("extra")), "id").select(
+        "id", "v", "extra", "pivot", "gap", "ring"
     )
-    return Cells(cut(packed, "packed"), layout)
+    return Cells(cut(_pack_cells(rows, cells.layout), "repacked"), cells.layout, rows)
 
 
 def _single_cell(points: DataFrame, extra: str | None, n: int) -> Cells:
@@ -197,7 +241,7 @@ def _single_cell(points: DataFrame, extra: str | None, n: int) -> Cells:
     zero = np.zeros(1, dtype=np.int64)
     layout = Layout(
         pivot, zero, zero, np.array([gaps.min()]), np.array([gaps.max()]), np.array([n]),
-        zero + 1, more.max(keepdims=True), more[:1],
+        zero + 1, more.max(keepdims=True), more[:1], zero,
     )
     return Cells(packed, layout)
 
@@ -236,13 +280,15 @@ def with_targets(
     cells: Cells,
     radius: Callable[[int, np.ndarray, np.ndarray, np.ndarray], np.ndarray],
     symmetric: bool,
+    targets: Layout | None = None,
 ) -> DataFrame:
     """Packed cells with the radius of every row and the cells they must meet.
 
     ``radius(cell, ids, x, extra)`` gives one radius per row, or one per row and ring.
-    With ``symmetric`` a pair of cells appears once.
+    With ``symmetric`` a pair of cells appears once.  ``targets`` are the rings
+    to meet, by default the own ones.
     """
-    layout = cells.layout
+    layout = targets or cells.layout
 
     def target(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

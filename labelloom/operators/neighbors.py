@@ -9,9 +9,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.functions.vectors import norm, unit
-from labelloom.operators.cells import CELL_ROWS, build_cells, join_cells, reachable, with_targets
+from labelloom.operators.cells import (
+    CELL_ROWS, build_cells, join_cells, repack, split_leaders, with_targets,
+)
 from labelloom.scratch import cut
 
+# Below the row-number limit that Spark applies before a shuffle.
+LEADERS = 512
+PLAIN_CHUNKS = 8
+
 
 def _exact_distances(x: np.ndarray, y: np.ndarray, picks: np.ndarray) -> np.ndarray:
     """Distances of every row of x to its picked rows of y, without cancellation."""
@@ -152,6 +158,66 @@ def lof(points: DataFrame, k: int = 20, edges: DataFrame | None = None) -> DataF
     return scored.unionByName(rest.join(last, "v").select("id", "lof"))
 
 
+def _match_kernel(threshold: float, symmetric: bool):
+    """Smallest earlier id at or above the threshold, for the rows of a (and of b)."""
+    none = np.iinfo(np.int64).max
+
+    def match(same, a_ids, a, b_ids, b, a_radius, a_extra, b_extra):
+        hit = a @ b.T >= threshold
+        for_a = np.where(hit & (b_ids[None, :] < a_ids[:, None]), b_ids[None, :], none).min(1)
+        ids, first = a_ids, for_a
+        if symmetric and not same:
+            for_b = np.where(hit & (a_ids[:, None] < b_ids[None, :]), a_ids[:, None], none).min(0)
+            ids, first = np.concatenate([a_ids, b_ids]), np.concatenate([for_a, for_b])
+        ok = first < none
+        return {"id": ids[ok], "first_id": first[ok]}
+
+    return match
+
+
+def _matches_between(distinct: DataFrame, threshold: float, cell_rows: int) -> DataFrame:
+    """(id, first_id) among distinct unit vectors.
+
+    When a ring fills more than ``PLAIN_CHUNKS`` cells its members may all be
+    alike, and all of its chunks would meet each other.  Then every row first
+    meets the ``LEADERS`` earliest rows of each pivot.  The others of a pivot
+    have larger ids than its leaders, so a row that matched a leader needs none
+    of them: the second pass takes a ring's other rows only for rows whose best
+    match so far is later than the earliest of them.  Nothing is left out.
+    """
+    cells = build_cells(distinct, cell_rows=cell_rows)
+    limit = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
+    schema = "id bigint, first_id bigint"
+    if cells.layout.chunks.max() <= PLAIN_CHUNKS:
+        sources = with_targets(cells, lambda cell, ids, x, extra: np.full(len(x), limit), symmetric=True)
+        found = join_cells(cells, sources, _match_kernel(threshold, True), schema)
+        return found.groupBy("id").agg(F.min("first_id").alias("first_id"))
+    leaders, rest = split_leaders(cells, LEADERS)
+    to_leaders = with_targets(
+        cells, lambda cell, ids, x, extra: np.full(len(x), limit), symmetric=False, targets=leaders.layout
+    )
+    first = cut(
+        join_cells(leaders, to_leaders, _match_kernel(threshold, False), schema)
+        .groupBy("id").agg(F.min("first_id").alias("first_id")),
+        "leader_matches",
+    )
+    none = np.iinfo(np.int64).max
+    known = cut(
+        distinct.join(first, "id", "left").select("id", "v", F.coalesce("first_id", F.lit(none)).alias("best")), "bounded"
+    )
+    queries = repack(known, cells, "best", cell_rows)
+    earliest = rest.layout.first_id
+
+    def radius(cell, ids, x, extra):
+        best = extra.view(np.int64)
+        later = np.minimum(best, ids)[:, None] > earliest[None, :]
+        return np.where(later, limit, -np.inf)
+
+    to_rest = with_targets(queries, radius, symmetric=False, targets=rest.layout)
+    more = join_cells(rest, to_rest, _match_kernel(threshold, False), schema)
+    return first.unionByName(more).groupBy("id").agg(F.min("first_id").alias("first_id"))
+
+
 def earliest_matches(points: DataFrame, threshold: float, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(id, first_id): every point with an earlier point at cosine >= threshold, and the earliest.
 
@@ -164,28 +230,7 @@ def earliest_matches(points: DataFrame, threshold: float, cell_rows: int = CELL_
     distinct = cut(usable.groupBy("v").agg(F.min("id").alias("id")), "distinct")
     if distinct.isEmpty():
         return points.select("id", F.col("id").alias("first_id")).where("false")
-    cells = build_cells(distinct, cell_rows=cell_rows)
-    limit = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
-    sources = with_targets(cells, lambda cell, ids, x, extra: np.full(len(x), limit), symmetric=True)
-
-    def match(same, a_ids, a, b_ids, b, a_radius, a_extra, b_extra):
-        hit = a @ b.T >= threshold
-        # An id beyond every real one stands for "no match".
-        none = np.iinfo(np.int64).max
-        for_a = np.where(hit & (b_ids[None, :] < a_ids[:, None]), b_ids[None, :], none).min(1)
-        for_b = np.where(hit & (a_ids[:, None] < b_ids[None, :]), a_ids[:, None], none).min(0)
-        if same:
-            for_b = np.full(len(b_ids), none)
-        ids, first = np.concatenate([a_ids, b_ids]), np.concatenate([for_a, for_b])
-        ok = first < none
-        return {"id": ids[ok], "first_id": first[ok]}
-
-    between = cut(
-        join_cells(cells, sources, match, "id bigint, first_id bigint").groupBy("id").agg(
-            F.min("first_id").alias("first_id")
-        ),
-        "matches",
-    )
+    between = cut(_matches_between(distinct, threshold, cell_rows), "matches")
     if usable.count() == distinct.count():
         return between
     firsts = distinct.join(between, "id", "left").select(

@@ -10,13 +10,17 @@ up to which callers that may choose take the exact value; beyond it they take
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.functions.vectors import squared_distances
+from labelloom.functions.vectors import list_column, matrix, squared_distances
 from labelloom.operators.pairs import BLOCK_ROWS, pairwise
 from labelloom.scratch import cut, settle
 
@@ -105,6 +109,121 @@ def grouped_silhouette(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataF
     )
 
 
+def grouped_silhouette_squared(points: DataFrame) -> DataFrame:
+    """``grouped_silhouette`` with squared distances: two linear passes.
+
+    The mean squared distance of a point to a cluster follows from the
+    cluster's size, sum and sum of squared norms, so no pair is formed.
+    """
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, int, int], list] = {}
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x, labs = matrix(batch["v"]), matrix(batch["labs"]).astype(np.int64)
+            grp = batch["grp"].to_numpy(zero_copy_only=False)
+            squares = (x * x).sum(1)
+            for cand in range(labs.shape[1]):
+                keys, code = np.unique(np.stack([grp, labs[:, cand]]), axis=1, return_inverse=True)
+                code = code.ravel()
+                marks = np.zeros((keys.shape[1], len(x)))
+                marks[code, np.arange(len(x))] = 1.0
+                added, counts = marks @ x, marks.sum(1)
+                norms = marks @ squares
+                for i, (g, c) in enumerate(keys.T):
+                    entry = total.setdefault((int(g), cand, int(c)), [0.0, 0.0, 0.0])
+                    entry[0] += counts[i]
+                    entry[1] = entry[1] + added[i]
+                    entry[2] += norms[i]
+        if total:
+            keys = list(total)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int32()),
+                    pa.array([k[2] for k in keys], pa.int64()), pa.array([float(total[k][0]) for k in keys]),
+                    list_column(np.array([total[k][1] for k in keys])), pa.array([float(total[k][2]) for k in keys]),
+                ],
+                ["grp", "cand", "cluster", "n", "s", "q"],
+            )
+
+    # One row per cluster of a grouped k-means: bounded like its table of centres.
+    rows = (
+        points.select("grp", "v", "labs")
+        .mapInArrow(sums, "grp bigint, cand int, cluster bigint, n double, s array<double>, q double")
+        .groupBy("grp", "cand", "cluster")
+        .agg(
+            F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("s"),
+            F.sum("q").alias("q"),
+        )
+        .collect()
+    )
+    table: dict[tuple[int, int], list] = {}
+    for r in sorted(rows, key=lambda r: (r.grp, r.cand, r.cluster)):
+        table.setdefault((r.grp, r.cand), []).append(r)
+    stats = {
+        k: (
+            np.array([r.cluster for r in rs]), np.array([r.n for r in rs]), np.array([r.s for r in rs]),
+            np.array([r.q for r in rs]),
+        )
+        for k, rs in table.items()
+    }
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x_all, labs = matrix(batch["v"]), matrix(batch["labs"]).astype(np.int64)
+            grp = batch["grp"].to_numpy(zero_copy_only=False)
+            out = []
+            for g in np.unique(grp):
+                at = np.flatnonzero(grp == g)
+                x = x_all[at]
+                for cand in range(labs.shape[1]):
+                    ids, n, s, q = stats[int(g), cand]
+                    if len(ids) < 2:
+                        out.append((int(g), cand, 0.0, float(len(at))))
+                        continue
+                    own = np.searchsorted(ids, labs[at, cand])
+                    total = n[None] * (x * x).sum(1)[:, None] - 2 * x @ s.T + q[None]
+                    total = np.maximum(total, 0.0)
+                    rows_ = np.arange(len(at))
+                    a = total[rows_, own] / np.maximum(n[own] - 1, 1.0)
+                    mean = total / n[None]
+                    mean[rows_, own] = np.inf
+                    b = mean.min(1)
+                    top = np.maximum(a, b)
+                    value = np.where((n[own] <= 1) | (top == 0), 0.0, (b - a) / np.where(top == 0, 1.0, top))
+                    out.append((int(g), cand, float(value.sum()), float(len(at))))
+            columns = list(zip(*out))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2]),
+                    pa.array(columns[3]),
+                ],
+                ["grp", "cand", "total", "n"],
+            )
+
+    return (
+        points.select("grp", "v", "labs")
+        .mapInArrow(score, "grp bigint, cand int, total double, n double")
+        .groupBy("grp", "cand")
+        .agg((F.sum("total") / F.sum("n")).alias("silhouette"))
+    )
+
+
+def split_silhouette(points: DataFrame, sizes: dict[int, int], exact_rows: int = EXACT_ROWS) -> DataFrame:
+    """(grp, cand, silhouette, kind): exact for groups up to ``exact_rows``, squared for larger ones."""
+    large = [g for g, n in sizes.items() if n > exact_rows]
+    if not large:
+        return grouped_silhouette(points).withColumn("kind", F.lit("exact"))
+    is_large = F.col("grp").isin(large)
+    exact = grouped_silhouette(points.where(~is_large)).withColumn("kind", F.lit("exact"))
+    return exact.unionByName(
+        grouped_silhouette_squared(points.where(is_large)).withColumn("kind", F.lit("squared"))
+    )
+
+
 def labelled(df: DataFrame, cluster: str = "cluster_id", v: str = "v", id_: str = "id") -> DataFrame:
     """Non-noise rows of a labelled table in the shape that ``silhouette_rows`` reads."""
     return df.where(F.col(cluster) >= 0).select(

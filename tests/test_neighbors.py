@@ -57,6 +57,19 @@ def test_near_duplicates_equal_brute_force(points, cell_rows, copies):
     assert {i for i, f in flags.items() if f} == set(want) and len(flags) == len(x)
 
 
+def test_hot_near_copies_take_the_leader_pass(points, monkeypatch):
+    rng = np.random.default_rng(6)
+    hot = np.array([1.0, 2, 3, 4]) + rng.normal(0, 0.01, (400, 4))
+    x = np.vstack([hot, rng.normal(size=(200, 4))])[rng.permutation(600)]
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    hit = u @ u.T >= 0.99
+    want = {j: int(np.flatnonzero(hit[j, :j])[0]) for j in range(len(x)) if hit[j, :j].any()}
+    monkeypatch.setattr(neighbors, "LEADERS", 5)
+    monkeypatch.setattr(neighbors, "PLAIN_CHUNKS", 1)
+    got = {r.id: r.first_id for r in neighbors.earliest_matches(points(x), 0.99, 12).collect()}
+    assert got == want
+
+
 def test_near_duplicate_fixtures(points):
     five = points([[1.0, 0, 0, 0]] * 5)
     assert neighbors.near_duplicate_flags(five).where("duplicate_flag").count() == 4
@@ -64,10 +77,11 @@ def test_near_duplicate_fixtures(points):
     assert neighbors.near_duplicate_flags(points([[0.0, 0]] * 3)).where("duplicate_flag").count() == 0
 
 
-def brute_silhouette(x, labels):
+def brute_silhouette(x, labels, d=None):
     keep = labels >= 0
     x, labels = x[keep], labels[keep]
-    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    if d is None:
+        d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     out = []
     for i in range(len(x)):
         own = labels == labels[i]
@@ -90,6 +104,17 @@ def test_silhouette_equals_brute_force(points, blobs, block_rows):
     assert rows.silhouette == pytest.approx(brute_silhouette(x, labels), abs=1e-7)
 
 
+def test_linear_silhouette_equals_brute_force_on_squares(points, blobs):
+    x, labels = blobs
+    x, labels = np.vstack([x, [[50.0, 0, 0, 0]]]), np.concatenate([labels, [7]])
+    keep = labels >= 0
+    d = ((x[keep][:, None] - x[keep][None]) ** 2).sum(-1)
+    got = silhouette.grouped_silhouette_squared(silhouette.labelled(points(x, labels))).first().silhouette
+    assert got == pytest.approx(brute_silhouette(x, labels, d), abs=1e-9)
+    kinds = silhouette.split_silhouette(silhouette.labelled(points(x, labels)), {0: 121}, exact_rows=50)
+    assert kinds.first().kind == "squared" and kinds.first().silhouette == pytest.approx(got)
+
+
 def test_silhouette_edge_cases(points):
     x = [[0.0, 0], [1.0, 0], [5.0, 5], [6.0, 5]]
     assert silhouette.silhouette(points(x, [0, 0, 0, 0])).first().silhouette == 0

@@ -17,7 +17,7 @@ def test_clean_response(spark):
         "- ai/ml (models)": "ai/ml models",
         "The answer: one two three four": "one two three",
         "Label: x. Category: cooking": "cooking",
-        "• cafés_und Bäume!": "cafés_und Bäume",
+        "• cafés und Bäume!": "cafés und Bäume",
         "": "",
     }
     assert apply(spark, text.clean_response, *cases) == list(cases.values())
