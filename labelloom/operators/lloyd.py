@@ -23,6 +23,8 @@ from labelloom.functions.vectors import list_column, matrix, squared_distances
 from labelloom.scratch import cut
 
 MAX_CENTRE_BYTES = 64 << 20
+RELATIVE_TOLERANCE = 1e-4
+STARTS_PER_PASS = 4
 
 
 @dataclass
@@ -70,67 +72,93 @@ def first_starts(points: DataFrame, k: int) -> dict[int, np.ndarray]:
 def spread_starts(points: DataFrame, k: int, restarts: int, seed: int = 42) -> dict[tuple[int, int], np.ndarray]:
     """Sequences of k starts per (group, restart).
 
-    All begin at the lowest id.  Restart 0 always takes the farthest point next;
-    the others draw points with probability proportional to the squared
-    distance, by a race of hashed exponentials, so the draw does not depend on
-    the partitioning.
+    All begin at the lowest id.  Restart 0 prefers the farthest point; the
+    others draw points with probability proportional to the squared distance, by
+    a race of hashed exponentials, so the draw does not depend on the
+    partitioning.  With several restarts one pass supplies up to
+    ``STARTS_PER_PASS`` starts each; a single restart is farthest-first exactly.
     """
+    per_pass = 1 if restarts == 1 else STARTS_PER_PASS
     chosen = {
         (g, r): vs for g, vs in first_starts(points, 1).items() for r in range(restarts)
     }
-    for step in range(1, k):
-        table = dict(chosen)
+    finished: set[tuple[int, int]] = set()
+    step = 0
+    while True:
+        table = {q: vs for q, vs in chosen.items() if len(vs) < k and q not in finished}
+        if not table:
+            return chosen
+        step += 1
+        found = _next_candidates(points, table, 2 * per_pass if per_pass > 1 else 1, seed, step)
+        for key, old in table.items():
+            pool = found.get(key, [])
+            if not pool:
+                finished.add(key)
+                continue
+            picks = old
+            for _ in range(min(per_pass, k - len(old))):
+                gaps = [float(squared_distances(v[None, :], picks).min()) for _, _, v in pool]
+                usable = [i for i, gap in enumerate(gaps) if gap >= 1e-12]
+                if not usable:
+                    break
+                best = max(usable, key=lambda i: (gaps[i] if key[1] == 0 else pool[i][0], pool[i][1]))
+                picks = np.vstack([picks, pool.pop(best)[2][None, :]])
+            chosen[key] = picks
+
+
+def _next_candidates(
+    points: DataFrame, table: dict[tuple[int, int], np.ndarray], keep: int, seed: int, step: int
+) -> dict[tuple[int, int], list[tuple[float, int, np.ndarray]]]:
+    """The ``keep`` best scored points per (group, restart): (score, -id, vector)."""
+    by_group: dict[int, list[int]] = {}
+    for g, r in table:
+        by_group.setdefault(g, []).append(r)
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple[int, int], list] = {}
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x_all = matrix(batch["v"])
+            id_all = batch["id"].to_numpy(zero_copy_only=False)
+            for g, rows in _by_group(batch):
+                x, ids = x_all[rows], id_all[rows]
+                for r in by_group.get(g, []):
+                    d2 = squared_distances(x, table[g, r]).min(1)
+                    # Round-off of a repeated point must not win a draw.
+                    d2[d2 < 1e-12] = 0.0
+                    score = d2 if r == 0 else d2 / -np.log(uniform(ids, seed + r, step))
+                    top = np.lexsort((ids, -score))[:keep]
+                    entries = [(float(score[i]), -int(ids[i]), x[i]) for i in top if score[i] > 0]
+                    merged = best.get((g, r), []) + entries
+                    best[g, r] = sorted(merged, key=lambda e: e[:2], reverse=True)[:keep]
+        flat = [(g, r, *e) for (g, r), es in best.items() for e in es]
+        if flat:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([e[0] for e in flat], type=pa.int64()),
+                    pa.array([e[1] for e in flat], type=pa.int32()),
+                    pa.array([e[2] for e in flat], type=pa.float64()),
+                    pa.array([e[3] for e in flat], type=pa.int64()),
+                    list_column(np.array([e[4] for e in flat])),
+                ],
+                ["grp", "restart", "score", "order", "v"],
+            )
 
-        def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best: dict[tuple[int, int], tuple[float, int, np.ndarray]] = {}
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
-                x_all = matrix(batch["v"])
-                id_all = batch["id"].to_numpy(zero_copy_only=False)
-                for g, rows in _by_group(batch):
-                    x, ids = x_all[rows], id_all[rows]
-                    for r in range(restarts):
-                        if (g, r) not in table:
-                            continue
-                        d2 = squared_distances(x, table[g, r]).min(1)
-                        # Round-off of a repeated point must not win a draw.
-                        d2[d2 < 1e-12] = 0.0
-                        if r == 0:
-                            score = d2
-                        else:
-                            with np.errstate(divide="ignore"):
-                                score = np.where(d2 > 0, d2 / -np.log(uniform(ids, seed + r, step)), 0.0)
-                        top = np.lexsort((ids, -score))[0]
-                        if score[top] <= 0:
-                            continue
-                        entry = (float(score[top]), -int(ids[top]), x[top])
-                        if (g, r) not in best or entry[:2] > best[g, r][:2]:
-                            best[g, r] = entry
-            if best:
-                keys = list(best)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([g for g, _ in keys], type=pa.int64()),
-                        pa.array([r for _, r in keys], type=pa.int32()),
-                        pa.array([best[q][0] for q in keys], type=pa.float64()),
-                        pa.array([best[q][1] for q in keys], type=pa.int64()),
-                        list_column(np.array([best[q][2] for q in keys])),
-                    ],
-                    ["grp", "restart", "score", "order", "v"],
-                )
-
-        found = (
-            points.select("grp", "id", "v")
-            .mapInArrow(candidates, "grp bigint, restart int, score double, `order` bigint, v array<double>")
-            .groupBy("grp", "restart")
-            .agg(F.max_by("v", F.struct("score", "order")).alias("v"))
-            .collect()
-        )
-        for r in found:
-            key = (r.grp, r.restart)
-            chosen[key] = np.vstack([chosen[key], np.array(r.v)[None, :]])
-    return chosen
+    rank = F.row_number().over(
+        Window.partitionBy("grp", "restart").orderBy(F.desc("score"), F.desc("order"))
+    )
+    rows = (
+        points.select("grp", "id", "v")
+        .mapInArrow(candidates, "grp bigint, restart int, score double, `order` bigint, v array<double>")
+        .withColumn("rank", rank)
+        .where(F.col("rank") <= keep)
+        .collect()
+    )
+    found: dict[tuple[int, int], list] = {}
+    for r in sorted(rows, key=lambda r: r["rank"]):
+        found.setdefault((r.grp, r.restart), []).append((r.score, r.order, np.array(r.v)))
+    return found
 
 
 def _batches_of(models: list[Model]) -> Iterator[list[Model]]:
@@ -161,7 +189,7 @@ def _stack(models: list[Model]) -> dict[int, tuple[np.ndarray, np.ndarray, np.nd
     }
 
 
-def _iterate(points: DataFrame, models: list[Model], tol: float) -> None:
+def _iterate(points: DataFrame, models: list[Model], tol: float | None, tasks: int) -> None:
     table = _stack(models)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,24 +228,35 @@ def _iterate(points: DataFrame, models: list[Model], tol: float) -> None:
                 ["grp", "slot", "total", "n", "cost"],
             )
 
-    reduced = (
-        points.select("grp", "v")
-        .mapInArrow(partial, "grp bigint, slot int, total array<double>, n double, cost double")
-        .groupBy("grp", "slot")
-        .agg(
-            vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total"),
-            F.sum("n").alias("n"),
-            F.sum("cost").alias("cost"),
-        )
-        .collect()
+    partials = points.select("grp", "v").mapInArrow(
+        partial, "grp bigint, slot int, total array<double>, n double, cost double"
     )
+    if tasks * sum(m.centres.nbytes for m in models) <= MAX_CENTRE_BYTES:
+        # Few tasks: their partial sums are small enough to be added here.
+        added: dict[tuple[int, int], list] = {}
+        for r in partials.collect():
+            entry = added.setdefault((r.grp, r.slot), [0.0, 0.0, 0.0])
+            entry[0] = entry[0] + np.array(r.total)
+            entry[1] += r.n
+            entry[2] += r.cost
+        reduced = [(g, slot, *entry) for (g, slot), entry in added.items()]
+    else:
+        reduced = (
+            partials.groupBy("grp", "slot")
+            .agg(
+                vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total"),
+                F.sum("n").alias("n"),
+                F.sum("cost").alias("cost"),
+            )
+            .collect()
+        )
     fresh = {g: c.copy() for g, (c, _, _) in table.items()}
     costs = {g: np.zeros(len(c)) for g, (c, _, _) in table.items()}
     sizes = {g: np.zeros(len(c)) for g, (c, _, _) in table.items()}
-    for r in reduced:
-        fresh[r.grp][r.slot] = np.array(r.total) / r.n
-        costs[r.grp][r.slot] = r.cost
-        sizes[r.grp][r.slot] = r.n
+    for grp, slot, total, n, cost_ in reduced:
+        fresh[grp][slot] = np.array(total) / n
+        costs[grp][slot] = cost_
+        sizes[grp][slot] = n
     for g, (centres, owners, starts) in table.items():
         for at, index in enumerate(owners):
             a, b = starts[at], starts[at + 1]
@@ -226,17 +265,25 @@ def _iterate(points: DataFrame, models: list[Model], tol: float) -> None:
             model.inertia = float(costs[g][a:b].sum())
             model.counts = sizes[g][a:b]
             model.centres = fresh[g][a:b]
-            model.done = shift <= tol
+            spread = model.inertia / max(model.counts.sum() * model.centres.shape[1], 1.0)
+            model.done = shift <= (RELATIVE_TOLERANCE * spread if tol is None else tol)
 
 
-def lloyd(points: DataFrame, models: list[Model], iterations: int = 300, tol: float = 1e-8) -> list[Model]:
-    """Move the centres of all models until they rest or ``iterations`` have passed."""
+def lloyd(
+    points: DataFrame, models: list[Model], iterations: int = 300, tol: float | None = None
+) -> list[Model]:
+    """Move the centres of all models until they rest or ``iterations`` have passed.
+
+    A model rests when the squared shift of its centres is at most ``tol``, by
+    default a small share of the mean squared deviation per dimension.
+    """
+    tasks = points.rdd.getNumPartitions()
     for batch in _batches_of(models):
         for _ in range(iterations):
             active = [m for m in batch if not m.done]
             if not active:
                 break
-            _iterate(points, active, tol)
+            _iterate(points, active, tol, tasks)
     return models
 
 

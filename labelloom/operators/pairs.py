@@ -21,6 +21,7 @@ from labelloom.scratch import cut, parallelism, settle
 
 BLOCK_ROWS = 1024
 BLOCK_BYTES = 16 << 20
+TABLE_ROWS = 4096
 
 
 def as_array(column: pa.Array) -> np.ndarray:
@@ -92,12 +93,12 @@ def pairwise(
 def against_table(points: DataFrame, columns: list[str], kernel: Callable, schema: str) -> DataFrame:
     """``pairwise`` for a table that usually fits one block, such as cluster centroids."""
     names = ["grp", "id", "v", *columns]
-    fixed = settle(points.select(*names), "pair_table", 4096)
-    dims = fixed.select(F.max(F.size("v")).alias("d")).first().d or 0
-    n = fixed.count()
-    if n > 4096 or n * dims * 8 > BLOCK_BYTES:
-        return pairwise(fixed, columns, kernel, schema)
-    rows = fixed.orderBy("grp", "id").collect()
+    rows = points.select(*names).limit(TABLE_ROWS + 1).collect()
+    width = max((len(r.v) for r in rows), default=0)
+    if len(rows) > TABLE_ROWS or len(rows) * width * 8 > BLOCK_BYTES:
+        return pairwise(cut(points.select(*names), "pair_table"), columns, kernel, schema)
+    rows = sorted(rows, key=lambda r: (r.grp, r.id))
+    fixed = points.sparkSession.createDataFrame(rows, points.select(*names).schema)
     out_names = [part.split()[0] for part in schema.split(",")]
     groups: dict[int, list] = {}
     for r in rows:

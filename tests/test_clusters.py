@@ -34,6 +34,7 @@ def test_lloyd_batches_give_the_same_centres(points, blobs, monkeypatch):
     x = blobs[0]
     pts = points(x).select(F.lit(0).cast("bigint").alias("grp"), "id", "v")
     plain, models = lloyd.kmeans_candidates(pts, [2, 3], restarts=2, iterations=20)
+    # Too small for two models at once and for adding up on the driver.
     monkeypatch.setattr(lloyd, "MAX_CENTRE_BYTES", 64)
     _, split = lloyd.kmeans_candidates(pts, [2, 3], restarts=2, iterations=20)
     assert [m.inertia for m in models] == pytest.approx([m.inertia for m in split])
