@@ -59,16 +59,36 @@ def _by_group(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def first_starts(points: DataFrame, k: int) -> dict[int, np.ndarray]:
-    """The k distinct vectors with the lowest ids, per group."""
-    distinct = points.groupBy("grp", "v").agg(F.min("id").alias("id"))
+    """The k distinct vectors with the lowest ids, per group.
+
+    The lowest few ids usually hold enough distinct vectors; only groups that
+    begin with many copies need the distinct vectors of the whole group.
+    """
+    if k == 1:
+        firsts = points.groupBy("grp").agg(F.min_by("v", "id").alias("v")).collect()
+        return {r.grp: np.array([r.v]) for r in firsts}
+    head = min(8 * k, 1000)
     rank = F.row_number().over(Window.partitionBy("grp").orderBy("id"))
-    rows = distinct.withColumn("rank", rank).where(F.col("rank") <= k).collect()
-    starts: dict[int, list] = {}
-    for r in sorted(rows, key=lambda r: (r.grp, r.id)):
-        starts.setdefault(r.grp, []).append(r.v)
+    starts = _distinct_in_order(
+        points.select("grp", "id", "v").withColumn("rank", rank).where(F.col("rank") <= head).collect(), k
+    )
+    short = [g for g, vs in starts.items() if len(vs) < k]
+    if short:
+        distinct = points.where(F.col("grp").isin(short)).groupBy("grp", "v").agg(F.min("id").alias("id"))
+        rows = distinct.withColumn("rank", rank).where(F.col("rank") <= k).collect()
+        starts.update(_distinct_in_order(rows, k))
     return {g: np.array(vs) for g, vs in starts.items()}
 
 
+def _distinct_in_order(rows: list, k: int) -> dict[int, list]:
+    found: dict[int, dict] = {}
+    for r in sorted(rows, key=lambda r: (r.grp, r.id)):
+        vectors = found.setdefault(r.grp, {})
+        if len(vectors) < k:
+            vectors.setdefault(tuple(r.v), None)
+    return {g: [list(v) for v in vectors] for g, vectors in found.items()}
+
+
 def spread_starts(points: DataFrame, k: int, restarts: int, seed: int = 42) -> dict[tuple[int, int], np.ndarray]:
     """Sequences of k starts per (group, restart).
 

@@ -30,6 +30,14 @@ def test_kmeans_finds_blobs_and_ignores_partitioning(points, blobs):
         cluster.kmeans(points(x), 1)
 
 
+def test_first_starts_look_behind_leading_copies(points):
+    x = [[1.0, 1.0]] * 40 + [[2.0, 0.0], [2.0, 0.0], [3.0, 0.0]]
+    pts = points(x).select(F.lit(0).cast("bigint").alias("grp"), "id", "v")
+    assert lloyd.first_starts(pts, 3)[0].tolist() == [[1.0, 1.0], [2.0, 0.0], [3.0, 0.0]]
+    assert lloyd.first_starts(pts, 1)[0].tolist() == [[1.0, 1.0]]
+    assert len(lloyd.first_starts(pts, 5)[0]) == 3
+
+
 def test_lloyd_batches_give_the_same_centres(points, blobs, monkeypatch):
     x = blobs[0]
     pts = points(x).select(F.lit(0).cast("bigint").alias("grp"), "id", "v")
