@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import simhash
+from labelloom.llm import crf_quality, fm_decontaminate, simhash, token_output
 from labelloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,25 @@ def query(name: str, oracle: str | None = None):
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op2_token_ids")
+def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = token_output.by_key(read(spark, sf_dir, "documents"))
+    return token_output.token_table(ordered, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op6_quality_crf")
+def quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = crf_quality.train(docs, read(spark, sf_dir, "labels"))
+    return crf_quality.score(docs, model).select(
+        "doc_id", crf_quality.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query("op8_fm_decontaminate")
+def fm_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_decontaminate.find(read(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return fm_decontaminate.digest(found)
