@@ -20,8 +20,8 @@ SLOTS = 4096
 #: Most tokens of a block. A block with more than SLOTS - 1 distinct ids is cut in two.
 BLOCK = 2 * (SLOTS - 1)
 _ALL, _RAW = 26, 16  # bits of the total of a mixture and of a new id
-_TOP, _BOT = np.uint64(1 << 48), np.uint64(1 << 32)
-_U16, _U48 = np.uint64(16), np.uint64(48)
+_TOP, _BOT = np.uint64(1 << 32), np.uint64(1 << 31)
+_U32 = np.uint64(32)
 _ABOVE = np.triu(np.ones((16, 16), np.uint16), 1)  # row d adds one to every exclusive sum behind d
 _CAP = 64512  # 63/64 of 2^16: some mass always stays with order 0
 
@@ -46,8 +46,8 @@ class _Model:
         self.e1 = np.zeros((lanes * 16, 16), np.uint16)
         self.e2 = np.zeros((lanes * 256, 16), np.uint16)
         self.f = np.zeros(lanes * SLOTS, np.uint16)
+        # Slot that came last, times eight, plus its confidence.
         self.p1, self.p2 = np.zeros(lanes * SLOTS, np.uint16), np.zeros(lanes * SLOTS, np.uint16)
-        self.k1, self.k2 = np.zeros(lanes * SLOTS, np.uint8), np.zeros(lanes * SLOTS, np.uint8)
         start = (np.arange(8) * 7000 + 6000).astype(np.int64)
         self.w1, self.w2 = np.tile(start, lanes), np.tile(start, lanes)
         self.total = np.zeros(lanes, np.int64)
@@ -60,11 +60,12 @@ class _Model:
         base = lane * SLOTS
         self.at1 = base + self.prev[:a]
         self.at2 = base + ((self.prev[:a] * 1031 + self.prev2[:a] * 2719) & (SLOTS - 1))
-        self.c1, self.c2 = self.p1[self.at1].astype(np.int64), self.p2[self.at2].astype(np.int64)
-        self.i1, self.i2 = lane * 8 + self.k1[self.at1], lane * 8 + self.k2[self.at2]
+        g1, g2 = self.p1[self.at1].astype(np.int64), self.p2[self.at2].astype(np.int64)
+        self.c1, self.c2, self.k1, self.k2 = g1 >> 3, g2 >> 3, g1 & 7, g2 & 7
+        self.i1, self.i2 = lane * 8 + self.k1, lane * 8 + self.k2
         self.r1, self.r2 = self.w1[self.i1], self.w2[self.i2]
-        self.m2 = np.where(self.c2 > 0, self.r2 << (_ALL - 16), 0)
-        self.m1 = np.where(self.c1 > 0, (((1 << _ALL) - self.m2) * self.r1) >> 16, 0)
+        self.m2 = (self.r2 << (_ALL - 16)) * (self.c2 > 0)
+        self.m1 = ((((1 << _ALL) - self.m2) * self.r1) >> 16) * (self.c1 > 0)
         self.m0 = (1 << _ALL) - self.m2 - self.m1
 
     def sums(self, a: int, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,16 +112,13 @@ class _Model:
     def learn(self, a: int, slot: np.ndarray) -> None:
         """Take in the slot just coded (the new one after an announcement)."""
         self.count(a, slot, self.lane[:a])
-        for guess, at, p, k, index, rate, w in (
+        for guess, at, p, sure, index, rate, w in (
             (self.c1, self.at1, self.p1, self.k1, self.i1, self.r1, self.w1),
             (self.c2, self.at2, self.p2, self.k2, self.i2, self.r2, self.w2),
         ):
             hit = guess == slot
-            known = guess > 0
-            w[index] = np.where(known, np.minimum(rate + (((hit * 65536) - rate) >> 5), _CAP), rate)
-            sure = k[at]
-            p[at] = slot
-            k[at] = np.where(hit, np.minimum(sure + 1, 7), 0)
+            w[index] = np.minimum(rate + ((((hit * 65536) - rate) >> 5) * (guess > 0)), _CAP)
+            p[at] = slot * 8 + np.minimum(sure + 1, 7) * hit
         self.prev2[:a] = self.prev[:a]
         self.prev[:a] = slot
 
@@ -129,7 +127,7 @@ class _Encoder:
     def __init__(self, lanes: int, words: int) -> None:
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, ~np.uint64(0))
-        self.out = np.zeros((lanes, words), np.uint16)
+        self.out = np.zeros((lanes, words), np.uint32)
         self.pos = np.zeros(lanes, np.int64)
 
     def put(self, at: np.ndarray | slice, start: np.ndarray, width: np.ndarray, bits: int) -> None:
@@ -147,34 +145,34 @@ class _Encoder:
             settled = (low ^ (low + size)) < _TOP
             size = np.where(settled, size, (~low + np.uint64(1)) & (_BOT - np.uint64(1)))
             self.emit(at, low)
-            low, size = low << _U16, size << _U16
+            low, size = low << _U32, size << _U32
             self.low[at], self.range[at] = low, size
             at = at[((low ^ (low + size)) < _TOP) | (size < _BOT)]
 
     def emit(self, at: np.ndarray, low: np.ndarray) -> None:
         if int(self.pos[at].max()) >= self.out.shape[1]:
             self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
-        self.out[at, self.pos[at]] = (low >> _U48).astype(np.uint16)
+        self.out[at, self.pos[at]] = (low >> _U32).astype(np.uint32)
         self.pos[at] += 1
 
     def finish(self) -> list[bytes]:
         every = np.arange(self.low.size)
-        for _ in range(4):
+        for _ in range(2):
             self.emit(every, self.low)
-            self.low = self.low << _U16
-        return [self.out[i, :n].astype("<u2").tobytes() for i, n in enumerate(self.pos.tolist())]
+            self.low = self.low << _U32
+        return [self.out[i, :n].astype("<u4").tobytes() for i, n in enumerate(self.pos.tolist())]
 
 
 class _Decoder:
     def __init__(self, payloads: list[bytes]) -> None:
-        sizes = np.array([len(p) // 2 for p in payloads])
-        self.words = np.frombuffer(b"".join(payloads) + bytes(16), "<u2").astype(np.uint64)
+        sizes = np.array([len(p) // 4 for p in payloads])
+        self.words = np.frombuffer(b"".join(payloads) + bytes(16), "<u4").astype(np.uint64)
         self.at = np.cumsum(sizes) - sizes
         self.low = np.zeros(sizes.size, np.uint64)
         self.range = np.full(sizes.size, ~np.uint64(0))
         self.code = np.zeros(sizes.size, np.uint64)
-        for _ in range(4):
-            self.code = (self.code << _U16) | self.words[np.minimum(self.at, self.words.size - 1)]
+        for _ in range(2):
+            self.code = (self.code << _U32) | self.words[np.minimum(self.at, self.words.size - 1)]
             self.at = self.at + 1
 
     def target(self, at: np.ndarray | slice, bits: int) -> np.ndarray:
@@ -193,9 +191,9 @@ class _Decoder:
             low, size = self.low[at], self.range[at]
             settled = (low ^ (low + size)) < _TOP
             size = np.where(settled, size, (~low + np.uint64(1)) & (_BOT - np.uint64(1)))
-            low, size = low << _U16, size << _U16
+            low, size = low << _U32, size << _U32
             self.low[at], self.range[at] = low, size
-            self.code[at] = (self.code[at] << _U16) | self.words[np.minimum(self.at[at], self.words.size - 1)]
+            self.code[at] = (self.code[at] << _U32) | self.words[np.minimum(self.at[at], self.words.size - 1)]
             self.at[at] += 1
             at = at[((low ^ (low + size)) < _TOP) | (size < _BOT)]
 
@@ -229,7 +227,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
             raw[: ids.size, i] = ids
     if int(slots.max(initial=0)) >= SLOTS:
         raise ValueError(f"a block holds at most {SLOTS - 1} distinct ids")
-    model, coder = _Model(order.size), _Encoder(order.size, longest + longest // 4 + 64)
+    model, coder = _Model(order.size), _Encoder(order.size, longest // 2 + 64)
     active = np.searchsorted(-lengths, -np.arange(longest), "left")
     for t in range(longest):
         a = int(active[t])

@@ -35,9 +35,9 @@ MAGIC = b"LTK1"
 _HEAD = "<5I"
 _HEAD_BYTES = struct.calcsize(_HEAD)
 #: Blocks that are coded in lockstep; bounds a worker's memory.
-LANES = 1536
+LANES = 1024
 #: Distinct words that a worker remembers with their ids.
-WORDS = 400_000
+WORDS = 1_000_000
 
 
 class _Numbers(dict):
@@ -52,16 +52,19 @@ class _Numbers(dict):
 
 
 class WordTokenizer:
-    """Byte-level BPE by the tokenizers library, which is asked once per distinct word.
+    """Byte-level BPE by the tokenizers library, which is asked once per distinct piece of text.
 
-    The library cuts a text into words before it merges bytes, so the ids of a text are those of its words
-    in a row. Strings of special tokens are ordinary text.
+    The library cuts a text into words before it merges bytes, and a space belongs to the word behind it. So a
+    text may be cut in front of each space, except inside runs of white space; such texts are cut by the
+    library's own pattern. The ids of a text are those of its pieces in a row. Strings of special tokens are
+    ordinary text.
     """
 
     def __init__(self, path: str) -> None:
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = True
-        self._split = regex.compile(public_tokenizers.PATTERN).findall
+        self._pattern = regex.compile(public_tokenizers.PATTERN).findall
+        self._runs = regex.compile(r"\s \s| $|  ").search
         self._clear()
 
     def _clear(self) -> None:
@@ -69,25 +72,65 @@ class WordTokenizer:
         self._first = np.zeros(1, np.int64)
         self._ids = np.zeros(0, np.uint16)
 
+    def _pieces(self, text: str) -> list[str]:
+        """Keys of the pieces; a key stands for itself behind a space, or behind a NUL for what follows the NUL."""
+        if not text:
+            return []
+        if self._runs(text):
+            return ["\0" + piece for piece in self._pattern(text)]
+        pieces = text.split(" ")
+        if pieces[0]:
+            pieces[0] = "\0" + pieces[0]
+            return pieces
+        return pieces[1:]
+
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row and the number of ids of each."""
         if len(self._number) > WORDS:
             self._clear()
         numbers = self._number
         numbers.new = new = []
-        words = [self._split(t) for t in texts]
-        at = np.fromiter((i for w in words for i in map(numbers.__getitem__, w)), np.int64, sum(map(len, words)))
+        number = numbers.__getitem__
+        at, counts = [], np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            pieces = self._pieces(text)
+            counts[i] = len(pieces)
+            at.append(np.fromiter(map(number, pieces), np.int32, len(pieces)))
         if new:
-            found = [e.ids for e in self._library.encode_batch_fast(new, add_special_tokens=False)]
+            plain = [w[1:] if w[:1] == "\0" else " " + w for w in new]
+            found = [e.ids for e in self._library.encode_batch_fast(plain, add_special_tokens=False)]
             ends = np.cumsum(np.array([len(f) for f in found], np.int64)) + self._ids.size
             self._first = np.r_[self._first, ends]
             self._ids = np.r_[self._ids, np.array([i for f in found for i in f], np.uint16)]
-        first = self._first[at]
-        sizes = self._first[at + 1] - first
+        flat = np.concatenate([*at, np.zeros(0, np.int32)])
+        first = self._first[flat]
+        sizes = self._first[flat + 1] - first
         run = np.cumsum(sizes)
         ids = self._ids[np.repeat(first - (run - sizes), sizes) + np.arange(run[-1] if run.size else 0)]
-        per_text = np.add.reduceat(np.r_[sizes, 0], np.cumsum([0] + [len(w) for w in words])[:-1]) if texts else sizes
-        return ids, np.where([bool(w) for w in words], per_text, 0).astype(np.int64)
+        return ids, np.diff(np.r_[0, run][np.r_[0, np.cumsum(counts)]])
+
+
+_tokenizers: dict[str, WordTokenizer] = {}
+
+
+def tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this worker process; tasks that run in it one after another share its pieces."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
+
+
+def _slices(texts: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
+    """Consecutive texts of about ``size`` characters together."""
+    held, n = [], 0
+    for t in texts:
+        held.append(t)
+        n += len(t)
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
 def _frame(ids: np.ndarray, payload: bytes, doc_ids: np.ndarray, doc_sizes: np.ndarray) -> bytes:
@@ -118,7 +161,7 @@ def write_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        tokenize = WordTokenizer(vocabulary)
+        tokenize = tokenizer(vocabulary)
         block_no = 0
         ids, keys, sizes = [np.zeros(0, np.uint16)], [], []  # of documents that start in ids
         waiting = 0
@@ -152,13 +195,12 @@ def write_tokens(
 
         carried = 0  # waiting ids that belong to a document which started in a written block
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            got, n = tokenize(texts)
-            after = np.cumsum(n)
-            ids.append(np.insert(got, after, np.uint16(end_id)))
             keys.append(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
-            sizes.append(n + 1)
-            waiting += got.size + n.size
+            for texts in _slices([t or "" for t in batch.column(1).to_pylist()]):
+                got, n = tokenize(texts)
+                ids.append(np.insert(got, np.cumsum(n), np.uint16(end_id)))
+                sizes.append(n + 1)
+                waiting += got.size + n.size
             if waiting >= LANES * token_codec.BLOCK:
                 yield from blocks(False)
                 carried = waiting - int(sum(s.sum() for s in sizes))
