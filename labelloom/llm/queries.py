@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import crf_quality, fm_decontaminate, simhash, token_output
+from labelloom.llm import (
+    crf_quality, fm_decontaminate, metric_join, pfair_mix, shuffle_shards, simhash, token_output, url_filter,
+)
 from labelloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +53,140 @@ def quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fm_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fm_decontaminate.find(read(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return fm_decontaminate.digest(found)
+
+
+@query("op3_shuffle_shards")
+def shuffle_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shuffle_shards.sharded(read(spark, sf_dir, "documents"), 40).select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# Fetch dates and a dated list that follow from the pages: a third of the hosts, a fifth of the domains and a
+# seventh of the first path prefixes are listed, some are removed again, and some of those return.
+def _number(column: str, at: int) -> str:
+    return f"cast(conv(substr(md5({column}), {at}, 6), 16, 10) as bigint)"
+
+
+def dated_list(pages: DataFrame) -> DataFrame:
+    known = pages.select(F.explode(url_filter.names("url")).alias("n")).select("n.kind", "n.pattern").distinct()
+    share = "case kind when 'host' then 3 when 'domain' then 5 else 7 end"
+    listed = known.where(f"{_number('pattern', 1)} % ({share}) = 0").select(
+        "kind", "pattern", F.expr(f"case {_number('pattern', 7)} % 3 when 0 then 'adult' when 1 then 'spam' else 'malware' end").alias("category"),
+        F.expr(f"date_add(date'2024-01-01', cast({_number('pattern', 13)} % 200 as int))").alias("first"),
+        F.expr(f"cast(1 + {_number('pattern', 19)} % 90 as int)").alias("stay"),
+        F.expr(f"cast({_number('pattern', 25)} % 4 as int)").alias("fate"),
+    )
+    events = F.array(
+        F.struct(F.lit("add").alias("action"), F.col("first").alias("at")),
+        F.struct(F.when(F.col("fate") >= 1, F.lit("remove")).alias("action"), F.expr("date_add(first, stay)").alias("at")),
+        F.struct(F.when(F.col("fate") == 3, F.lit("add")).alias("action"), F.expr("date_add(first, 2 * stay)").alias("at")),
+    )
+    return listed.select("kind", "pattern", "category", F.explode(events).alias("e")).select(
+        "kind", "pattern", "category", "e.action", "e.at"
+    ).where("action is not null")
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    return pages.select(
+        "page_id", "url", F.expr(f"date_add(date'2024-01-01', cast({_number('cast(page_id as string)', 1)} % 366 as int))").alias("fetched")
+    )
+
+
+OP5_SQL = r"""
+WITH c AS (
+  SELECT page_id, url, DATE '2024-01-01' + (('0x' || substr(md5(page_id::VARCHAR), 1, 6))::BIGINT % 366)::INT AS fetched,
+         nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '') AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+p AS (SELECT *, string_split(host, '.') AS labels, list_filter(string_split(path, '/'), lambda x: x <> '') AS parts FROM c),
+k AS (
+  SELECT page_id, fetched, 'host' AS kind, host AS pattern FROM p WHERE host IS NOT NULL
+  UNION ALL
+  SELECT page_id, fetched, 'domain', array_to_string(labels[i:], '.') FROM p, range(1, 64) r(i)
+  WHERE host IS NOT NULL AND len(labels) >= 2 AND i <= len(labels) - 1
+  UNION ALL
+  SELECT page_id, fetched, 'prefix', lower(host || '/' || array_to_string(parts[:i], '/')) FROM p, range(1, 256) r(i)
+  WHERE host IS NOT NULL AND i <= len(parts)),
+known AS (SELECT DISTINCT kind, pattern FROM k),
+n AS (SELECT kind, pattern, ('0x' || substr(md5(pattern), 1, 6))::BIGINT AS a, ('0x' || substr(md5(pattern), 7, 6))::BIGINT AS b,
+             ('0x' || substr(md5(pattern), 13, 6))::BIGINT AS d, ('0x' || substr(md5(pattern), 19, 6))::BIGINT AS e,
+             ('0x' || substr(md5(pattern), 25, 6))::BIGINT AS f FROM known),
+l AS (SELECT kind, pattern, CASE b % 3 WHEN 0 THEN 'adult' WHEN 1 THEN 'spam' ELSE 'malware' END AS category,
+             DATE '2024-01-01' + (d % 200)::INT AS first, (1 + e % 90)::INT AS stay, f % 4 AS fate
+      FROM n WHERE a % (CASE kind WHEN 'host' THEN 3 WHEN 'domain' THEN 5 ELSE 7 END) = 0),
+spans AS (
+  SELECT kind, pattern, category, first AS since, CASE WHEN fate >= 1 THEN first + stay END AS until FROM l
+  UNION ALL SELECT kind, pattern, category, first + 2 * stay, NULL FROM l WHERE fate = 3),
+hit AS (SELECT k.page_id, count(*) AS n_entries, string_agg(DISTINCT category, ',' ORDER BY category) AS categories, min(since) AS listed_since
+        FROM k JOIN spans s ON s.kind = k.kind AND s.pattern = k.pattern AND s.since <= k.fetched AND (s.until IS NULL OR k.fetched < s.until)
+        GROUP BY k.page_id)
+SELECT c.page_id, c.host, c.fetched::VARCHAR AS fetched, hit.page_id IS NOT NULL AS blocked, coalesce(n_entries, 0) AS n_entries,
+       coalesce(categories, '') AS categories, listed_since::VARCHAR AS listed_since
+FROM c LEFT JOIN hit USING (page_id)
+"""
+
+
+@query("op5_url_filter", OP5_SQL)
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    found = url_filter.evaluate(captures(pages), dated_list(pages))
+    return found.select(
+        "page_id", "host", F.col("fetched").cast("string").alias("fetched"), "blocked", "n_entries", "categories",
+        F.col("listed_since").cast("string").alias("listed_since"),
+    )
+
+
+OP9_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN l ON l.a = r.b),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c
+"""
+
+
+@query("op9_metric_range_join", OP9_SQL)
+def metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = metric_join.near_duplicates(read(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+OP10_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(strlen(text), 0) + 1 AS size FROM documents),
+o AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id ROWS UNBOUNDED PRECEDING) - size AS off FROM d),
+p AS (SELECT *, floor(off / 1048576)::BIGINT AS block FROM o),
+s AS (SELECT source, sqrt(sum(size)) AS w, ceil(sum(size) / 1048576)::BIGINT AS b FROM d GROUP BY source),
+a AS (SELECT list(source ORDER BY source) AS names, list(w ORDER BY source) AS w, list(b ORDER BY source) AS b, sum(b) AS n FROM s),
+wins AS (
+  SELECT x.source, k.k AS block,
+         floor((SELECT sum(least(y.w * (k.k / x.w), y.b)) FROM s y) + 1e-9)::BIGINT AS release,
+         ceil((SELECT sum(least(y.w * ((k.k + 1) / x.w), y.b)) FROM s y) - 1e-9)::BIGINT AS deadline
+  FROM s x, LATERAL (SELECT unnest(range(x.b)) AS k) k),
+win AS (SELECT i - 1 AS i, w.block, w.release, w.deadline FROM wins w, a, LATERAL (SELECT list_position(a.names, w.source) AS i)),
+lists AS (SELECT list(r ORDER BY i) AS r, list(d ORDER BY i) AS d FROM (
+  SELECT i, list(release ORDER BY block) AS r, list(deadline ORDER BY block) AS d FROM win GROUP BY i)),
+run(t, done, i, k) AS (
+  SELECT 0::BIGINT, list_transform((SELECT b FROM a), lambda x: 0::BIGINT), NULL::BIGINT, NULL::BIGINT
+  UNION ALL
+  SELECT t + 1, list_transform(done, lambda x, j: CASE WHEN j = pick.i THEN x + 1 ELSE x END), pick.i, done[pick.i]
+  FROM run, a, lists, LATERAL (
+    SELECT list_sort(list_transform(
+      list_filter(range(1, len(a.b) + 1), lambda j: done[j] < a.b[j] AND lists.r[j][done[j] + 1] <= t),
+      lambda j: {'d': lists.d[j][done[j] + 1], 'i': j}))[1].i AS i) pick
+  WHERE t < a.n)
+SELECT p.doc_id, p.source, p.block, r.t - 1 AS slot, p.off::BIGINT AS "offset"
+FROM run r JOIN a ON r.i IS NOT NULL JOIN p ON p.source = a.names[r.i] AND p.block = r.k
+"""
+
+
+@query("op10_pfair_mix", OP10_SQL)
+def pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfair_mix.mix(read(spark, sf_dir, "documents")).select("doc_id", "source", "block", "slot", "offset")
