@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from labelloom.scratch import cut, spread
 
-__all__ = ["bounded_batches", "cut", "read", "spread", "whole_runs", "word_bytes"]
+__all__ = ["bounded_batches", "cut", "join_labels", "read", "spread", "tiles", "whole_runs", "word_bytes"]
 
 #: Upper bound on the bytes that Spark puts into one Arrow batch, so that long texts do not pile up in a worker.
 BATCH_BYTES = 32 * 1024 * 1024
@@ -63,3 +64,39 @@ def whole_runs(
         count = table.num_rows
     if count:
         yield pa.Table.from_batches(held)
+
+
+def tiles(rows: DataFrame, by: list[str], member: str, most: int) -> DataFrame:
+    """``rows`` with columns chunk, other and tile: groups of more than ``most`` rows become tiles of two hashed chunks.
+
+    Chunk x of a group meets chunk y in one tile, so every pair of members shares a tile and none is unbounded.
+    A row of a group of c chunks is written c times, with its own chunk and the other one of the tile; rows of
+    ordinary groups once, with zeros.
+    """
+    hot = cut(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > most), "hot")
+    if hot.isEmpty():
+        return rows.withColumns({c: F.lit(0) for c in ("chunk", "other", "tile")})
+    chunks = hot.select(*by, F.ceil(F.col("rows") / F.lit(most)).cast("int").alias("chunks"))
+    return (
+        rows.join(chunks, by, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+        .withColumn("chunk", F.pmod(F.xxhash64(member), F.col("chunks")).cast("int"))
+        .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
+        .withColumn("tile", F.least("chunk", "other") * F.col("chunks") + F.greatest("chunk", "other"))
+        .drop("chunks")
+    )
+
+
+def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Lower ``label`` (indices of representatives) in place until a[i] and b[i] agree for every i."""
+    while a.size:
+        while True:
+            jump = label[label]
+            if np.array_equal(jump, label):
+                break
+            label[:] = jump
+        la, lb = label[a], label[b]
+        apart = la != lb
+        if not apart.any():
+            return
+        a, b, la, lb = a[apart], b[apart], la[apart], lb[apart]
+        np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))

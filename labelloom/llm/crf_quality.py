@@ -275,3 +275,16 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").cast("binary").alias("data"))
     return rows.mapInArrow(run, "key long, score double").withColumnRenamed("key", key)
+
+
+def keep(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """Rows of ``docs`` with a score of at least ``least``, with all their columns; texts without lines are kept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [line_statistics((t.as_py() or "").encode()) for t in batch.column(batch.schema.get_field_index(text))]
+            quality = Chains([b for b, _ in found]).quality(model, [n for _, n in found])
+            good = np.isnan(quality) | (model.score(np.nan_to_num(quality, nan=0.5)) >= least)
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -21,9 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import cut, whole_runs
+from labelloom.llm.common import cut, join_labels, tiles, whole_runs
 from labelloom.llm.components import components
-from labelloom.llm.simhash import join_labels
 
 #: Rows that one pivot should stand for, and the most pivots that are sent to the tasks.
 CELL, PIVOTS = 512, 4096
@@ -126,18 +125,17 @@ def _cells(reps: DataFrame, pivots: dict[tuple[str, int], np.ndarray], radius: f
     )
 
 
-def join_cell(x: np.ndarray, d: np.ndarray, own: np.ndarray, chunk: np.ndarray, weight: np.ndarray, cosine: float,
+def join_cell(x: np.ndarray, d: np.ndarray, own: np.ndarray, chunk: np.ndarray, two: bool, weight: np.ndarray, cosine: float,
               radius: float) -> tuple[np.ndarray, np.ndarray]:
     """(partners by weight, label of the least linked row) of each row of a cell.
 
-    Pairs of two copied rows belong to another cell; in a tile of two chunks pairs inside one chunk belong to another tile.
+    Pairs of two copied rows belong to another cell; in a tile of ``two`` chunks pairs inside one chunk belong to another tile.
     """
     n = d.size
     order = np.argsort(d, kind="stable")
     x, d, own, chunk, weight_in = x[order], d[order], own[order], chunk[order], weight[order]
     u = _units(x)
     size = np.sqrt((x * x).sum(axis=1))
-    two = np.unique(chunk).size > 1
     counts, label = np.zeros(n, np.int64), np.arange(n)
     for at in range(0, n, _BLOCK):
         stop = min(at + _BLOCK, n)
@@ -191,7 +189,8 @@ def _join(cells: DataFrame, cosine: float, radius: float, tile: int) -> DataFram
                     continue
                 rep, weight = part.column("rep").to_numpy(), part.column("weight").to_numpy()
                 counts, label = join_cell(
-                    _matrix(part.column("v")), part.column("d").to_numpy(), own, part.column("chunk").to_numpy(), weight, cosine, radius
+                    _matrix(part.column("v")), part.column("d").to_numpy(), own, part.column("chunk").to_numpy(),
+                    part.column("chunk")[0].as_py() != part.column("other")[0].as_py(), weight, cosine, radius,
                 )
                 hit = counts > 0
                 if hit.any():
@@ -199,18 +198,7 @@ def _join(cells: DataFrame, cosine: float, radius: float, tile: int) -> DataFram
                         [pa.array(rep[hit]), pa.array(rep[label[hit]]), pa.array(counts[hit])], names=["a", "b", "n"]
                     )
 
-    counts = cut(cells.groupBy("label", "width", "cell").agg(F.count(F.lit(1)).alias("rows")), "cells").where(F.col("rows") > tile)
-    rows = cells.withColumn("chunk", F.lit(0)).withColumn("tile", F.lit(0))
-    if not counts.isEmpty():
-        many = F.ceil(F.col("rows") / F.lit(tile)).cast("int")
-        rows = (
-            cells.join(counts.select("label", "width", "cell", many.alias("chunks")), ["label", "width", "cell"], "left")
-            .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-            .withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
-            .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
-            .withColumn("tile", F.least("chunk", "other") * F.col("chunks") + F.greatest("chunk", "other"))
-            .drop("chunks", "other")
-        )
+    rows = tiles(cells, ["label", "width", "cell"], "rep", tile)
     return (
         rows.repartition("label", "width", "cell", "tile").sortWithinPartitions("label", "width", "cell", "tile", "rep")
         .mapInArrow(run, "a long, b long, n long")

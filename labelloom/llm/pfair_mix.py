@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1024 * 1024
+#: Hash ranges into which every source is cut for its running sums.
+BUCKETS = 4096
 #: Slots that the fold appends at once.
 FRAME = 256
 
@@ -30,15 +32,14 @@ def blocks(docs: DataFrame, key: str = "doc_id", source: str = "source", text: s
     """(key, source, size, offset, block): place of every document in its source.
 
     The offset is a running sum of sizes (UTF-8 bytes plus one) in the order of md5(key), key. It is summed in
-    buckets of about a block each, so a hot source is never one window. Null sources count as ''.
+    BUCKETS hash ranges of each source, so a hot source is never one window. Null sources count as ''.
     """
     rows = docs.select(
         F.col(key).alias("key"), F.coalesce(F.col(source), F.lit("")).alias("source"), _size(text).alias("size"),
         F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("h"),
     )
-    totals = rows.groupBy("source").agg(F.ceil(F.sum("size") / F.lit(block_bytes)).alias("many"))
     leading = F.conv(F.substring("h", 1, 8), 16, 10).cast("long")
-    placed = rows.join(totals, "source").withColumn("bucket", F.floor(leading * F.col("many") / F.lit(2**32)))
+    placed = rows.withColumn("bucket", F.floor(leading * F.lit(BUCKETS) / F.lit(2**32)))
     sums = placed.groupBy("source", "bucket").agg(F.sum("size").alias("bytes"))
     upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     before = sums.select("source", "bucket", (F.sum("bytes").over(upto) - F.col("bytes")).alias("before"))

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.llm import (
-    crf_quality, fm_decontaminate, metric_join, pfair_mix, shuffle_shards, simhash, token_output, url_filter,
+    crf_quality, fm_decontaminate, license_scan, metric_join, paragraph_minhash, pfair_mix, shuffle_shards, simhash, token_output,
+    url_filter,
 )
 from labelloom.llm.common import read
 
@@ -190,3 +191,13 @@ FROM run r JOIN a ON r.i IS NOT NULL JOIN p ON p.source = a.names[r.i] AND p.blo
 @query("op10_pfair_mix", OP10_SQL)
 def pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mix(read(spark, sf_dir, "documents")).select("doc_id", "source", "block", "slot", "offset")
+
+
+@query("op4_license_scan")
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
+@query("op7_paragraph_minhash")
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_minhash.repeated_spans(read(spark, sf_dir, "documents"))
