@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from labelloom.llm.common import whole_runs
 from labelloom.scratch import new_path
@@ -36,9 +37,9 @@ def shuffled(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "tex
     """All columns of ``docs`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard).
 
     Null texts and null keys are ordinary values. Rows with equal key and text keep an arbitrary order among
-    themselves. An empty table stays empty. Columns called shard, slot, bucket or place are not allowed.
+    themselves. An empty table stays empty. Columns called shard, slot, _bucket, _at or _all are not allowed.
     """
-    clash = {"shard", "slot", "_bucket", "_place"} & set(docs.columns)
+    clash = {"shard", "slot", "_bucket", "_at", "_all"} & set(docs.columns)
     if clash:
         raise ValueError(f"reserved column names: {sorted(clash)}")
     total = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 16)).first()[0] or 0
@@ -46,34 +47,38 @@ def shuffled(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "tex
     hashed = F.xxhash64(F.lit(seed), F.col(key), F.col(text))
     scattered = docs.withColumn("_bucket", F.pmod(hashed, F.lit(buckets)))
     counts = scattered.groupBy("_bucket").agg(F.count(F.lit(1)).alias("rows"))
-    # One row per bucket: where it begins in the global order, and how many records there are.
+    # One marker row per bucket travels with its records: where the bucket begins in the global order, and how many
+    # records there are. So the records need no join, whatever the number of buckets.
     order = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    offsets = counts.select(
-        "_bucket", (F.sum("rows").over(order) - F.col("rows")).alias("before"), F.sum("rows").over(Window.partitionBy()).alias("all_rows")
-    )
     names = docs.columns
+    markers = counts.select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields], "_bucket",
+        (F.sum("rows").over(order) - F.col("rows")).alias("_at"), F.sum("rows").over(Window.partitionBy()).alias("_all"),
+    )
+    nothing = F.lit(None).cast("long")
+    every = scattered.select(*names, "_bucket", nothing.alias("_at"), nothing.alias("_all")).unionAll(markers)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_runs(batches, lambda t: t.column("_bucket").to_numpy(), 1):
             numbers = table.column("_bucket").to_numpy()
             starts = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]])
             for at, end in zip(starts, np.r_[starts[1:], numbers.size], strict=True):
-                n = int(end - at)
-                place = np.empty(n, np.int64)
-                take = permutation(n, seed, int(numbers[at]))
-                place[take] = np.arange(n)
-                part = table.slice(at, n).append_column("_place", pa.array(place)).take(pa.array(take))
+                marker, n = table.slice(at, 1), int(end - at) - 1
+                before, total = marker.column("_at")[0].as_py(), marker.column("_all")[0].as_py()
+                part = table.slice(at + 1, n).take(pa.array(permutation(n, seed, int(numbers[at]))))
+                part = part.set_column(len(names) + 1, "_at", pa.array(np.arange(before, before + n)))
+                part = part.set_column(len(names) + 2, "_all", pa.array(np.full(n, total)))
                 yield from part.combine_chunks().to_batches(max_chunksize=4096)
 
-    schema = scattered.select(*names, "_bucket").withColumn("_place", F.lit(0).cast("long")).schema
+    schema = StructType([StructField(f.name, f.dataType, True) for f in every.schema.fields])
     placed = (
-        scattered.repartition(F.col("_bucket")).sortWithinPartitions("_bucket", hashed, key)
-        .mapInArrow(run, schema).join(offsets, "_bucket")
+        every.repartition(F.col("_bucket")).sortWithinPartitions("_bucket", F.col("_at").isNull(), hashed, key)
+        .mapInArrow(run, schema)
     )
-    at = F.col("before") + F.col("_place")
+    at = F.col("_at")
     # Shards 0 .. r - 1 take q + 1 rows, the others q.
-    q = F.floor(F.col("all_rows") / F.lit(shards))
-    r = F.col("all_rows") % shards
+    q = F.floor(F.col("_all") / F.lit(shards))
+    r = F.col("_all") % shards
     in_large = at < r * (q + 1)
     large = F.floor(at / (q + 1))
     small = r + F.floor((at - r * (q + 1)) / F.greatest(q, F.lit(1)))
