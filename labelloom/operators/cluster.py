@@ -17,7 +17,7 @@ from labelloom.functions.vectors import matrix, squared_distances
 from labelloom.operators.clean import CLUSTER_METHODS, require_vectors
 from labelloom.operators.lloyd import MAX_CENTRE_BYTES, kmeans_candidates
 from labelloom.operators.neighbors import knn
-from labelloom.operators.silhouette import EXACT_ROWS, grouped_silhouette, silhouette_value
+from labelloom.operators.silhouette import grouped_silhouette, require_kind, silhouette_value
 from labelloom.scratch import cut, settle
 
 
@@ -152,43 +152,57 @@ def candidate_ks(n: int, n_clusters: int | None, min_cluster_size: int) -> list[
 
 def cluster(
     points: DataFrame, method: str = "auto", n_clusters: int | None = None, min_cluster_size: int = 10,
-    restarts: int = 10, iterations: int = 300, seed: int = 42, exact_rows: int = EXACT_ROWS,
+    restarts: int = 10, iterations: int = 300, seed: int = 42, silhouette: str = "exact",
 ) -> tuple[DataFrame, DataFrame]:
     """((id, cluster_id), candidate table) for a written table of (id, v).
 
     All k-means candidates share their passes over the data.  The candidate
-    table lists every method tried with its silhouette and its kind.
+    table lists every method tried with its silhouette and its kind.  With
+    ``auto`` a method that fails is left out; only if none is left does it raise.
     """
     from labelloom.operators.density import density_cluster
 
     if method not in CLUSTER_METHODS:
         raise ValueError(f"unknown clustering method: {method}")
+    require_kind(silhouette)
     require_vectors(points)
     n = points.count()
     if n < min_cluster_size:
         raise ValueError(f"{n} rows are fewer than min_cluster_size {min_cluster_size}")
     k = n_clusters if n_clusters is not None else estimate_k(n, min_cluster_size)
-    results: list[tuple[str, int, DataFrame]] = []
-    if method in ("auto", "hdbscan"):
-        found = cut(density_cluster(points, min_cluster_size).select("id", "cluster_id"), "density")
-        results.append(("hdbscan", -1, found))
     ks = candidate_ks(n, n_clusters, min_cluster_size) if method == "auto" else [k]
-    if method in ("auto", "kmeans") and ks:
+
+    def by_density() -> list[tuple[str, int, DataFrame]]:
+        return [("hdbscan", -1, cut(density_cluster(points, min_cluster_size).select("id", "cluster_id"), "density"))]
+
+    def by_means() -> list[tuple[str, int, DataFrame]]:
         grouped = points.select(F.lit(0).cast("bigint").alias("grp"), "id", "v")
         labelled, models = kmeans_candidates(grouped, ks, restarts, iterations, seed)
         at = {m.k: i for i, m in enumerate(models)}
-        for k_try in ks:
-            if k_try in at:
-                column = labelled.select("id", F.get("labs", F.lit(at[k_try])).alias("cluster_id"))
-                results.append(("kmeans", k_try, column))
-    if method == "spectral" or (method == "auto" and 2 <= k < n):
-        results.append(("spectral", k, graph_cluster(points, k)))
+        column = lambda k_try: labelled.select("id", F.get("labs", F.lit(at[k_try])).alias("cluster_id"))
+        return [("kmeans", k_try, column(k_try)) for k_try in ks if k_try in at]
+
+    def by_graph() -> list[tuple[str, int, DataFrame]]:
+        return [("spectral", k, graph_cluster(points, k))]
+
+    results: list[tuple[str, int, DataFrame]] = []
+    failed: list[str] = []
+    tries = [("hdbscan", by_density, True), ("kmeans", by_means, bool(ks)), ("spectral", by_graph, method == "spectral" or 2 <= k < n)]
+    for name, attempt, applies in tries:
+        if method not in ("auto", name) or not applies:
+            continue
+        try:
+            results += attempt()
+        except Exception as error:
+            if method != "auto":
+                raise
+            failed.append(f"{name}: {error}")
     scores = []
     for order, (name, k_try, assigned) in enumerate(results):
-        value, kind = silhouette_value(points.join(assigned, "id"), exact_rows=exact_rows)
-        scores.append((order, name, k_try, value, kind))
+        value = silhouette_value(points.join(assigned, "id"), kind=silhouette)
+        scores.append((order, name, k_try, value, silhouette))
     if not scores:
-        raise RuntimeError("no clustering method applies")
+        raise RuntimeError("no clustering method applies" + "".join(f"; {x}" for x in failed))
     table = points.sparkSession.createDataFrame(
         scores, "try_order int, method string, k int, silhouette double, silhouette_kind string"
     )
@@ -196,12 +210,12 @@ def cluster(
     return cut(canonical(results[best[0]][2]), "clusters"), table
 
 
-def cluster_metrics(df: DataFrame) -> DataFrame:
-    """One row: rows, real clusters, noise rows, noise share, silhouette."""
-    value, kind = silhouette_value(df)
+def cluster_metrics(df: DataFrame, silhouette: str = "exact") -> DataFrame:
+    """One row: rows, real clusters, noise rows, noise share, silhouette and its kind."""
+    value = silhouette_value(df, kind=silhouette)
     return df.agg(
         F.count(F.lit(1)).alias("n_samples"),
         F.count_distinct(F.when(F.col("cluster_id") >= 0, F.col("cluster_id"))).alias("n_clusters"),
         F.count_if(F.col("cluster_id") == -1).alias("n_noise"),
         F.coalesce(F.avg((F.col("cluster_id") == -1).cast("double")), F.lit(0.0)).alias("noise_ratio"),
-    ).select("*", F.lit(value).alias("silhouette"), F.lit(kind).alias("silhouette_kind"))
+    ).select("*", F.lit(value).alias("silhouette"), F.lit(silhouette).alias("silhouette_kind"))

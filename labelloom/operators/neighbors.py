@@ -19,13 +19,13 @@ LEADERS = 512
 PLAIN_CHUNKS = 8
 
 
-def _exact_distances(x: np.ndarray, y: np.ndarray, picks: np.ndarray) -> np.ndarray:
-    """Distances of every row of x to its picked rows of y, without cancellation."""
-    out = np.empty(picks.shape)
-    step = max(1, (8 << 20) // max(1, 8 * picks.shape[1] * x.shape[1]))
-    for start in range(0, len(x), step):
+def _exact_distances(x: np.ndarray, y: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+    """Distances between rows of x and rows of y, pair by pair, without cancellation."""
+    out = np.empty(len(row))
+    step = max(1, (1 << 20) // max(1, x.shape[1]))
+    for start in range(0, len(row), step):
         part = slice(start, start + step)
-        out[part] = np.sqrt(((x[part, None, :] - y[picks[part]]) ** 2).sum(-1))
+        out[part] = np.sqrt(((x[row[part]] - y[col[part]]) ** 2).sum(-1))
     return out
 
 
@@ -85,19 +85,18 @@ def _knn_core(points: DataFrame, k: int, cell_rows: int) -> DataFrame:
     def nearest(same, a_ids, a, b_ids, b, a_radius, a_extra, b_extra):
         d2 = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
         d2[a_ids[:, None] == b_ids[None, :]] = np.inf
-        take = min(len(b_ids), k + 8)
-        picks = np.argpartition(d2, take - 1, axis=1)[:, :take] if take < len(b_ids) else np.tile(
-            np.arange(len(b_ids)), (len(a_ids), 1)
-        )
-        dist = _exact_distances(a, b, picks)
-        nbr = b_ids[picks]
-        dist[nbr == a_ids[:, None]] = np.inf
-        order = np.lexsort((nbr, dist), axis=1)[:, : min(k, take)]
-        dist = np.take_along_axis(dist, order, 1)
-        nbr = np.take_along_axis(nbr, order, 1)
-        ok = (dist <= a_radius[:, None]) & np.isfinite(dist)
-        rows = np.broadcast_to(a_ids[:, None], ok.shape)
-        return {"id": rows[ok], "nbr": nbr[ok], "distance": dist[ok]}
+        reach = (a_radius**2)[:, None]
+        if len(b_ids) > k:
+            # Every column as near as the k-th one, with room for rounding: ties are decided below, by exact distance and id.
+            reach = np.minimum(reach, np.partition(d2, k - 1, axis=1)[:, k - 1 : k])
+        slack = 1e-9 * (1 + (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :])
+        row, col = np.nonzero((d2 <= reach + slack) & np.isfinite(d2))
+        dist = _exact_distances(a, b, row, col)
+        order = np.lexsort((b_ids[col], dist, row))
+        row, col, dist = row[order], col[order], dist[order]
+        first = np.searchsorted(row, np.arange(len(a_ids)))
+        ok = (np.arange(len(row)) - first[row] < k) & (dist <= a_radius[row])
+        return {"id": a_ids[row[ok]], "nbr": b_ids[col[ok]], "distance": dist[ok]}
 
     found = join_cells(cells, sources, nearest, "id bigint, nbr bigint, distance double")
     rank = F.row_number().over(Window.partitionBy("id").orderBy("distance", "nbr"))

@@ -3,9 +3,8 @@
 The exact value is defined over all pairs, so its work is quadratic in the
 number of distinct points of a group.  Blocks of bounded size meet through an
 equi-join and only distance *sums* per (point, cluster) leave a task.  Equal
-points are collapsed to one weighted point first.  ``EXACT_ROWS`` is the size
-up to which callers that may choose take the exact value; beyond it they take
-``silhouette_squared``, one linear pass that is reported under its own name.
+points are collapsed to one weighted point first.  Callers choose between it and
+the squared variant, one linear pass, by name (``KINDS``); no row count does.
 """
 
 from __future__ import annotations
@@ -24,7 +23,12 @@ from labelloom.functions.vectors import list_column, matrix, squared_distances
 from labelloom.operators.pairs import BLOCK_ROWS, pairwise
 from labelloom.scratch import cut, settle
 
-EXACT_ROWS = 200_000
+KINDS = ("exact", "squared")
+
+
+def require_kind(kind: str) -> None:
+    if kind not in KINDS:
+        raise ValueError(f"unknown silhouette: {kind}")
 
 
 def silhouette_rows(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -52,6 +56,7 @@ def silhouette_rows(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFram
         own = a["labs"].astype(np.int64)
         labs = b["labs"].astype(np.int64)
         d = np.sqrt(squared_distances(a["v"], b["v"]))
+        d[a["id"][:, None] == b["id"][None, :]] = 0.0
         for cand in range(labs.shape[1]):
             found, code = np.unique(labs[:, cand], return_inverse=True)
             marks = np.zeros((len(d[0]), len(found)))
@@ -212,16 +217,11 @@ def grouped_silhouette_squared(points: DataFrame) -> DataFrame:
     )
 
 
-def split_silhouette(points: DataFrame, sizes: dict[int, int], exact_rows: int = EXACT_ROWS) -> DataFrame:
-    """(grp, cand, silhouette, kind): exact for groups up to ``exact_rows``, squared for larger ones."""
-    large = [g for g, n in sizes.items() if n > exact_rows]
-    if not large:
-        return grouped_silhouette(points).withColumn("kind", F.lit("exact"))
-    is_large = F.col("grp").isin(large)
-    exact = grouped_silhouette(points.where(~is_large)).withColumn("kind", F.lit("exact"))
-    return exact.unionByName(
-        grouped_silhouette_squared(points.where(is_large)).withColumn("kind", F.lit("squared"))
-    )
+def split_silhouette(points: DataFrame, kind: str = "exact") -> DataFrame:
+    """(grp, cand, silhouette, kind) of the given kind for every group, whatever its size."""
+    require_kind(kind)
+    scored = grouped_silhouette(points) if kind == "exact" else grouped_silhouette_squared(points)
+    return scored.withColumn("kind", F.lit(kind))
 
 
 def labelled(df: DataFrame, cluster: str = "cluster_id", v: str = "v", id_: str = "id") -> DataFrame:
@@ -256,8 +256,9 @@ def silhouette_squared(df: DataFrame, cluster: str = "cluster_id", v: str = "v")
     return float(ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(rows))
 
 
-def silhouette_value(df: DataFrame, cluster: str = "cluster_id", v: str = "v", exact_rows: int = EXACT_ROWS) -> tuple[float, str]:
-    """(value, kind) with the kind chosen by the number of rows."""
-    if df.count() <= exact_rows:
-        return float(silhouette(df, cluster, v).first().silhouette), "exact"
-    return silhouette_squared(df, cluster, v), "squared"
+def silhouette_value(df: DataFrame, cluster: str = "cluster_id", v: str = "v", kind: str = "exact") -> float:
+    """Mean silhouette of the given kind."""
+    require_kind(kind)
+    if kind == "exact":
+        return float(silhouette(df, cluster, v).first().silhouette)
+    return silhouette_squared(df, cluster, v)

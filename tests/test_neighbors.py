@@ -111,7 +111,7 @@ def test_linear_silhouette_equals_brute_force_on_squares(points, blobs):
     d = ((x[keep][:, None] - x[keep][None]) ** 2).sum(-1)
     got = silhouette.grouped_silhouette_squared(silhouette.labelled(points(x, labels))).first().silhouette
     assert got == pytest.approx(brute_silhouette(x, labels, d), abs=1e-9)
-    kinds = silhouette.split_silhouette(silhouette.labelled(points(x, labels)), {0: 121}, exact_rows=50)
+    kinds = silhouette.split_silhouette(silhouette.labelled(points(x, labels)), "squared")
     assert kinds.first().kind == "squared" and kinds.first().silhouette == pytest.approx(got)
 
 
@@ -125,3 +125,24 @@ def test_silhouette_edge_cases(points):
 
 def test_core_distance_of_one_sample_is_zero(points):
     assert {r.core for r in neighbors.core_distance(points([[0.0], [3.0]]), 1).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("cell_rows", [16, 64, 4096])
+@pytest.mark.parametrize("kind", ["one_hot", "grid", "hashed"])
+def test_neighbours_on_ties_go_to_the_smaller_id(points, cell_rows, kind):
+    rng = np.random.default_rng(5)
+    if kind == "one_hot":
+        x = np.eye(90)
+    elif kind == "grid":
+        x = np.array([[i, j, k] for i in range(6) for j in range(5) for k in range(4)], dtype=float)
+    else:
+        x = (rng.random((110, 12)) < 0.15).astype(float)
+        x[:, 0] = np.where(x.any(axis=1), x[:, 0], 1.0)
+    k = 3
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    want = {i: [int(j) for j in np.lexsort((np.arange(len(x)), d[i]))[:k]] for i in range(len(x))}
+    got: dict[int, list[int]] = {}
+    for r in neighbors.knn(points(x, partitions=2), k, cell_rows).orderBy("id", "rank").collect():
+        got.setdefault(r.id, []).append(r.nbr)
+    assert got == want
