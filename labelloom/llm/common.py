@@ -14,7 +14,7 @@ from labelloom.scratch import cut, spread
 __all__ = ["bounded_batches", "cut", "join_labels", "read", "spread", "tiles", "whole_runs", "word_bytes"]
 
 #: Upper bound on the bytes that Spark puts into one Arrow batch, so that long texts do not pile up in a worker.
-BATCH_BYTES = 32 * 1024 * 1024
+BATCH_BYTES = 8 * 1024 * 1024
 
 
 def bounded_batches(spark: SparkSession) -> None:

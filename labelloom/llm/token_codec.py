@@ -3,7 +3,8 @@
 Every block starts with an empty model and can be decoded by itself. The model sees dense slots instead
 of ids: slot 0 announces an id that is new in the block (its 16 bits follow), slot k the k-th distinct id.
 
-* Order 0: adaptive counts of all slots, in a tree of 16 x 16 x 16 exclusive sums.
+* Order 0: adaptive counts of all slots. Their running sums are renewed after 8, 16, 32 and 64 tokens and then
+  every 128; an id that is new since the last renewal is announced again, with its 16 bits.
 * Order 1 and 2: the slot that last followed the same one (two) slots, with a confidence of 0 to 7.
 * Mixing: for each confidence the coder learns how often that prediction holds. These rates split the
   probability mass among the order-2 prediction, the order-1 prediction and the order-0 counts, so one
@@ -22,7 +23,6 @@ BLOCK = 2 * (SLOTS - 1)
 _ALL, _RAW = 26, 16  # bits of the total of a mixture and of a new id
 _TOP, _BOT = np.uint64(1 << 32), np.uint64(1 << 31)
 _U32 = np.uint64(32)
-_ABOVE = np.triu(np.ones((16, 16), np.uint16), 1)  # row d adds one to every exclusive sum behind d
 _CAP = 64512  # 63/64 of 2^16: some mass always stays with order 0
 
 
@@ -38,22 +38,42 @@ def cut_blocks(ids: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _renews(t: int) -> bool:
+    """Whether the running sums are renewed behind token t."""
+    n = t + 1
+    return n % 128 == 0 or n in (8, 16, 32, 64)
+
+
 class _Model:
     """The state of all lanes; ``a`` is the number of lanes that are still active (a prefix)."""
 
     def __init__(self, lanes: int) -> None:
-        self.e0 = np.zeros((lanes, 16), np.uint16)
-        self.e1 = np.zeros((lanes * 16, 16), np.uint16)
-        self.e2 = np.zeros((lanes * 256, 16), np.uint16)
         self.f = np.zeros(lanes * SLOTS, np.uint16)
+        self.f[::SLOTS] = 1
+        self.lane = np.arange(lanes)
+        self.base = (self.lane << 15).astype(np.int32)
+        #: Running sums of f as of the last renewal, each lane above those before it, so that one search serves all.
+        self.sum = np.empty((lanes, SLOTS + 1), np.int32)
+        #: Slots that the running sums know, and slots in use.
+        self.ready, self.known = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         # Slot that came last, times eight, plus its confidence.
         self.p1, self.p2 = np.zeros(lanes * SLOTS, np.uint16), np.zeros(lanes * SLOTS, np.uint16)
         start = (np.arange(8) * 7000 + 6000).astype(np.int64)
         self.w1, self.w2 = np.tile(start, lanes), np.tile(start, lanes)
-        self.total = np.zeros(lanes, np.int64)
         self.prev, self.prev2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.lane = np.arange(lanes)
-        self.count(lanes, np.zeros(lanes, np.int64), self.lane)
+        self.renew(lanes)
+
+    def renew(self, a: int) -> None:
+        used = int(self.known[:a].max()) + 1
+        counts = self.f.reshape(-1, SLOTS)[:a, :used]
+        self.sum[:a, 0] = self.base[:a]
+        np.cumsum(counts, axis=1, dtype=np.int32, out=self.sum[:a, 1 : used + 1])
+        self.sum[:a, 1 : used + 1] += self.base[:a, None]
+        self.sum[:a, used + 1 :] = self.sum[:a, used, None]
+        self.total = (self.sum[:, used] - self.base).astype(np.int64) if a == self.lane.size else np.r_[
+            (self.sum[:a, used] - self.base[:a]).astype(np.int64), self.total[a:]
+        ]
+        self.ready[:a] = self.known[:a]
 
     def predict(self, a: int) -> None:
         lane = self.lane[:a]
@@ -70,12 +90,11 @@ class _Model:
 
     def sums(self, a: int, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scaled order-0 sum below ``slot`` and through it."""
-        lane, total = self.lane[:a], self.total[:a]
-        below = (
-            self.e0[lane, slot >> 8].astype(np.int64) + self.e1[lane * 16 + (slot >> 8), (slot >> 4) & 15]
-            + self.e2[lane * 256 + (slot >> 4), slot & 15]
-        )
-        return self.m0 * below // total, self.m0 * (below + self.f[lane * SLOTS + slot]) // total
+        at = self.lane[:a] * (SLOTS + 1) + slot
+        flat, total = self.sum.ravel(), self.total[:a]
+        below = (flat[at] - self.base[:a]).astype(np.int64)
+        through = (flat[at + 1] - self.base[:a]).astype(np.int64)
+        return self.m0 * below // total, self.m0 * through // total
 
     def interval(self, a: int, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of ``slot`` in the mixture."""
@@ -90,28 +109,19 @@ class _Model:
         in1, in2 = (v >= s1) & (v < s1 + n1), (v >= s2) & (v < s2 + n2)
         rest = v - np.where(v >= s1 + n1, self.m1, 0) - np.where(v >= s2 + n2, self.m2, 0)
         rest = np.clip(rest, 0, self.m0 - 1)
-        lane = self.lane[:a]
         u = ((rest + 1) * self.total[:a] - 1) // self.m0
-        hi = (self.e0[:a] <= u[:, None]).sum(axis=1) - 1
-        u = u - self.e0[lane, hi]
-        row = self.e1[lane * 16 + hi]
-        mid = (row <= u[:, None]).sum(axis=1) - 1
-        u = u - row[lane, mid]
-        row = self.e2[lane * 256 + hi * 16 + mid]
-        low = (row <= u[:, None]).sum(axis=1) - 1
-        return np.where(in1, self.c1, np.where(in2, self.c2, (hi << 8) | (mid << 4) | low))
-
-    def count(self, a: int, slot: np.ndarray, lane: np.ndarray) -> None:
-        hi, mid, low = slot >> 8, (slot >> 4) & 15, slot & 15
-        self.e0[lane] += _ABOVE[hi]
-        self.e1[lane * 16 + hi] += _ABOVE[mid]
-        self.e2[lane * 256 + (slot >> 4)] += _ABOVE[low]
-        self.f[lane * SLOTS + slot] += 1
-        self.total[lane] += 1
+        lane = self.lane[:a]
+        found = np.searchsorted(self.sum[:a].ravel(), (u + self.base[:a]).astype(np.int32), "right") - 1 - lane * (SLOTS + 1)
+        return np.where(in1, self.c1, np.where(in2, self.c2, found))
+
+    def announce(self, lane: np.ndarray, fresh: np.ndarray) -> None:
+        """Count announcements, and the slots that they bring into use."""
+        self.f[lane * SLOTS] += 1
+        self.known[lane] += fresh
 
     def learn(self, a: int, slot: np.ndarray) -> None:
-        """Take in the slot just coded (the new one after an announcement)."""
-        self.count(a, slot, self.lane[:a])
+        """Take in the slot just coded (the announced one after an announcement)."""
+        self.f[self.lane[:a] * SLOTS + slot] += 1
         for guess, at, p, sure, index, rate, w in (
             (self.c1, self.at1, self.p1, self.k1, self.i1, self.r1, self.w1),
             (self.c2, self.at2, self.p2, self.k2, self.i2, self.r2, self.w2),
@@ -232,15 +242,18 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     for t in range(longest):
         a = int(active[t])
         lanes = slice(0, a)
-        slot, new = slots[t, :a].astype(np.int64), fresh[t, :a]
+        slot = slots[t, :a].astype(np.int64)
         model.predict(a)
-        coded = np.where(new, 0, slot)
-        coder.put(lanes, *model.interval(a, coded), _ALL)
-        who = np.flatnonzero(new)
+        unknown = slot > model.ready[:a]
+        # A slot that the sums do not know can still be the order-1 or order-2 prediction, but is announced all the same.
+        coder.put(lanes, *model.interval(a, np.where(unknown, 0, slot)), _ALL)
+        who = np.flatnonzero(unknown)
         if who.size:
             coder.put(who, raw[t, who].astype(np.int64), np.ones(who.size, np.int64), _RAW)
-            model.count(a, np.zeros(who.size, np.int64), who)
+            model.announce(who, fresh[t, who])
         model.learn(a, slot)
+        if _renews(t):
+            model.renew(a)
     payloads = coder.finish()
     out: list[bytes] = [b""] * order.size
     for i, j in enumerate(order.tolist()):
@@ -259,7 +272,6 @@ def decode(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     model, coder = _Model(lanes), _Decoder([payloads[j] for j in order.tolist()])
     ids = np.zeros((longest, lanes), np.uint16)
     names = np.zeros((lanes, SLOTS), np.uint16)
-    known = np.zeros(lanes, np.int64)
     active = np.searchsorted(-sizes, -np.arange(longest), "left")
     for t in range(longest):
         a = int(active[t])
@@ -271,14 +283,21 @@ def decode(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         if who.size:
             raw = coder.target(who, _RAW)
             coder.take(who, raw, np.ones(who.size, np.int64), _RAW)
-            model.count(a, np.zeros(who.size, np.int64), who)
-            known[who] += 1
-            if int(known[who].max()) >= SLOTS:
+            # The id may have come since the last renewal: look among the slots that the sums do not know yet.
+            first, last = model.ready[who], model.known[who]
+            waiting = first[:, None] + 1 + np.arange(int((last - first).max()))
+            same = (names[who[:, None], np.minimum(waiting, SLOTS - 1)] == raw[:, None]) & (waiting <= last[:, None])
+            seen = same.any(axis=1)
+            at = np.where(seen, first + 1 + (same.argmax(axis=1) if same.shape[1] else 0), last + 1)
+            if int(at.max()) >= SLOTS:
                 raise ValueError("damaged block")
-            names[who, known[who]] = raw
-            slot[who] = known[who]
+            names[who, at] = raw
+            model.announce(who, ~seen)
+            slot[who] = at
         ids[t, :a] = names[model.lane[:a], slot]
         model.learn(a, slot)
+        if _renews(t):
+            model.renew(a)
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * lanes
     for i, j in enumerate(order.tolist()):
         out[j] = np.ascontiguousarray(ids[: sizes[i], i]).astype(np.uint32)

@@ -36,8 +36,8 @@ _HEAD = "<5I"
 _HEAD_BYTES = struct.calcsize(_HEAD)
 #: Blocks that are coded in lockstep; bounds a worker's memory.
 LANES = 1024
-#: Distinct words that a worker remembers with their ids.
-WORDS = 1_000_000
+#: Distinct pieces that a worker remembers with their ids; later ones are encoded whenever they come.
+WORDS = 250_000
 
 
 class _Numbers(dict):
@@ -65,9 +65,6 @@ class WordTokenizer:
         self._library.encode_special_tokens = True
         self._pattern = regex.compile(public_tokenizers.PATTERN).findall
         self._runs = regex.compile(r"\s \s| $|  ").search
-        self._clear()
-
-    def _clear(self) -> None:
         self._number = _Numbers()
         self._first = np.zeros(1, np.int64)
         self._ids = np.zeros(0, np.uint16)
@@ -86,8 +83,6 @@ class WordTokenizer:
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row and the number of ids of each."""
-        if len(self._number) > WORDS:
-            self._clear()
         numbers = self._number
         numbers.new = new = []
         number = numbers.__getitem__
@@ -107,6 +102,10 @@ class WordTokenizer:
         sizes = self._first[flat + 1] - first
         run = np.cumsum(sizes)
         ids = self._ids[np.repeat(first - (run - sizes), sizes) + np.arange(run[-1] if run.size else 0)]
+        if len(numbers) > WORDS:  # the memory is full: forget what these texts have added
+            for word in new:
+                del numbers[word]
+            self._first, self._ids = self._first[: len(numbers) + 1], self._ids[: self._first[len(numbers)]]
         return ids, np.diff(np.r_[0, run][np.r_[0, np.cumsum(counts)]])
 
 
