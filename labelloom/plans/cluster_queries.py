@@ -76,7 +76,7 @@ def kmeans_ml(spark, sf):
 
 @query("kmeans_restarts")
 def kmeans_restarts(spark, sf):
-    return cluster.kmeans(points(spark, sf), 5, restarts=5, iterations=50)
+    return cluster.kmeans(points(spark, sf), 5)
 
 
 @query("assign_nearest", f"""

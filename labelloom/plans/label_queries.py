@@ -236,10 +236,10 @@ def label_clusters_responses(spark, sf):
 @query("label_join", f"""
 WITH {D_SQL}, {_KW_SQL}, {_KWL_SQL}, {_TOKL_SQL}, {_LABELS_SQL}
 SELECT id, coalesce(label, 'unknown') AS label, coalesce(round(confidence, 6) + 0e0, 0e0) AS confidence
-FROM d LEFT JOIN (SELECT * FROM labels WHERE cluster_id < 15) USING (cluster_id)""")
+FROM d LEFT JOIN labels USING (cluster_id)""")
 def label_join(spark, sf):
     docs = documents(spark, sf)
-    labels = naming.label_clusters(docs).where("cluster_id < 15")
+    labels = naming.label_clusters(docs)
     return naming.join_labels(docs, labels).select("id", "label", r6("confidence").alias("confidence"))
 
 
@@ -342,13 +342,17 @@ def ucb_running(spark, sf):
     )
 
 
-# Provenance: two naming rounds, the second over the shorter half of the documents.
+# Provenance: two naming rounds over all documents; before the second, every other length moves on by one cluster.
+_MOVED = "CASE WHEN n_chars % 2 = 1 THEN (cluster_id + 1) % 20 ELSE cluster_id END"
+
+
 def _history(spark, sf):
     docs = cut(documents(spark, sf), "docs")
     shortest = cut(_shortest(spark, sf).select("cluster_id", "id", "rank", "content"), "reps")
     prompt = naming.prompts(shortest)
     rounds = []
-    for i, part in enumerate((docs, docs.where("n_chars < 800"))):
+    moved = docs.withColumn("cluster_id", F.expr(_MOVED).cast("int"))
+    for i, part in enumerate((docs, moved)):
         rounds.append(provenance.records(naming.label_clusters(part), prompt, shortest, i))
     return cut(rounds[0].unionByName(rounds[1]), "history")
 
@@ -365,7 +369,7 @@ def _round_sql(i: int, source: str) -> str:
 
 
 _HISTORY = _HISTORY_SQL.format(
-    _round_sql(0, "full_d") + "\n" + _round_sql(1, "(SELECT * FROM full_d WHERE n_chars < 800)")
+    _round_sql(0, "full_d") + "\n" + _round_sql(1, f"(SELECT * REPLACE (({_MOVED})::INT AS cluster_id) FROM full_d)")
 )
 
 
@@ -393,9 +397,13 @@ def label_history(spark, sf):
     )
 
 
+_EXPLAINED = """sized AS (SELECT cluster_id, count(*) AS n FROM full_d GROUP BY 1),
+x AS (SELECT cluster_id, 'rows: ' || n AS explanation FROM sized WHERE n >= (SELECT avg(n) FROM sized))"""
+
+
 @query("provenance_report", f"""
-WITH {_HISTORY}, last AS (SELECT cluster_id, arg_max(confidence, iteration) AS confidence FROM h GROUP BY 1)
-SELECT count(*) AS total_labels_generated, count(*) FILTER (WHERE cluster_id < 7) AS total_labels_explained,
+WITH {_HISTORY}, {_EXPLAINED}, last AS (SELECT cluster_id, arg_max(confidence, iteration) AS confidence FROM h GROUP BY 1)
+SELECT count(*) AS total_labels_generated, count(*) FILTER (WHERE cluster_id IN (SELECT cluster_id FROM x)) AS total_labels_explained,
        round(avg(confidence), 6) + 0e0 AS avg_confidence FROM last""")
 def provenance_report(spark, sf):
     explained = _explanations(spark, sf)
@@ -405,14 +413,15 @@ def provenance_report(spark, sf):
 
 
 def _explanations(spark, sf):
-    return (
-        documents(spark, sf).where("cluster_id < 7").groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
-        .select("cluster_id", F.concat(F.lit("rows: "), F.col("n").cast("string")).alias("explanation"))
+    """Explanations of the clusters that have at least the mean number of rows."""
+    sizes = documents(spark, sf).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.join(sizes.agg(F.avg("n").alias("mean")), F.col("n") >= F.col("mean")).select(
+        "cluster_id", F.concat(F.lit("rows: "), F.col("n").cast("string")).alias("explanation")
     )
 
 
 @query("explanations_join", f"""
-WITH {_HISTORY}, x AS (SELECT cluster_id, 'rows: ' || count(*) AS explanation FROM full_d WHERE cluster_id < 7 GROUP BY 1)
+WITH {_HISTORY}, {_EXPLAINED}
 SELECT iteration::BIGINT AS iteration, cluster_id, coalesce(explanation, '') AS explanation FROM h LEFT JOIN x USING (cluster_id)""")
 def explanations_join(spark, sf):
     return provenance.with_explanations(_history(spark, sf), _explanations(spark, sf)).select(

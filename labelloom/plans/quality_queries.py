@@ -330,7 +330,7 @@ def confident_vectors(spark, sf):
 
 @query("mlp_refine")
 def mlp_refine(spark, sf):
-    return selftrain.train_and_refine(confident_vectors(spark, sf), 1, 64, iterations=20)
+    return selftrain.train_and_refine(confident_vectors(spark, sf), 1, 64, iterations=150)
 
 
 @query("centroid_refine", f"""
@@ -615,7 +615,7 @@ def taxonomy_flatten(spark, sf):
 def taxonomy_deep(spark, sf):
     df = points(spark, sf, True)
     labels = cluster_labels(df).withColumn("confidence", F.lit(0.5))
-    return taxonomy.discover(df, labels, max_depth=2, min_silhouette=0.01, restarts=2, iterations=10)
+    return taxonomy.discover(df, labels, min_silhouette=0.01)
 
 
 # Sinks: write, read back.
