@@ -46,9 +46,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Put the documents into the order of the mixed blocks: of the files by name, and of the rows within a file."""
     bounded_batches(spark)
-    order = pfair_mix.mix(docs).select(F.col("doc_id").alias("_id"), "slot", "offset")
+    order = pfair_mix.mix(docs).select(F.col("doc_id").alias("_id"), F.col("slot").alias("_slot"), F.col("offset").alias("_offset"))
     placed = docs.join(order, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return placed.repartitionByRange("slot").sortWithinPartitions("slot", "offset").select(*docs.columns)
+    return placed.repartitionByRange("_slot").sortWithinPartitions("_slot", "_offset").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
