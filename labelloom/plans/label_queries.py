@@ -342,8 +342,8 @@ def ucb_running(spark, sf):
     )
 
 
-# Provenance: two naming rounds over all documents; before the second, every other length moves on by one cluster.
-_MOVED = "CASE WHEN n_chars % 2 = 1 THEN (cluster_id + 1) % 20 ELSE cluster_id END"
+# Provenance: two naming rounds over all documents; before the second, the long ones move to cluster 0.
+_MOVED = "CASE WHEN n_chars >= 800 THEN 0 ELSE cluster_id END"
 
 
 def _history(spark, sf):
