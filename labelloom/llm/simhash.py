@@ -161,10 +161,14 @@ class GrayIndex:
         return at
 
 
-def forest(codes: np.ndarray, group: np.ndarray, radius: int = RADIUS, slab: int = 4096) -> np.ndarray:
-    """For each code the least index of those linked with it inside its group, itself included."""
+def forest(codes: np.ndarray, group: np.ndarray, radius: int = RADIUS, pairs: int = 400_000) -> np.ndarray:
+    """For each code the least index of those linked with it inside its group, itself included.
+
+    Codes are looked up in slabs, so that at most about ``pairs`` pairs of a code and a node are open at once.
+    """
     codes = codes.reshape(group.size, -1)
     index = GrayIndex(codes, group)
+    slab = max(1, pairs // max(1, int(np.bincount(group).max(initial=1))))
     label = np.arange(group.size)
     for at in range(0, group.size, slab):
         for q, first, end in index.search(np.arange(at, min(at + slab, group.size)), radius):

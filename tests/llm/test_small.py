@@ -108,7 +108,7 @@ def test_gray_index_equals_all_pairs():
     codes = simhash.gray_code(np.sort(simhash.gray_rank(codes)))
     group = np.sort(rng.integers(0, 3, codes.size))
     for radius in (0, 3, 9):
-        label = simhash.forest(codes, group, radius, slab=50)
+        label = simhash.forest(codes, group, radius, pairs=9000)
         pairs = [
             (i, j) for i, j in itertools.combinations(range(codes.size), 2)
             if group[i] == group[j] and int(codes[i] ^ codes[j]).bit_count() <= radius
