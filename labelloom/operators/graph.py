@@ -3,7 +3,7 @@
 Every round is two joins and two grouped minima over the edges. Rounds are written to the
 shared folder, so lineage stays short and a lost executor costs a re-read. A node with very
 many neighbours is a hot join key on one side only, which adaptive execution splits; its
-minimum is pre-aggregated before the shuffle.
+minimum is pre-aggregated before the shuffle. A round's table is deleted once the next is written.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.scratch import cut
+from labelloom.scratch import cut, drop
 
 
 def _towards_minimum(directed: DataFrame) -> DataFrame:
@@ -48,7 +48,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
     seen = _digest(current)
     while seen[0]:
-        current = cut(_small_star(_large_star(current)), "edges")
+        before, current = current, cut(_small_star(_large_star(current)), "edges")
+        drop(before)
         now = _digest(current)
         if now == seen:
             break

@@ -40,7 +40,16 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._cut_path = path
+    return written
+
+
+def drop(written: DataFrame) -> None:
+    """Delete a table written by ``cut`` that nothing will read again."""
+    spark = written.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(written._cut_path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def settle(df: DataFrame, name: str = "small", max_rows: int = 20_000) -> DataFrame:
