@@ -330,7 +330,7 @@ def confident_vectors(spark, sf):
 
 @query("mlp_refine")
 def mlp_refine(spark, sf):
-    return selftrain.train_and_refine(confident_vectors(spark, sf), 1, 64, iterations=150)
+    return selftrain.train_and_refine(confident_vectors(spark, sf), 1, 64)
 
 
 @query("centroid_refine", f"""

@@ -36,6 +36,7 @@ def test_full_run_labels_topics_and_exports(spark, items, tmp_path):
     assert {r.label for r in rows} == {"marine species", "cooking instructions", "business performance"}
     assert all(0 <= r.quality_score <= 1 for r in rows)
     assert result.metrics.count() == len(rows and result.drift.collect())
+    assert result.totals["rows"] == len(rows) and result.totals["rows_per_second"] > 0 and not result.training_errors
     out = str(tmp_path / "out")
     full_run.export(result, out, "json")
     for name in ("dataset", "metadata", "drift_history", "provenance_report", "taxonomy", "validation_flags"):
@@ -57,3 +58,17 @@ def test_entry_and_oracles_cover_the_queries(spark):
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
+
+
+def test_a_rolled_back_run_keeps_the_rows_of_the_iteration_before(items, monkeypatch):
+    from labelloom.operators import drift
+
+    plain = drift.report
+    monkeypatch.setattr(drift, "report", lambda *a, **b: plain(*a, **b).withColumn("rollback", F.col("iteration") == 1))
+    settings = full_run.Settings(
+        encoder=lambda c: hashed_vector(c, 32), method="kmeans", n_clusters=3, restarts=1, max_iterations=3, kmeans_iterations=5,
+        training_iterations=5, weighted_training=False, min_cluster_size=5, validate=False, convergence_threshold=-1.0,
+    )
+    result = full_run.run(items, settings)
+    assert result.rolled_back
+    assert {r.iteration for r in result.labeled.select("iteration").distinct().collect()} == {0}
