@@ -50,7 +50,31 @@ def quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op8_fm_decontaminate")
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS_SQL = (
+    f"coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),"
+    r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []::VARCHAR[])"
+)
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[k : k + 9], ' ') AS p
+        FROM b, LATERAL (SELECT unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM win),
+placed AS (SELECT doc_id, size, k, array_to_string(w[k : k + size - 1], ' ') AS p
+       FROM d, sizes, LATERAL (SELECT unnest(range(1, len(w) - size + 2)) AS k)),
+hit AS (SELECT doc_id, k, size, item_id FROM placed JOIN win USING (size, p)),
+words AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (
+  SELECT doc_id, unnest(range(k, k + size)) AS i FROM (SELECT DISTINCT doc_id, k, size FROM hit)) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS names
+          FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op8_fm_decontaminate", OP8_SQL)
 def fm_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fm_decontaminate.find(read(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return fm_decontaminate.digest(found)
