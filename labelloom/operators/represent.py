@@ -101,7 +101,15 @@ def random_projection(df: DataFrame, dims: int, out_dims: int, v: str = "v", see
 
 
 def reduce_pca(df: DataFrame, out_dims: int, v: str = "v") -> tuple[DataFrame, object]:
-    """Principal components of the vectors; returns the projected table and the model."""
+    """Principal components of the vectors; returns the projected table and the model.
+
+    There must be fewer components than dimensions and no more than rows.
+    """
+    first = df.select(F.size(v).alias("d")).first()
+    if first is None or not 1 <= out_dims < first.d:
+        raise ValueError(f"components must be from 1 to one below the dimensions, got {out_dims}")
+    if df.limit(out_dims).count() < out_dims:
+        raise ValueError(f"fewer rows than components: {out_dims}")
     assembled = df.withColumn("_vec", array_to_vector(F.col(v)))
     model = PCA(k=out_dims, inputCol="_vec", outputCol="_pc").fit(assembled)
     projected = model.transform(assembled).withColumn(v, vector_to_array("_pc")).drop("_vec", "_pc")

@@ -233,6 +233,23 @@ def reduce_pca(spark, sf):
     return reduced.select("id", F.posexplode("v").alias("dim", "value"))
 
 
+@query("reduce_pca_check", "SELECT count(*) AS n, 8::BIGINT AS dims, 0::BIGINT AS correlated, true AS ordered FROM embeddings")
+def reduce_pca_check(spark, sf):
+    """The components are uncorrelated and stand in order of their variance."""
+    reduced, _ = represent.reduce_pca(vectors(spark, sf), 8)
+    part = lambda i: F.get("v", F.lit(i))
+    pairs = [(i, j) for i in range(8) for j in range(i)]
+    one = reduced.agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("v")).cast("bigint").alias("dims"),
+        F.array(*[F.covar_samp(part(i), part(j)) for i, j in pairs]).alias("c"),
+        F.array(*[F.var_samp(part(i)) for i in range(8)]).alias("s"),
+    )
+    return one.select(
+        "n", "dims", F.size(F.filter("c", lambda x: F.abs(x) > 1e-9)).cast("bigint").alias("correlated"),
+        (F.col("s") == F.reverse(F.array_sort("s"))).alias("ordered"),
+    )
+
+
 _FUSED = """fused AS (
   SELECT id, cluster_id, list_concat(
     list_transform(a, lambda x: x / na * {w0}), list_transform(b, lambda x: x / nb * {w1})) AS f

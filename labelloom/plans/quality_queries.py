@@ -46,6 +46,15 @@ def isolation_forest(spark, sf):
     return quality.isolation_flags(points(spark, sf))
 
 
+@query("isolation_forest_check", """
+SELECT count(*) AS n, (count(*) - floor(9e-1 * (count(*) - 1)) - 1)::BIGINT AS n_flagged, count(DISTINCT vec_id) AS n_ids FROM embeddings""")
+def isolation_forest_check(spark, sf):
+    """Every row once, and the tenth above the 90 % quantile flagged."""
+    return quality.isolation_flags(points(spark, sf)).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("flag").alias("n_flagged"), F.count_distinct("id").alias("n_ids")
+    )
+
+
 @query("lof_scores", f"WITH {E_SQL}, {LOF_SQL} SELECT id, round(lof, 6) + 0e0 AS lof FROM lof")
 def lof_scores(spark, sf):
     return neighbors.lof(points(spark, sf)).select("id", r6("lof").alias("lof"))
@@ -333,6 +342,14 @@ def mlp_refine(spark, sf):
     return selftrain.train_and_refine(confident_vectors(spark, sf), 1, 64)
 
 
+@query("mlp_refine_check", "SELECT count(*) AS n, count(DISTINCT vec_id) AS n_ids, 0::BIGINT AS strange FROM embeddings")
+def mlp_refine_check(spark, sf):
+    """Every row once, noise included, and only clusters that there were."""
+    return mlp_refine(spark, sf).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"), F.count_if(~F.col("refined").between(0, 8)).alias("strange")
+    )
+
+
 @query("centroid_refine", f"""
 WITH {E_NOISE_SQL}, c AS (SELECT *, (1 + v[1]) / 2 AS confidence FROM e),
 kept AS (SELECT * FROM c WHERE cluster_id >= 0 AND confidence >= (SELECT quantile_cont(confidence, 2e-1) FROM c WHERE cluster_id >= 0)),
@@ -618,6 +635,20 @@ def taxonomy_deep(spark, sf):
     return taxonomy.discover(df, labels, min_silhouette=0.01)
 
 
+@query("taxonomy_deep_check", """
+SELECT count(DISTINCT label) AS roots, count(*) AS root_rows, 0::BIGINT AS broken, 0::BIGINT AS overfull FROM embeddings WHERE label <> 9""")
+def taxonomy_deep_check(spark, sf):
+    """Roots are the clusters, every node hangs one level below a larger one, and children do not outgrow their parent."""
+    nodes = cut(taxonomy_deep(spark, sf), "tree")
+    up = nodes.select(F.col("node_path").alias("p"), F.col("level").alias("p_level"), F.col("n_samples").alias("p_rows"))
+    kids = nodes.where("parent_path is not null").join(up, F.col("parent_path") == F.col("p"), "left")
+    roots = nodes.where("parent_path is null").agg(F.count(F.lit(1)).alias("roots"), F.sum("n_samples").alias("root_rows"))
+    broken = kids.agg(F.count_if(F.col("p").isNull() | (F.col("level") != F.col("p_level") + 1) | (F.col("n_samples") > F.col("p_rows"))).alias("broken"))
+    full = kids.groupBy("p").agg(F.sum("n_samples").alias("s"), F.max("p_rows").alias("m")).agg(F.count_if(F.col("s") > F.col("m")).alias("overfull"))
+    # Three tables of one row each.
+    return roots.join(broken, F.lit(True)).join(full, F.lit(True))
+
+
 # Sinks: write, read back.
 _SINK_SQL = f"""WITH {_LD_SQL} SELECT id, md5(content) AS content_md5, label, cluster_id, round(confidence, 6) + 0e0 AS confidence,
   quality_score, modality, iteration, anomaly_flag, duplicate_flag FROM ld"""
