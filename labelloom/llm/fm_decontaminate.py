@@ -26,7 +26,7 @@ from labelloom.llm.common import word_bytes
 
 WINDOW = 10
 PAGE_BYTES = 16 * 1024 * 1024
-SHARD_SYMBOLS = 2_000_000
+SHARD_WORDS = 1_000_000
 SHARD_DOCS = 20_000
 SAMPLE = 8
 _SCHEMA = "key long, n_words long, items array<long>, spans array<struct<start:long,end:long>>"
@@ -258,7 +258,7 @@ def _search(docs: DataFrame, page: Page) -> DataFrame:
                 ids = np.fromiter((number(w, 0) for w in words), np.int32, len(words))
                 held.append((key, ids))
                 count += ids.size
-                if count >= 2 * SHARD_SYMBOLS or len(held) >= SHARD_DOCS:
+                if count >= SHARD_WORDS or len(held) >= SHARD_DOCS:
                     yield flush()
                     count = 0
         if held:

@@ -161,7 +161,7 @@ class GrayIndex:
         return at
 
 
-def forest(codes: np.ndarray, group: np.ndarray, radius: int = RADIUS, pairs: int = 400_000) -> np.ndarray:
+def forest(codes: np.ndarray, group: np.ndarray, radius: int = RADIUS, pairs: int = 60_000) -> np.ndarray:
     """For each code the least index of those linked with it inside its group, itself included.
 
     Codes are looked up in slabs, so that at most about ``pairs`` pairs of a code and a node are open at once.

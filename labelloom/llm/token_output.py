@@ -35,9 +35,9 @@ MAGIC = b"LTK1"
 _HEAD = "<5I"
 _HEAD_BYTES = struct.calcsize(_HEAD)
 #: Blocks that are coded in lockstep; bounds a worker's memory.
-LANES = 1024
+LANES = 512
 #: Distinct pieces that a worker remembers with their ids; later ones are encoded whenever they come.
-WORDS = 250_000
+WORDS = 150_000
 
 
 class _Numbers(dict):
@@ -168,6 +168,7 @@ def write_tokens(
         def blocks(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal ids, keys, sizes, waiting, block_no
             stream = np.concatenate(ids)
+            ids = []
             doc_ids, doc_sizes = np.concatenate([*keys, np.zeros(0, np.int64)]), np.concatenate([*sizes, np.zeros(0, np.int64)])
             starts = carried + np.cumsum(doc_sizes) - doc_sizes
             whole = stream.size if last else stream.size // token_codec.BLOCK * token_codec.BLOCK
