@@ -9,9 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from labelloom.llm import crf_quality, fm_decontaminate, pfair_mix, simhash, token_output
 from labelloom.llm.common import bounded_batches
