@@ -135,6 +135,26 @@ def test_near_copies_leave_one(spark, docs, texts, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def test_near_copies_at_the_threshold_are_found(spark):
+    rng = np.random.default_rng(17)
+    rows, pairs = [], []
+    while len(pairs) < 600:
+        w = words(rng, int(rng.integers(49, 130)), 100_000).split()
+        edited = list(w)
+        for at in rng.choice(len(w), int(rng.integers(1, 4)), replace=False):
+            edited[at] = f"edit{len(pairs)}"
+        a, b = (set(simhash.shingle_hashes(" ".join(x).encode())) for x in (w, edited))
+        if 0.8 <= len(a & b) / len(a | b) <= 0.85:
+            n = len(rows)
+            rows += [(n, " ".join(w)), (n + 1, " ".join(edited))]
+            pairs.append((n, n + 1))
+    near = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(near).collect()}
+    assert set(found.values()) <= {a for a, _ in pairs}
+    recall = sum(found.get(a) == found.get(b) == a for a, b in pairs) / len(pairs)
+    assert recall >= 0.985, recall
+
+
 def test_link_sets():
     rng = np.random.default_rng(2)
     sets = [frozenset(rng.integers(0, 14, 9).tolist()) for _ in range(60)]
