@@ -9,8 +9,14 @@
 3. Band values that occur in one document only are dropped after a pre-aggregated count.
 4. Paragraphs that share a band value are joined; their exact Jaccard similarity decides. A group gives back a
    forest, and connected components are the clusters. Equal paragraphs are one class throughout.
-5. In each cluster the first document keeps its occurrences, all others are removals. Neighbouring paragraphs are
-   merged into spans, and spans of fewer than ``LEAST_WORDS`` words are not reported.
+5. In each cluster the first document keeps its occurrences, all others are removals.
+6. Paragraphs lose a passage's ends and its edited words, so passages are also matched by windows of ``LEAST_WORDS``
+   words. A window is looked at if its least ``GRAM`` words, a choice that depends on the window alone, stand in two
+   documents. Equal windows are matched with the first document that has them, and a verification join of the two
+   texts extends the match word by word to both sides, over edits as long as the Jaccard similarity suffices. Two
+   passages of similarity 0.8 that begin and end alike share such a window: an edit costs each side four shingles,
+   so below 32 common shingles there is none, and from there on some run has 20 words.
+7. Pieces of both kinds are merged into spans, and spans of fewer than ``LEAST_WORDS`` words are not reported.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.llm.common import cut, word_bytes
@@ -32,6 +38,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 LEAST_WORDS = 15
 VALUES = 8
+GRAM = 8
+#: Most words of an edit on either side that an extension steps over; ``SHINGLE`` equal words must follow.
+GAP = 8
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.array([0x9E3779B97F4A7C15 + 0x51ED270B35AD4E12 * i | 1 for i in range(VALUES)], dtype=object)
 _ODD = np.array([int(x) & 0xFFFFFFFFFFFFFFFF for x in _ODD], np.uint64)
@@ -190,24 +199,176 @@ def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
     )
 
 
+def _word_hashes(data: bytes | None, hashes: dict) -> np.ndarray:
+    return np.array([hashes[w] for w in word_bytes(data or b"")], np.uint64)
+
+
+def _stretches(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each stretch of n words."""
+    out, power = np.zeros(max(h.size - n + 1, 0), np.uint64), np.cumprod(np.full(n, _ODD[1]))
+    mixed = _mix(h)
+    for k in range(n if out.size else 0):
+        out += mixed[k : k + out.size] * power[k]
+    return _mix(out)
+
+
+def _least_grams(h: np.ndarray, size: int) -> np.ndarray:
+    """For each window of ``size`` words its least gram."""
+    grams = _stretches(h, min(GRAM, size))
+    over = size - min(GRAM, size) + 1
+    return np.lib.stride_tricks.sliding_window_view(grams, over).min(axis=1) if grams.size >= over else grams[:0]
+
+
+def _windows(rows: DataFrame, size: int) -> DataFrame:
+    """(value, doc, at): the windows of ``size`` words whose least gram stands in at least two documents."""
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            found = [np.unique(_least_grams(_word_hashes(data.as_py(), hashes), size)) for data in batch.column(1)]
+            docs = np.repeat(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), [f.size for f in found])
+            yield pa.RecordBatch.from_arrays([_signed(np.concatenate([*found, np.zeros(0, np.uint64)])), pa.array(docs)], names=["gram", "doc"])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                h = _word_hashes(batch.column(1)[i].as_py(), hashes)
+                asked = batch.column(2)[i].values.to_numpy().view(np.uint64)
+                at = np.flatnonzero(np.isin(_least_grams(h, size), asked))
+                doc = np.full(at.size, batch.column(0)[i].as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([_signed(_stretches(h, size)[at]), pa.array(doc), pa.array(at)], names=["value", "doc", "at"])
+
+    held = rows.mapInArrow(grams, "gram long, doc long")
+    shared = held.groupBy("gram").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high").select("gram")
+    asked = cut(held.join(shared, "gram", "left_semi").groupBy("doc").agg(F.collect_set("gram").alias("grams")), "grams")
+    return rows.join(asked, rows.key == asked.doc).select("key", "data", "grams").mapInArrow(windows, "value long, doc long, at long")
+
+
+def _ends(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Ends of the equal runs of a and b from their beginnings on, each behind an edit of at most GAP words."""
+    x = y = 0
+    ends = []
+    while True:
+        n = min(a.size - x, b.size - y)
+        apart = np.flatnonzero(a[x : x + n] != b[y : y + n])
+        run = int(apart[0]) if apart.size else n
+        x, y = x + run, y + run
+        ends.append((x, y))
+        left, right = a[x : x + GAP + SHINGLE].tolist(), b[y : y + GAP + SHINGLE].tolist()
+        steps = [
+            (p + q, p, q) for p in range(len(left) - SHINGLE + 1) for q in range(len(right) - SHINGLE + 1)
+            if left[p] == right[q] and left[p : p + SHINGLE] == right[q : q + SHINGLE]
+        ]
+        if not steps:
+            return ends
+        _, p, q = min(steps)
+        x, y = x + p, y + q
+
+
+def _alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    if np.array_equal(a, b):
+        return True
+    x, y = set(_stretches(a, SHINGLE).tolist()), set(_stretches(b, SHINGLE).tolist())
+    return len(x & y) >= similarity * len(x | y) - 1e-9
+
+
+def extended(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], size: int, similarity: float) -> list[tuple[int, int, int, int]]:
+    """(first, end, first in b, end in b) of the passages around seeds (place in a, place in b) of ``size`` equal words."""
+    found: list[tuple[int, int, int, int]] = []
+    for i, j in sorted(seeds):
+        if any(p <= i and i + size <= q and r <= j and j + size <= s for p, q, r, s in found[-8:]):
+            continue
+        # The run of the seed itself, then the farthest end on the right and on the left that is still similar.
+        left, right = _ends(a[:i][::-1], b[:j][::-1]), _ends(a[i:], b[j:])
+        p, r, q, s = i - left[0][0], j - left[0][1], i + right[0][0], j + right[0][1]
+        for x, y in reversed(right[1:]):
+            if _alike(a[p : i + x], b[r : j + y], similarity):
+                q, s = i + x, j + y
+                break
+        for x, y in reversed(left[1:]):
+            if _alike(a[i - x : q], b[j - y : s], similarity):
+                p, r = i - x, j - y
+                break
+        found.append((p, q, r, s))
+    return found
+
+
+def passages(rows: DataFrame, similarity: float = SIMILARITY, size: int = LEAST_WORDS) -> DataFrame:
+    """(doc, start, words, cluster, first_doc): passages of at least ``size`` words that stand in an earlier document too."""
+    windows = _windows(rows, size)
+    first = windows.groupBy("value").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last")).where("first.doc <> last")
+    matched = windows.join(first.drop("last"), "value").where("doc <> first.doc").select(
+        "doc", F.col("first.doc").alias("other"), "at", (F.col("first.at") - F.col("at")).alias("off")
+    )
+    # An edit breaks ``size`` windows in a row, so that many hold at most two runs of one offset: their ends name both.
+    near = matched.groupBy("doc", "other", "off", F.floor(F.col("at") / size).alias("stretch")).agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    seeds = cut(near.groupBy("doc", "other").agg(F.collect_list(F.struct("low", "high", "off")).alias("seeds")), "seeds")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            out: list[tuple[int, int, int, int, int]] = []
+            for doc, other, asked, mine, theirs in zip(*(c for c in batch.columns), strict=True):
+                a, b = (_word_hashes(t.as_py(), hashes) for t in (mine, theirs))
+                at = {(s[end], s[end] + s["off"]) for s in asked.as_py() for end in ("low", "high")}
+                at = [(i, j) for i, j in at if i + size <= a.size and j + size <= b.size and np.array_equal(a[i : i + size], b[j : j + size])]
+                names = _stretches(b, size).view(np.int64)
+                for p, q, r, s in extended(a, b, at, size, similarity):
+                    name = int(names[r : s - size + 1].min())
+                    out += [(doc.as_py(), p, q - p, name, other.as_py()), (other.as_py(), r, s - r, name, other.as_py())]
+            columns = list(zip(*out, strict=True)) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "start", "words", "cluster", "first_doc"])
+
+    mine, theirs = (rows.select(F.col("key").alias(k), F.col("data").alias(d)) for k, d in (("doc", "mine"), ("other", "theirs")))
+    both = seeds.join(mine, "doc").join(theirs, "other").select("doc", "other", "seeds", "mine", "theirs")
+    return both.mapInArrow(verify, "doc long, start long, words long, cluster long, first_doc long")
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document the runs of words that are removed and of those that are repeated but stay."""
+    for batch in batches:
+        out = []
+        for doc, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            pieces = sorted(asked, key=lambda p: p["start"])
+            state = np.zeros(max(p["start"] + p["words"] for p in pieces) + 2, np.int8)
+            for removed in (False, True):
+                for p in pieces:
+                    if p["removed"] == removed:
+                        state[p["start"] + 1 : p["start"] + p["words"] + 1] = 1 + removed
+            edges = np.flatnonzero(state[1:] != state[:-1])
+            runs = [(int(a), int(b), bool(state[a + 1] == 2)) for a, b in zip(edges[:-1], edges[1:], strict=True) if state[a + 1]]
+            inside: list[list[dict]] = [[] for _ in runs]
+            begins = np.array([a for a, _, _ in runs])
+            for p in pieces:
+                k = int(np.searchsorted(begins, p["start"], "right")) - 1
+                while k < len(runs) and runs[k][0] < p["start"] + p["words"]:
+                    if runs[k][1] > p["start"] and runs[k][2] == p["removed"]:
+                        inside[k].append(p)
+                    k += 1
+            out += [
+                (doc, a, b - a, sum(p["pieces"] for p in ps), min(p["cluster"] for p in ps), min(p["first_doc"] for p in ps), removed)
+                for (a, b, removed), ps in zip(runs, inside, strict=True)
+            ]
+        columns = list(zip(*out, strict=True)) if out else [()] * 7
+        types = [pa.int64()] * 6 + [pa.bool_()]
+        names = ["doc", "start", "n_words", "n_paragraphs", "cluster", "first_doc", "removed"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
                    least_words: int = LEAST_WORDS, tile: int = TILE) -> DataFrame:
-    """(key, start, n_words, n_paragraphs, cluster, first_doc, removed): runs of repeated paragraphs, in word positions.
+    """(key, start, n_words, n_paragraphs, cluster, first_doc, removed): runs of repeated words, in word positions.
 
-    ``removed`` is false in the document that is first in the run's clusters.
+    ``n_paragraphs`` counts the paragraphs and passages of a run, ``cluster`` and ``first_doc`` are the least of them.
+    ``removed`` is false in the document that is first; a word that is removed for one piece is not kept for another.
     """
-    found = occurrences(docs, key, text, similarity, tile).withColumn("removed", F.col("doc") != F.col("first_doc"))
-    inside = Window.partitionBy("doc").orderBy("start")
-    broken = F.coalesce(
-        (F.lag(F.col("start") + F.col("words")).over(inside) != F.col("start")) | (F.lag("removed").over(inside) != F.col("removed")), F.lit(True)
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").cast("binary").alias("data"))
+    found = occurrences(docs, key, text, similarity, tile).unionByName(passages(rows, similarity, least_words))
+    pieces = found.groupBy("doc", "start", (F.col("doc") != F.col("first_doc")).alias("removed")).agg(
+        F.max("words").alias("words"), F.count(F.lit(1)).alias("pieces"), F.min("cluster").alias("cluster"), F.min("first_doc").alias("first_doc"),
     )
-    marked = found.withColumn("new", broken.cast("int"))
-    runs = marked.withColumn("run", F.sum("new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    return (
-        runs.groupBy("doc", "run", "removed").agg(
-            F.min("start").alias("start"), F.sum("words").alias("n_words"), F.count(F.lit(1)).alias("n_paragraphs"),
-            F.min("cluster").alias("cluster"), F.min("first_doc").alias("first_doc"),
-        )
-        .where(F.col("n_words") >= least_words)
-        .select(F.col("doc").alias(key), "start", "n_words", "n_paragraphs", "cluster", "first_doc", "removed")
+    spans = pieces.groupBy("doc").agg(F.collect_list(F.struct("start", "words", "removed", "pieces", "cluster", "first_doc")).alias("pieces")).mapInArrow(
+        _spans, "doc long, start long, n_words long, n_paragraphs long, cluster long, first_doc long, removed boolean"
     )
+    return spans.where(F.col("n_words") >= least_words).withColumnRenamed("doc", key)

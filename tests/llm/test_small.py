@@ -493,3 +493,35 @@ def test_paragraph_clusters_equal_brute_force(spark, tile):
     got = {(r["doc"], r["start"]) for r in found}
     want = {(int(plain.doc[i]), int(plain.start[i])) for i in several}
     assert got <= want and len(got) >= 0.97 * len(want)
+
+
+def test_planted_passages_are_found_whole(spark):
+    rng = np.random.default_rng(23)
+    rows, want = [], {}
+    for n in (15, 20, 25, 30, 40, 60):
+        for edits in [0] * 12 + [1] * 12 * (n >= 50):
+            passage = words(rng, n, 100_000).split()
+            copy = list(passage)
+            if edits:
+                copy[n // 2 if len(rows) % 4 else 10] = "edited"
+            for w in (passage, copy):
+                before = words(rng, int(rng.integers(5, 60)), 100_000).split()
+                want[len(rows)] = (len(before), n)
+                rows.append((len(rows), " ".join([*before, *w, words(rng, 40, 100_000)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = paragraph_minhash.repeated_spans(docs).collect()
+    assert sorted(r["doc_id"] for r in found) == list(want)
+    for r in found:  # a paragraph at a passage's edge is similar with a word or two of its surroundings
+        start, n = want[r["doc_id"]]
+        assert start - 2 <= r["start"] <= start and start + n <= r["start"] + r["n_words"] <= start + n + 2
+    assert all(r["removed"] == (r["doc_id"] % 2 == 1) and r["first_doc"] == r["doc_id"] // 2 * 2 for r in found)
+
+
+def test_extension_steps_over_edits_while_similar():
+    a = np.arange(1, 101, dtype=np.uint64)
+    b = np.r_[a[:50], np.uint64(900), a[51:]]
+    assert paragraph_minhash.extended(a, b, [(60, 60)], 15, 0.8) == [(0, 100, 0, 100)]
+    b = np.r_[a[:50], np.uint64(900), np.uint64(901), a[50:]]
+    assert paragraph_minhash.extended(a, b, [(10, 10)], 15, 0.8) == [(0, 100, 0, 102)]
+    short, edited = a[:40], np.r_[a[:20], np.uint64(900), a[21:40]]
+    assert paragraph_minhash.extended(short, edited, [(0, 0)], 15, 0.8) == [(0, 20, 0, 20)]
