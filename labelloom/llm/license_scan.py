@@ -51,6 +51,19 @@ EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT
 DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
 LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF
 THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def _gnu(name: str, version: str) -> str:
+    """The customary header of a file under a licence of the GNU family."""
+    what, kind = ("library", "Lesser ") if name == "LGPL" else ("program", "Affero " if name == "AGPL" else "")
+    return f"""This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public
+License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later
+version. This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for more details. You
+should have received a copy of the GNU {kind}General Public License along with this {what}. If not, see
+https://www.gnu.org/licenses/."""
+
+
 TEMPLATES: list[tuple[str, str]] = [
     ("MIT", _MIT),
     ("ISC", _ISC),
@@ -85,6 +98,27 @@ purpose, commercial or non-commercial, and by any means."""),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("All-rights-reserved", "All rights reserved. No part of this publication may be reproduced without permission."),
+    ("All-rights-reserved", "All rights reserved."),
+    ("GPL-2.0-or-later", _gnu("GPL", "2")),
+    ("LGPL-2.1-or-later", _gnu("LGPL", "2.1")),
+    ("LGPL-3.0-or-later", _gnu("LGPL", "3")),
+    ("LGPL-3.0-or-later", _gnu("LGPL", "3").replace("library", "program")),
+    ("AGPL-3.0-or-later", _gnu("AGPL", "3")),
+    *(
+        (f"{name}-{version}", f"{begin} under the GNU {kind} General Public License, version {said}.")
+        for name, kind, version, said in (
+            ("LGPL", "Lesser", "3.0", "3"), ("LGPL", "Lesser", "2.1", "2.1"), ("AGPL", "Affero", "3.0", "3"),
+        )
+        for begin in ("Licensed", "This work is licensed")
+    ),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+    ("CC0-1.0", "This work is licensed under a Creative Commons CC0 1.0 Universal License."),
+    ("CC0-1.0", """To the extent possible under law, the author has waived all copyright and related or neighboring rights to this
+work."""),
+    ("CC0-1.0", """To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to
+this software to the public domain worldwide. This software is distributed without any warranty. You should have received a copy
+of the CC0 Public Domain Dedication along with this software. If not, see https://creativecommons.org/publicdomain/zero/1.0/."""),
 ]
 
 

@@ -252,6 +252,35 @@ def test_licenses(spark, docs, texts, none):
     assert license_scan.scan(none).count() == 0
 
 
+def test_licence_notices_get_their_own_name():
+    gnu = """This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1}General Public License as
+    published by the Free Software Foundation, either version {2} of the License, or (at your option) any later version. This {0} is
+    distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or
+    FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1}General Public License for more details. You should have received a copy of the
+    GNU {1}General Public License along with this {0}. If not, see <https://www.gnu.org/licenses/>."""
+    notices = {
+        "All rights reserved.": "All-rights-reserved", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "Licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "Licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+        "Licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        gnu.format("program", "", "2"): "GPL-2.0-or-later", gnu.format("program", "", "3"): "GPL-3.0-or-later",
+        gnu.format("library", "Lesser ", "2.1"): "LGPL-2.1-or-later", gnu.format("library", "Lesser ", "3"): "LGPL-3.0-or-later",
+        gnu.format("program", "Lesser ", "3"): "LGPL-3.0-or-later", gnu.format("program", "Affero ", "3"): "AGPL-3.0-or-later",
+        "Licensed under CC0 1.0.": "CC0-1.0",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.": "CC0-1.0",
+        "All rights reserved. No part of this publication may be reproduced without permission.": "All-rights-reserved",
+    }
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.THRESHOLD)
+    found = scanner.scan([f"Some text before it\n{n}\nand behind it".encode() for n in notices])
+    assert [[scanner.names[m[0]] for m in f] for f in found] == [[name] for name in notices.values()]
+    assert all(scanner.scan([text.encode()])[0][0][0] in (k, *same) for k, (_, text) in enumerate(license_scan.TEMPLATES) for same in [
+        [j for j, other in enumerate(license_scan.TEMPLATES) if word_bytes(other[1].encode()) == word_bytes(text.encode())]
+    ])
+
+
 def test_url_lists_as_of_fetch(spark):
     entries = spark.createDataFrame(
         [
