@@ -266,30 +266,47 @@ def _ends(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
         x, y = x + p, y + q
 
 
-def _alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    if np.array_equal(a, b):
-        return True
-    x, y = set(_stretches(a, SHINGLE).tolist()), set(_stretches(b, SHINGLE).tolist())
-    return len(x & y) >= similarity * len(x | y) - 1e-9
+class _Shared:
+    """Distinct shingles of two growing stretches, and how many they share."""
+
+    def __init__(self) -> None:
+        self.mine, self.theirs, self.common = set(), set(), 0
+
+    def add(self, mine: list[int], theirs: list[int]) -> None:
+        for own, other, new in ((self.mine, self.theirs, mine), (self.theirs, self.mine, theirs)):
+            fresh = set(new) - own
+            self.common += len(fresh & other)
+            own |= fresh
+
+    def alike(self, similarity: float) -> bool:
+        return self.common >= similarity * (len(self.mine) + len(self.theirs) - self.common) - 1e-9
 
 
 def extended(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], size: int, similarity: float) -> list[tuple[int, int, int, int]]:
     """(first, end, first in b, end in b) of the passages around seeds (place in a, place in b) of ``size`` equal words."""
     found: list[tuple[int, int, int, int]] = []
+    mine, theirs = (_stretches(x, SHINGLE).tolist() for x in (a, b))
+    less = SHINGLE - 1
     for i, j in sorted(seeds):
         if any(p <= i and i + size <= q and r <= j and j + size <= s for p, q, r, s in found[-8:]):
             continue
         # The run of the seed itself, then the farthest end on the right and on the left that is still similar.
         left, right = _ends(a[:i][::-1], b[:j][::-1]), _ends(a[i:], b[j:])
         p, r, q, s = i - left[0][0], j - left[0][1], i + right[0][0], j + right[0][1]
-        for x, y in reversed(right[1:]):
-            if _alike(a[p : i + x], b[r : j + y], similarity):
-                q, s = i + x, j + y
-                break
-        for x, y in reversed(left[1:]):
-            if _alike(a[i - x : q], b[j - y : s], similarity):
-                p, r = i - x, j - y
-                break
+        shared, x, y = _Shared(), q, s
+        shared.add(mine[p : q - less], theirs[r : s - less])
+        for far, away in right[1:]:
+            shared.add(mine[x - less : i + far - less], theirs[y - less : j + away - less])
+            x, y = i + far, j + away
+            if shared.alike(similarity):
+                q, s = x, y
+        shared, x, y = _Shared(), p, r
+        shared.add(mine[p : q - less], theirs[r : s - less])
+        for far, away in left[1:]:
+            shared.add(mine[i - far : x], theirs[j - away : y])
+            x, y = i - far, j - away
+            if shared.alike(similarity):
+                p, r = x, y
         found.append((p, q, r, s))
     return found
 
