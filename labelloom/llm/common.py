@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from labelloom.scratch import cut, spread
 
-__all__ = ["bounded_batches", "cut", "join_labels", "read", "spread", "tiles", "whole_runs", "word_bytes"]
+__all__ = ["bounded_batches", "cut", "join_labels", "read", "spread", "tiles", "whole_runs", "word_bytes", "word_table"]
 
 #: Upper bound on the bytes that Spark puts into one Arrow batch, so that long texts do not pile up in a worker.
 BATCH_BYTES = 8 * 1024 * 1024
@@ -32,6 +32,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
+def word_table() -> bytes:
+    """What each byte of a text becomes in its words."""
+    return _WORD
+
+
 def word_bytes(data: bytes) -> list[bytes]:
     """Lower-cased (A-Z) words of UTF-8 text: runs of ASCII letters, ASCII digits and non-ASCII characters."""
     return data.translate(_WORD).split()

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.llm import (
-    crf_quality, fm_decontaminate, license_scan, metric_join, paragraph_minhash, pfair_mix, shuffle_shards, simhash, token_output,
-    url_filter,
+    collocations, crf_quality, fm_decontaminate, fm_toxicity, license_scan, metric_join, paragraph_minhash, pfair_mix, shuffle_shards,
+    simhash, token_output, url_filter, vector_codes,
 )
 from labelloom.llm.common import read
 
@@ -225,3 +225,85 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_paragraph_minhash")
 def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_minhash.repeated_spans(read(spark, sf_dir, "documents"))
+
+
+OP11_SQL = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex(translate(text, '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+numbered AS (SELECT lang, row_number() OVER () AS id, piece FROM p),
+w AS (SELECT lang, id, unnest(w) AS w1, unnest(range(len(w))) AS i FROM (
+  SELECT lang, id, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM numbered)),
+t AS (SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4 FROM w WINDOW o AS (PARTITION BY id ORDER BY i)),
+f AS MATERIALIZED (
+  SELECT lang, 1 AS m, w1 AS phrase, count(*) AS f FROM t GROUP BY ALL
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM t WHERE w2 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM t WHERE w3 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, count(*) FROM t WHERE w4 IS NOT NULL GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE m > 1 AND f >= 30),
+known AS MATERIALIZED (SELECT concat(lang, '.', phrase) AS key, f FROM f WHERE f >= 30),
+cuts AS MATERIALIZED (SELECT c.*, k, array_to_string(w[:k], ' ') AS x, array_to_string(w[k + 1 :], ' ') AS y FROM c, LATERAL (SELECT unnest(range(1, m)) AS k)),
+s AS (SELECT cuts.*, l.f AS l, r.f AS r, ((2000000::HUGEINT * a) // (l.f + r.f))::BIGINT AS score
+      FROM cuts JOIN known l ON l.key = concat(cuts.lang, '.', x) JOIN known r ON r.key = concat(cuts.lang, '.', y)),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(w[i : i + j - 1], ' ') AS phrase, max(a) AS longer
+  FROM c, LATERAL (SELECT unnest(range(2, m)) AS j), LATERAL (SELECT unnest(range(1, m - j + 2)) AS i) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best LEFT JOIN inner_ USING (lang, phrase) JOIN n USING (lang)
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+QUALIFY rank <= 2000
+"""
+
+
+@query("op11_collocations", OP11_SQL)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_sql(rounds: int = 6) -> str:
+    """Rounds of assignment to the nearest entry and floored means, one after the other."""
+    nearest = """(
+  SELECT vec_id, p, min({{'d': d, 'e': e}}).e AS e, min({{'d': d, 'e': e}}).d AS d FROM (
+    SELECT x.vec_id, x.p, c.e, list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM parts x JOIN book{k} c ON c.p = x.p) GROUP BY vec_id, p)"""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"near{k} AS MATERIALIZED {nearest.format(k=k)}")
+        if k < rounds:
+            steps.append(f"""sums{k} AS (
+  SELECT p, e, i, sum(x)::HUGEINT AS s, count(*) AS n
+  FROM (SELECT p, e, unnest(v) AS x, unnest(range(len(v))) AS i FROM near{k} JOIN parts USING (vec_id, p)) GROUP BY ALL)""")
+            steps.append(f"""mean{k} AS (SELECT p, e, list((((s - (((s % n) + n) % n)) / n))::BIGINT ORDER BY i) AS v FROM sums{k} GROUP BY p, e)""")
+            steps.append(f"""book{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book{k} b LEFT JOIN mean{k} m ON m.p = b.p AND m.e = b.e)""")
+    chain = ",\n".join(steps)
+    return f"""
+WITH q AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+parts AS MATERIALIZED (SELECT vec_id, p, v[(p * len(v) // 8 + 1)::INT : ((p + 1) * len(v) // 8)::INT] AS v FROM q, range(8) r(p)),
+book0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM q ORDER BY vec_id LIMIT 16)),
+{chain},
+coded AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near{rounds} GROUP BY vec_id),
+digest AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS h FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM coded JOIN q USING (vec_id), digest
+"""
+
+
+@query("op12_vector_codes", op12_sql())
+def coded_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_toxicity_fm")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = fm_toxicity.train(docs, read(spark, sf_dir, "labels"))
+    return fm_toxicity.score(docs, model).select(
+        "doc_id", fm_toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
