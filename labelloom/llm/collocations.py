@@ -94,8 +94,8 @@ def windows(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bucket_of(a: np.ndarray, b: np.ndarray, hot: int, buckets: int) -> np.ndarray:
-    """Bucket by the words up to the first one behind the leading word that is not among the ``hot`` smallest numbers."""
-    more = (a & _LOW) <= hot
+    """Bucket by the words up to the first one that is not among the ``hot`` smallest numbers, but two at least."""
+    more = (a >> 32 <= hot) & ((a & _LOW) <= hot)
     third = b >> 32
     key = np.where(more, np.where(third <= hot, b, third << 32), 0)
     mixed = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + key.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -129,8 +129,10 @@ def settled(a: np.ndarray, b: np.ndarray, c: np.ndarray, hot: int, least: int) -
     pair = _sums(new, c)
     triple = _sums(new | np.r_[True, third[1:] != third[:-1]], c)
     short = np.where(c < least, third << 32, b)
-    short = np.where((triple < least) & ((second > hot) | (third > hot)), 0, short)
-    keep = (second <= hot) | (pair >= least)
+    # The windows of a pair, or triple, lie together in this bucket unless all its words are hot.
+    whole = (a >> 32 > hot) | (second > hot)
+    short = np.where((triple < least) & (whole | (third > hot)), 0, short)
+    keep = ~whole | (pair >= least)
     return _summed(a[keep], short[keep], c[keep])
 
 
@@ -287,6 +289,6 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
         F.col("longer").isNull() | (F.lit(100) * _exact("longer") < F.lit(covered_percent) * _exact("a"))
     )
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    ranked = kept.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top).withColumn("rank", F.col("place").cast("long"))
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
