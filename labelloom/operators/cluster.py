@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, PowerIterationClustering
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from labelloom.functions.vectors import matrix, squared_distances
 from labelloom.operators.clean import CLUSTER_METHODS, require_vectors
 from labelloom.operators.lloyd import MAX_CENTRE_BYTES, kmeans_candidates
 from labelloom.operators.neighbors import knn
+from labelloom.operators.spectral import embedding
 from labelloom.operators.silhouette import grouped_silhouette, require_kind, silhouette_value
 from labelloom.scratch import cut, settle
 
@@ -124,18 +125,23 @@ def knn_graph(points: DataFrame, neighbors: int = 10, edges: DataFrame | None =
 
 
 def graph_cluster(
-    points: DataFrame, k: int, neighbors: int = 10, iterations: int = 30
+    points: DataFrame, k: int, neighbors: int = 10, restarts: int = 10, iterations: int = 300, tolerance: float = 1e-4,
+    seed: int = 42,
 ) -> DataFrame:
-    """(id, cluster_id) by power iteration over the neighbour graph."""
+    """(id, cluster_id) by k-means over the k leading eigenvectors of the neighbour graph.
+
+    A graph whose embedding has fewer than k distinct rows gives as many clusters as it has.
+    """
     n = points.count()
     if k < 2 or k >= n:
         raise ValueError(f"k must be at least 2 and below the number of rows ({n}), got {k}")
     graph = cut(knn_graph(points, max(2, min(neighbors, n - 1))), "graph")
-    model = PowerIterationClustering(
-        k=k, maxIter=iterations, initMode="degree", srcCol="src", dstCol="dst", weightCol="weight"
-    )
-    found = model.assignClusters(graph).select("id", F.col("cluster").alias("cluster_id"))
-    return canonical(cut(found, "graph_clusters"))
+    rows = embedding(graph, k, tolerance, seed)
+    # Rows that agree up to the tolerance of the eigenvectors are one place.
+    places = rows.select(F.transform("v", lambda x: F.round(x, 6) + F.lit(0.0)).alias("v")).distinct().limit(k).count()
+    if places < 2:
+        return rows.select("id", F.lit(0).alias("cluster_id"))
+    return kmeans(rows, min(k, places), restarts, iterations, seed)
 
 
 def select_best(candidates: DataFrame) -> DataFrame:
