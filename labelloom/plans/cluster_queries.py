@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from labelloom.functions.vectors import centroids
-from labelloom.operators import cluster, crosscheck, lloyd, naming, neighbors, silhouette
+from labelloom.operators import cluster, crosscheck, density, lloyd, naming, neighbors, silhouette, spectral
 from labelloom.plans.registry import (
     CENT_SQL, E_NOISE_SQL, E_SQL, documents, query, r6, table, vectors,
 )
@@ -111,6 +111,27 @@ def mutual_reachability(spark, sf):
     )
 
 
+# Prim's algorithm over all pairs: ``done`` marks the rows that the tree holds.
+MST_SQL = """core AS (SELECT id, max(d) AS core FROM nn GROUP BY id),
+place AS MATERIALIZED (SELECT e.id, core, v, row_number() OVER (ORDER BY e.id) AS i FROM e JOIN core USING (id)),
+reach AS MATERIALIZED (
+  SELECT a.i AS i, b.i AS j, greatest(list_distance(a.v, b.v), a.core, b.core) AS w FROM place a JOIN place b ON a.i <> b.i),
+tree(n, total, done) AS (
+  SELECT 1, 0e0, list_transform(range(1, (SELECT count(*) FROM e) + 1), lambda i: i = 1)
+  UNION ALL
+  SELECT n + 1, total + x.w, list_transform(done, lambda d, i: d OR i = x.j)
+  FROM tree, LATERAL (SELECT min({'w': w, 'j': j}) AS p FROM reach WHERE done[i] AND NOT done[j]) q, LATERAL (SELECT q.p.w AS w, q.p.j AS j) x
+  WHERE n < (SELECT count(*) FROM e))"""
+
+
+@query("mst_edges", f"""
+WITH RECURSIVE {E_SQL}, {NN_SQL.format(k=4)}, {MST_SQL}
+SELECT max(n) - 1 AS edges, round(max(total), 6) + 0e0 AS weight FROM tree""")
+def mst_edges(spark, sf):
+    tree = density.tree_edges(points(spark, sf), 5)
+    return tree.agg(F.count(F.lit(1)).alias("edges"), r6(F.sum("w")).alias("weight"))
+
+
 @query("knn_graph", f"""
 WITH {E_SQL}, {NN_SQL.format(k=9)}
 SELECT least(id, nbr) AS src, greatest(id, nbr) AS dst, count(*) * 5e-1 AS weight FROM nn GROUP BY ALL""")
@@ -123,6 +144,29 @@ def graph_cluster(spark, sf):
     return cluster.graph_cluster(points(spark, sf), 5)
 
 
+@query("graph_embedding_check", f"""
+WITH {E_SQL}, {NN_SQL.format(k=9)},
+g AS (SELECT least(id, nbr) AS src, greatest(id, nbr) AS dst, count(*) * 5e-1 AS weight FROM nn GROUP BY ALL)
+SELECT 5::BIGINT AS vectors, (SELECT count(*) FROM e) AS nodes, count(*) AS edges, sum(weight) + 0e0 AS weight, true AS orthonormal, true AS settled FROM g""")
+def graph_embedding_check(spark, sf):
+    """Orthonormal to 1e-8 and A v = lambda v to the tolerance, recomputed entry by entry over the edge table."""
+    graph = cut(cluster.knn_graph(points(spark, sf), 10), "graph")
+    edges = cut(spectral.normalised(graph), "affinity")
+    found, values, _ = spectral.leading(edges, 5, 1e-6)
+    entries = cut(found.select("id", F.posexplode("v").alias("j", "x")), "entries")
+    other = entries.select("id", F.col("j").alias("i"), F.col("x").alias("y"))
+    gram = entries.join(other, "id").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("g"))
+    off = gram.agg(F.max(F.abs(F.col("g") - (F.col("i") == F.col("j")).cast("double"))).alias("off"))
+    scale = spark.createDataFrame([(j, float(v)) for j, v in enumerate(values)], "j int, value double")
+    image = edges.join(entries.withColumnRenamed("id", "nbr"), "nbr").groupBy("id", "j").agg(F.sum(F.col("w") * F.col("x")).alias("ax"))
+    gap = entries.join(image, ["id", "j"]).join(F.broadcast(scale), "j").withColumn("gap", F.col("ax") - F.col("value") * F.col("x"))
+    worst = gap.groupBy("j").agg(F.sqrt(F.sum(F.col("gap") * F.col("gap"))).alias("r")).agg(F.max("r").alias("worst"), F.count(F.lit(1)).alias("vectors"))
+    size = graph.agg(F.count(F.lit(1)).alias("edges"), F.sum("weight").alias("weight"))
+    return worst.crossJoin(off).crossJoin(size).crossJoin(found.agg(F.count(F.lit(1)).alias("nodes"))).select(
+        "vectors", "nodes", "edges", "weight", (F.col("off") <= 1e-8).alias("orthonormal"), (F.col("worst") <= 1e-5).alias("settled"),
+    )
+
+
 @query("auto_select", """
 SELECT user_id AS try_order, round(max(value) / 500, 1) AS silhouette FROM events GROUP BY user_id
 ORDER BY silhouette DESC, try_order LIMIT 1""")

@@ -66,7 +66,7 @@ def test_density_cluster_blobs_noise_and_bands(points, blobs):
     x, truth = blobs
     whole = density.density_cluster(points(x), 10)
     assert same_partition(by_id(whole), truth)
-    pieces = density.density_cluster(points(x), 10, band_edges=60, cell_rows=32)
+    pieces = density.density_cluster(points(x), 10, task_edges=30, cell_rows=32)
     assert by_id(whole) == by_id(pieces)
     assert by_id(whole, "probability") == pytest.approx(by_id(pieces, "probability"))
 
