@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
@@ -199,7 +200,7 @@ def cluster(
             continue
         try:
             results += attempt()
-        except Exception as error:
+        except (ValueError, IllegalArgumentException) as error:
             if method != "auto":
                 raise
             failed.append(f"{name}: {error}")

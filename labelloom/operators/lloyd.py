@@ -24,7 +24,8 @@ from labelloom.scratch import cut
 
 MAX_CENTRE_BYTES = 64 << 20
 RELATIVE_TOLERANCE = 1e-4
-STARTS_PER_PASS = 4
+#: Rounds of oversampling, and rows drawn in a round for each start that is wanted.
+DRAW_ROUNDS, DRAWN = 4, 2
 
 
 @dataclass
@@ -89,47 +90,108 @@ def _distinct_in_order(rows: list, k: int) -> dict[int, list]:
     return {g: [list(v) for v in vectors] for g, vectors in found.items()}
 
 
-def spread_starts(points: DataFrame, k: int, restarts: int, seed: int = 42) -> dict[tuple[int, int], np.ndarray]:
-    """Sequences of k starts per (group, restart).
-
-    All begin at the lowest id.  Restart 0 prefers the farthest point; the
-    others draw points with probability proportional to the squared distance, by
-    a race of hashed exponentials, so the draw does not depend on the
-    partitioning.  With several restarts one pass supplies up to
-    ``STARTS_PER_PASS`` starts each; a single restart is farthest-first exactly.
-    """
-    per_pass = 1 if restarts == 1 else STARTS_PER_PASS
-    chosen = {
-        (g, r): vs for g, vs in first_starts(points, 1).items() for r in range(restarts)
-    }
+def farthest_starts(points: DataFrame, k: int) -> dict[tuple[int, int], np.ndarray]:
+    """k starts per (group, 0): the lowest id, then always the row farthest from those chosen, in one pass each."""
+    chosen = {(g, 0): vs for g, vs in first_starts(points, 1).items()}
     finished: set[tuple[int, int]] = set()
-    step = 0
-    while True:
-        table = {q: vs for q, vs in chosen.items() if len(vs) < k and q not in finished}
-        if not table:
-            return chosen
-        step += 1
-        found = _next_candidates(points, table, 2 * per_pass if per_pass > 1 else 1, seed, step)
+    while table := {q: vs for q, vs in chosen.items() if len(vs) < k and q not in finished}:
+        found = _next_candidates(points, table, 1, None, 0)
         for key, old in table.items():
-            pool = found.get(key, [])
-            if not pool:
+            if key in found and found[key][0][0] >= 1e-12:
+                chosen[key] = np.vstack([old, found[key][0][2][None, :]])
+            else:
                 finished.add(key)
+    return chosen
+
+
+def parallel_starts(points: DataFrame, k: int, restarts: int, seed: int = 42) -> dict[tuple[int, int], np.ndarray]:
+    """k starts per (group, restart) by oversampling, every restart on its own.
+
+    The first row of a restart is drawn by a seeded hash of the ids. Each round then draws ``DRAWN`` * k further rows, with
+    probability proportional to the squared distance from all rows drawn before, by a race of hashed exponentials,
+    so the draw does not depend on the partitioning. One more pass counts the rows next to each drawn one, and
+    k-means++ on the drawn rows with these weights gives the starts. A shorter sequence of starts is its beginning.
+    """
+    groups = sorted(first_starts(points, 1).items())
+    width = len(groups[0][1][0]) if groups else 0
+    room = max(1, MAX_CENTRE_BYTES // (8 * max(1, width) * (1 + DRAW_ROUNDS * DRAWN * k)))
+    keys = [(g, r) for g, _ in groups for r in range(restarts)]
+    starts: dict[tuple[int, int], np.ndarray] = {}
+    for at in range(0, len(keys), room):
+        drawn: dict[tuple[int, int], np.ndarray] = {key: np.zeros((0, width)) for key in keys[at : at + room]}
+        for step in range(DRAW_ROUNDS + 1):
+            found = _next_candidates(points, drawn, DRAWN * k if step else 1, seed, step)
+            for key, rows in found.items():
+                drawn[key] = np.vstack([drawn[key], *[v[None, :] for _, _, v in rows]])
+        drawn = {key: np.unique(vs, axis=0) for key, vs in drawn.items()}
+        for key, weight in _near_rows(points, drawn).items():
+            starts[key] = _weighted_starts(drawn[key], weight, k, seed + key[1])
+    return starts
+
+
+def _near_rows(points: DataFrame, drawn: dict[tuple[int, int], np.ndarray]) -> dict[tuple[int, int], np.ndarray]:
+    """How many rows of its group lie nearest to each drawn one."""
+    by_group: dict[int, list[int]] = {}
+    for g, r in drawn:
+        by_group.setdefault(g, []).append(r)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {key: np.zeros(len(vs), dtype=np.int64) for key, vs in drawn.items()}
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            picks = old
-            for _ in range(min(per_pass, k - len(old))):
-                gaps = [float(squared_distances(v[None, :], picks).min()) for _, _, v in pool]
-                usable = [i for i, gap in enumerate(gaps) if gap >= 1e-12]
-                if not usable:
-                    break
-                best = max(usable, key=lambda i: (gaps[i] if key[1] == 0 else pool[i][0], pool[i][1]))
-                picks = np.vstack([picks, pool.pop(best)[2][None, :]])
-            chosen[key] = picks
+            x_all = matrix(batch["v"])
+            for g, rows in _by_group(batch):
+                for r in by_group.get(g, []):
+                    sums[g, r] += np.bincount(squared_distances(x_all[rows], drawn[g, r]).argmin(1), minlength=len(drawn[g, r]))
+        flat = [(g, r, int(i), int(n[i])) for (g, r), n in sums.items() for i in np.flatnonzero(n)]
+        if flat:
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*flat), types)], ["grp", "restart", "at", "n"])
+
+    found = points.select("grp", "v").mapInArrow(count, "grp bigint, restart int, at int, n bigint")
+    out = {key: np.zeros(len(vs)) for key, vs in drawn.items()}
+    for r in found.groupBy("grp", "restart", "at").agg(F.sum("n").alias("n")).collect():
+        out[r.grp, r.restart][r.at] = r.n
+    return out
+
+
+def _weighted_starts(x: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Up to k distinct rows of x by k-means++ with weights; of several draws the one that leaves the least cost is taken."""
+    rng = np.random.default_rng(seed)
+    chosen = [int(rng.choice(len(x), p=weight / weight.sum()))]
+    gap = squared_distances(x, x[chosen]).min(1)
+    gap[gap < 1e-12] = 0.0
+    while len(chosen) < k and (cost := float((gap * weight).sum())) > 0:
+        draws = np.unique(rng.choice(len(x), size=2 + int(np.log(k)), p=gap * weight / cost))
+        left = np.minimum(gap[None, :], squared_distances(x[draws], x))
+        best = int((left @ weight).argmin())
+        chosen.append(int(draws[best]))
+        gap = left[best]
+        gap[gap < 1e-12] = 0.0
+        gap[chosen] = 0.0
+    return x[chosen]
+
+
+STARTS = {
+    "parallel": parallel_starts,
+    "farthest": lambda points, k, restarts, seed: farthest_starts(points, k),
+}
+
+
+def spread_starts(points: DataFrame, k: int, restarts: int, seed: int = 42, starts: str = "parallel") -> dict[tuple[int, int], np.ndarray]:
+    """Sequences of at most k distinct starts per (group, restart); ``farthest`` gives a single, fixed one."""
+    return STARTS[starts](points, k, restarts, seed)
 
 
 def _next_candidates(
-    points: DataFrame, table: dict[tuple[int, int], np.ndarray], keep: int, seed: int, step: int
+    points: DataFrame, table: dict[tuple[int, int], np.ndarray], keep: int, seed: int | None, step: int
 ) -> dict[tuple[int, int], list[tuple[float, int, np.ndarray]]]:
-    """The ``keep`` best scored points per (group, restart): (score, -id, vector)."""
+    """The ``keep`` best scored points per (group, restart): (score, -id, vector).
+
+    Without a seed the score is the squared distance from the rows of ``table``, else a race of exponentials with that
+    rate; with no rows to measure from all rates are one.
+    """
     by_group: dict[int, list[int]] = {}
     for g, r in table:
         by_group.setdefault(g, []).append(r)
@@ -144,10 +206,10 @@ def _next_candidates(
             for g, rows in _by_group(batch):
                 x, ids = x_all[rows], id_all[rows]
                 for r in by_group.get(g, []):
-                    d2 = squared_distances(x, table[g, r]).min(1)
+                    d2 = squared_distances(x, table[g, r]).min(1) if len(table[g, r]) else np.ones(len(x))
                     # Round-off of a repeated point must not win a draw.
                     d2[d2 < 1e-12] = 0.0
-                    score = d2 if r == 0 else d2 / -np.log(uniform(ids, seed + r, step))
+                    score = d2 if seed is None else d2 / -np.log(uniform(ids, seed + r, step))
                     top = np.lexsort((ids, -score))[:keep]
                     entries = [(float(score[i]), -int(ids[i]), x[i]) for i in top if score[i] > 0]
                     merged = best.get((g, r), []) + entries
@@ -347,16 +409,16 @@ def best_of_restarts(models: list[Model]) -> list[Model]:
 
 
 def kmeans_candidates(
-    points: DataFrame, ks: list[int], restarts: int = 10, iterations: int = 300, seed: int = 42
+    points: DataFrame, ks: list[int], restarts: int = 10, iterations: int = 300, seed: int = 42, starts: str = "parallel"
 ) -> tuple[DataFrame, list[Model]]:
     """Fit every k of ``ks`` in every group; returns points with ``labs`` and the models.
 
     A group with fewer distinct points than k has no model for that k.
     """
-    starts = spread_starts(points, max(ks), restarts, seed)
+    found = spread_starts(points, max(ks), restarts, seed, starts)
     models = [
         Model(g, k, r, centres[:k].copy())
-        for (g, r), centres in sorted(starts.items())
+        for (g, r), centres in sorted(found.items())
         for k in ks
         if len(centres) >= k
     ]

@@ -39,33 +39,40 @@ def estimate_k(spark, sf):
     return spark.createDataFrame([(n, cluster.estimate_k(n, 10))], "n bigint, k bigint")
 
 
-def lloyd_sql(k: int, steps: int) -> str:
-    """Unrolled k-means from the k lowest distinct vectors: final table ``assigned``."""
-    parts = [
-        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY id) - 1 AS c, v AS m FROM (
-  SELECT min(id) AS id, v FROM e GROUP BY v ORDER BY 1 LIMIT {k}))"""
-    ]
-    for i in range(steps + 1):
-        name = "assigned" if i == steps else f"a{i}"
-        parts.append(
-            f"""{name} AS MATERIALIZED (SELECT id, v, arg_min(c, (list_distance(v, m), c)) AS c
-  FROM e CROSS JOIN c{i} GROUP BY id, v)"""
-        )
-        if i < steps:
-            parts.append(
-                f"""c{i + 1} AS MATERIALIZED (SELECT c, list(x ORDER BY d) AS m FROM (
-  SELECT c, d, avg(x) AS x FROM (SELECT c, generate_subscripts(v, 1) AS d, unnest(v) AS x FROM a{i}) GROUP BY ALL)
-  GROUP BY c)"""
-            )
-    return ",\n".join(parts)
+#: Passes of the SQL side, enough to come to rest; the Spark side stops by itself.
+REST = 100
+
+
+def means_sql(name: str, points: str, start: str, steps: int = REST) -> str:
+    """{name}(g, k, id, v, c): grouped k-means of points(g, id, v) from start(g, k, c, m) after ``steps`` passes."""
+    near = "arg_min(r.c, (list_distance(p.v, r.m), r.c))"
+    return f"""{name}_cent(step, g, k, c, m) AS (
+  SELECT 0, g, k, c, m FROM {start}
+  UNION ALL
+  SELECT step + 1, g, k, c, list(x ORDER BY d) FROM (
+    SELECT step, g, k, c, d, avg(x) AS x FROM (
+      SELECT step, g, k, c, generate_subscripts(v, 1) AS d, unnest(v) AS x FROM (
+        SELECT r.step, p.g, r.k, p.id, any_value(p.v) AS v, {near} AS c FROM {points} p JOIN {name}_cent r ON r.g = p.g WHERE r.step < {steps}
+        GROUP BY r.step, p.g, r.k, p.id))
+    GROUP BY ALL) GROUP BY step, g, k, c),
+{name} AS MATERIALIZED (
+  SELECT p.g, r.k, p.id, any_value(p.v) AS v, {near} AS c FROM {points} p JOIN {name}_cent r ON r.g = p.g WHERE r.step = {steps} GROUP BY p.g, r.k, p.id)"""
+
+
+def lloyd_sql(k: int) -> str:
+    """k-means at rest, from the k lowest distinct vectors: table assigned(id, v, c)."""
+    return f"""one AS MATERIALIZED (SELECT 0 AS g, id, v FROM e),
+lowest AS (SELECT 0 AS g, {k} AS k, row_number() OVER (ORDER BY id) - 1 AS c, v AS m FROM (
+  SELECT min(id) AS id, v FROM e GROUP BY v ORDER BY 1 LIMIT {k})),
+{means_sql("assigned", "one", "lowest")}"""
 
 
 @query("kmeans_lloyd", f"""
-WITH {E_SQL}, {lloyd_sql(4, 3)} SELECT id, c::BIGINT AS cluster_id FROM assigned""")
+WITH RECURSIVE {E_SQL}, {lloyd_sql(4)} SELECT id, c::BIGINT AS cluster_id FROM assigned""")
 def kmeans_lloyd(spark, sf):
     pts = points(spark, sf).select(F.lit(0).cast("bigint").alias("grp"), "id", "v")
     starts = lloyd.first_starts(pts, 4)
-    models = lloyd.lloyd(pts, [lloyd.Model(0, 4, 0, starts[0])], iterations=3, tol=-1.0)
+    models = lloyd.lloyd(pts, [lloyd.Model(0, 4, 0, starts[0])])
     return lloyd.assign(pts, models).select("id", F.get("labs", F.lit(0)).cast("bigint").alias("cluster_id"))
 
 
@@ -79,6 +86,17 @@ def kmeans_restarts(spark, sf):
     return cluster.kmeans(points(spark, sf), 5)
 
 
+@query("kmeans_restarts_check", "SELECT count(*) AS n, 5::BIGINT AS clusters, 0::BIGINT AS misplaced FROM embeddings")
+def kmeans_restarts_check(spark, sf):
+    """Rows that lie nearer to the mean of another cluster than to their own: none, at rest."""
+    pts = points(spark, sf).select("id", "v")
+    found = cut(pts.join(cluster.kmeans(pts, 5), "id"), "found")
+    near = cluster.assign_nearest(found.select("id", "v", "cluster_id"), centroids(found, "cluster_id"))
+    return near.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("cluster_id").alias("clusters"), F.count_if(F.col("nearest") != F.col("cluster_id")).alias("misplaced"),
+    )
+
+
 @query("assign_nearest", f"""
 WITH {E_SQL}, {CENT_SQL}
 SELECT id, arg_min(cent.cluster_id, (list_distance(v, c), cent.cluster_id))::BIGINT AS nearest,

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from labelloom.functions import text
 from labelloom.operators import calls as log
 from labelloom.operators import naming, provenance
+from labelloom.operators.represent import hashed_vector
 from labelloom.plans.registry import (
-    CALLS_SQL, CENT_SQL, D_SQL, E_NOISE_SQL, E_SQL, calls, documents, query, r6, strip_sql, table, vectors,
+    CALLS_SQL, CENT_SQL, D_SQL, E_NOISE_SQL, E_SQL, calls, documents, docvec_sql, query, r6, strip_sql, table, vectors,
 )
 from labelloom.scratch import cut
 
@@ -103,14 +104,26 @@ def representatives_topk(spark, sf):
     )
 
 
-_FIRST5 = "f AS (SELECT * FROM (SELECT cluster_id, content, row_number() OVER (PARTITION BY cluster_id ORDER BY n_chars, id) AS rank FROM d) WHERE rank <= 5)"
+REP_DIMS = 64
 
 
-def _shortest(spark, sf):
-    from pyspark.sql import Window
+def reps_sql(i: int, source: str) -> str:
+    """f{i}(cluster_id, content, rank): the five rows of each cluster of ``source`` nearest to its centroid; needs ev(id, v)."""
+    return f"""m{i} AS MATERIALIZED (SELECT s.id, s.cluster_id, s.content, ev.v FROM {source} s JOIN ev USING (id) WHERE s.cluster_id >= 0),
+cc{i} AS (SELECT cluster_id, list(x ORDER BY dim) AS c FROM (
+  SELECT cluster_id, dim, avg(x) AS x FROM (SELECT cluster_id, generate_subscripts(v, 1) AS dim, unnest(v) AS x FROM m{i}) GROUP BY ALL) GROUP BY 1),
+f{i} AS (SELECT cluster_id, content, rank FROM (
+  SELECT cluster_id, content, row_number() OVER (PARTITION BY cluster_id ORDER BY list_distance(v, c), id) AS rank FROM m{i} JOIN cc{i} USING (cluster_id))
+  WHERE rank <= 5)"""
+
+
+_EV_SQL = docvec_sql(REP_DIMS) + f""",
+ev AS MATERIALIZED (SELECT doc_id AS id, coalesce(v, list_transform(range({REP_DIMS}), lambda x: 0e0)) AS v FROM documents LEFT JOIN dv ON id = doc_id)"""
+
 
-    rank = F.row_number().over(Window.partitionBy("cluster_id").orderBy("n_chars", "id"))
-    return documents(spark, sf).withColumn("rank", rank).where("rank <= 5")
+def _representatives(docs):
+    """The five documents of each cluster nearest to the centroid of its hashed vectors."""
+    return naming.representatives(docs.withColumn("v", hashed_vector(F.col("content"), REP_DIMS)), 5, keep=["content"])
 
 
 _PROMPT_SQL = (
@@ -120,9 +133,9 @@ _PROMPT_SQL = (
 
 
 @query("cluster_prompts", f"""
-WITH {D_SQL}, {_FIRST5} SELECT cluster_id, {_PROMPT_SQL} AS prompt FROM f GROUP BY 1""")
+WITH {D_SQL}, {_EV_SQL}, {reps_sql(0, 'd')} SELECT cluster_id, {_PROMPT_SQL} AS prompt FROM f0 GROUP BY 1""")
 def cluster_prompts(spark, sf):
-    return naming.prompts(_shortest(spark, sf))
+    return naming.prompts(_representatives(documents(spark, sf)))
 
 
 def _score_sql(words: list[str]) -> str:
@@ -348,12 +361,11 @@ _MOVED = "CASE WHEN n_chars >= 800 THEN 0 ELSE cluster_id END"
 
 def _history(spark, sf):
     docs = cut(documents(spark, sf), "docs")
-    shortest = cut(_shortest(spark, sf).select("cluster_id", "id", "rank", "content"), "reps")
-    prompt = naming.prompts(shortest)
-    rounds = []
     moved = docs.withColumn("cluster_id", F.expr(_MOVED).cast("int"))
+    rounds = []
     for i, part in enumerate((docs, moved)):
-        rounds.append(provenance.records(naming.label_clusters(part), prompt, shortest, i))
+        reps = cut(_representatives(part).select("cluster_id", "id", "rank", "content"), "reps")
+        rounds.append(provenance.records(naming.label_clusters(part), naming.prompts(reps), reps, i))
     return cut(rounds[0].unionByName(rounds[1]), "history")
 
 
@@ -368,17 +380,18 @@ def _round_sql(i: int, source: str) -> str:
     return f"labels{i} AS (WITH {body} SELECT cluster_id, label, confidence, n FROM labels),"
 
 
-_HISTORY = _HISTORY_SQL.format(
-    _round_sql(0, "full_d") + "\n" + _round_sql(1, f"(SELECT * REPLACE (({_MOVED})::INT AS cluster_id) FROM full_d)")
-)
+_MOVED_D = f"(SELECT * REPLACE (({_MOVED})::INT AS cluster_id) FROM full_d)"
+_HISTORY = _HISTORY_SQL.format(_round_sql(0, "full_d") + "\n" + _round_sql(1, _MOVED_D))
 
 
 @query("provenance_records", f"""
-WITH {_HISTORY}, {_FIRST5.replace('FROM d)', 'FROM full_d)')}, p AS (SELECT cluster_id, md5({_PROMPT_SQL}) AS prompt_md5, count(*) AS n_samples FROM f GROUP BY 1)
+WITH {_HISTORY}, {_EV_SQL}, {reps_sql(0, 'full_d')}, {reps_sql(1, _MOVED_D)},
+f AS (SELECT 0 AS iteration, * FROM f0 UNION ALL SELECT 1, * FROM f1),
+p AS (SELECT iteration, cluster_id, md5({_PROMPT_SQL}) AS prompt_md5, count(*) AS n_samples FROM f GROUP BY ALL)
 SELECT iteration::BIGINT AS iteration, cluster_id, label, 'rule' AS provider, prompt_md5, n_samples, round(confidence, 6) + 0e0 AS confidence,
   round(least(1e0, n / 50e0), 6) + 0e0 AS size_confidence,
   CASE WHEN label IN ('unlabeled', 'unknown', 'noise') THEN 3e-1 ELSE 9e-1 END AS label_quality
-FROM h LEFT JOIN p USING (cluster_id)""")
+FROM h LEFT JOIN p USING (iteration, cluster_id)""")
 def provenance_records(spark, sf):
     return _history(spark, sf).select(
         F.col("iteration").cast("bigint").alias("iteration"), "cluster_id", "label", "provider",

@@ -8,7 +8,7 @@ from labelloom.operators import (
     cluster, crosscheck, drift, isolation, metrics, naming, neighbors, quality, selftrain, taxonomy,
 )
 from labelloom.operators.represent import hashed_vector
-from labelloom.plans.cluster_queries import NN_SQL
+from labelloom.plans.cluster_queries import NN_SQL, means_sql
 from labelloom.plans.label_queries import _KW_SQL, _KWL_SQL, _LABELS_SQL, _TOKL_SQL, _business, _BUSINESS_SQL, words_sql
 from labelloom.plans.registry import (
     CENT_SQL, D_SQL, E_NOISE_SQL, E_SQL, docvec_sql, documents, query, r6, spread, table, vectors,
@@ -151,34 +151,24 @@ coll AS (SELECT a.cluster_id AS cluster_a, b.cluster_id AS cluster_b, CASE WHEN
   FROM ln a JOIN ln b ON a.cluster_id < b.cluster_id)"""
 
 
-def split_sql(k: int, steps: int, min_rows: int = 10) -> str:
-    """sil_k(g, s): grouped k-means in ``k`` from the lowest id and successively farthest rows."""
-    p = f"k{k}"
-    parts = [f"{p}_s0 AS MATERIALIZED (SELECT g, 0 AS c, arg_min(v, id) AS m FROM pts GROUP BY g)"]
-    for i in range(1, k):
+def split_sql(points: str = "pts", ks: tuple[int, ...] = (2,), name: str = "split") -> str:
+    """{name}(g, k, id, v, c) and {name}_sil(g, k, s): grouped k-means at rest from the lowest id and successively farthest rows."""
+    parts = [f"{name}_s0 AS MATERIALIZED (SELECT g, 0 AS c, arg_min(v, id) AS m FROM {points} GROUP BY g)"]
+    for i in range(1, max(ks)):
         parts.append(
-            f"""{p}_s{i} AS MATERIALIZED (SELECT * FROM {p}_s{i - 1} UNION ALL
+            f"""{name}_s{i} AS MATERIALIZED (SELECT * FROM {name}_s{i - 1} UNION ALL
   SELECT g, {i}, arg_max(v, (gap, -id)) FROM (
-    SELECT p.g, p.id, p.v, min(list_distance(p.v, s.m)) AS gap FROM pts p JOIN {p}_s{i - 1} s USING (g) GROUP BY ALL)
+    SELECT p.g, p.id, any_value(p.v) AS v, min(list_distance(p.v, s.m)) AS gap FROM {points} p JOIN {name}_s{i - 1} s ON s.g = p.g GROUP BY p.g, p.id)
   GROUP BY g)"""
         )
-    parts.append(f"{p}_c0 AS MATERIALIZED (SELECT * FROM {p}_s{k - 1})")
-    for i in range(steps + 1):
-        parts.append(
-            f"""{p}_a{i} AS MATERIALIZED (SELECT p.g, p.id, p.v, arg_min(c.c, (list_distance(p.v, c.m), c.c)) AS c
-  FROM pts p JOIN {p}_c{i} c USING (g) GROUP BY ALL)"""
-        )
-        if i < steps:
-            parts.append(
-                f"""{p}_c{i + 1} AS MATERIALIZED (SELECT g, c, list(x ORDER BY d) AS m FROM (
-  SELECT g, c, d, avg(x) AS x FROM (SELECT g, c, generate_subscripts(v, 1) AS d, unnest(v) AS x FROM {p}_a{i}) GROUP BY ALL)
-  GROUP BY g, c)"""
-            )
+    parts.append(f"{name}_start AS (SELECT g, k, c, m FROM {name}_s{max(ks) - 1}, (SELECT unnest({list(ks)}) AS k) WHERE c < k)")
+    parts.append(means_sql(name, points, f"{name}_start"))
     parts.append(
-        f"""{p}_gaps AS (SELECT p.g, p.id, p.c AS own, q.c AS other, avg(list_distance(p.v, q.v)) AS m
-  FROM {p}_a{steps} p JOIN {p}_a{steps} q ON p.g = q.g AND p.id <> q.id GROUP BY ALL),
-{p}_ab AS (SELECT g, id, max(m) FILTER (WHERE own = other) AS a, min(m) FILTER (WHERE own <> other) AS b FROM {p}_gaps GROUP BY ALL),
-{p}_sil AS (SELECT g, avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) AS s FROM {p}_ab GROUP BY g)"""
+        f"""{name}_gaps AS (SELECT p.g, p.k, p.id, p.c AS own, q.c AS other, avg(list_distance(p.v, q.v)) AS m
+  FROM {name} p JOIN {name} q ON p.g = q.g AND p.k = q.k AND p.id <> q.id GROUP BY ALL),
+{name}_ab AS (SELECT g, k, id, max(m) FILTER (WHERE own = other) AS a, min(m) FILTER (WHERE own <> other) AS b FROM {name}_gaps GROUP BY ALL),
+{name}_sil AS (SELECT g, k, avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) AS s FROM {name}_ab GROUP BY g, k),
+{name}_best AS (SELECT g, arg_max(k, (s, -k)) AS k, max(s) AS s FROM {name}_sil GROUP BY g)"""
     )
     return ",\n".join(parts)
 
@@ -215,10 +205,10 @@ def merge_candidates(spark, sf):
 
 
 @query("split_candidates", f"""
-WITH {E_NOISE_SQL}, {_PTS_SQL}, {split_sql(2, 5)}
-SELECT g::BIGINT AS cluster_id, round(s, 6) + 0e0 AS silhouette FROM k2_sil WHERE s > {SPLIT_AT}::DOUBLE""")
+WITH RECURSIVE {E_NOISE_SQL}, {_PTS_SQL}, {split_sql()}
+SELECT g::BIGINT AS cluster_id, round(s, 6) + 0e0 AS silhouette FROM split_sil WHERE s > {SPLIT_AT}::DOUBLE""")
 def split_candidates(spark, sf):
-    found = crosscheck.split_candidates(vectors(spark, sf, True), SPLIT_AT, restarts=1, iterations=5)
+    found = crosscheck.split_candidates(vectors(spark, sf, True), SPLIT_AT, starts="farthest")
     return found.select(F.col("cluster_a").alias("cluster_id"), r6("similarity").alias("silhouette"))
 
 
@@ -238,12 +228,12 @@ def outlier_clusters(spark, sf):
     )
 
 
-_FLAGS_SQL = f"""{CENT_SQL}, {_PTS_SQL}, {split_sql(2, 5)}, {_CLUSTER_LABELS_SQL}, {_COLLISION_SQL.replace('@labels', 'cl')}, {_OUTLIER_SQL},
+_FLAGS_SQL = f"""{CENT_SQL}, {_PTS_SQL}, {split_sql()}, {_CLUSTER_LABELS_SQL}, {_COLLISION_SQL.replace('@labels', 'cl')}, {_OUTLIER_SQL},
 flags AS (
   SELECT 'label_collision' AS flag_type, cluster_a, cluster_b, similarity FROM coll WHERE similarity >= 8e-1
   UNION ALL SELECT 'merge_candidate', a.cluster_id, b.cluster_id, list_cosine_similarity(a.c, b.c)
     FROM cent a JOIN cent b ON a.cluster_id < b.cluster_id WHERE a.cluster_id >= 0 AND list_cosine_similarity(a.c, b.c) >= {MERGE_AT}::DOUBLE
-  UNION ALL SELECT 'split_candidate', g, NULL, s FROM k2_sil WHERE s > {SPLIT_AT}::DOUBLE
+  UNION ALL SELECT 'split_candidate', g, NULL, s FROM split_sil WHERE s > {SPLIT_AT}::DOUBLE
   UNION ALL SELECT 'outlier_cluster', cluster_id, NULL, mean_sim FROM outl)"""
 
 
@@ -251,19 +241,19 @@ def _flags(spark, sf):
     df = points(spark, sf, True)
     return crosscheck.validation_flags(
         df, cluster_labels(df), merge_threshold=MERGE_AT, split_threshold=SPLIT_AT, size_share=SIZE_SHARE,
-        restarts=1, iterations=5,
+        starts="farthest",
     )
 
 
 @query("validation_flags", f"""
-WITH {E_NOISE_SQL}, {_FLAGS_SQL}
+WITH RECURSIVE {E_NOISE_SQL}, {_FLAGS_SQL}
 SELECT flag_type, cluster_a::BIGINT AS cluster_a, coalesce(cluster_b, -1)::BIGINT AS cluster_b, round(similarity, 6) + 0e0 AS similarity FROM flags""")
 def validation_flags(spark, sf):
     return _flags(spark, sf).select("flag_type", "cluster_a", F.coalesce("cluster_b", F.lit(-1)).alias("cluster_b"), r6("similarity").alias("similarity"))
 
 
 @query("consistency_score", f"""
-WITH {E_NOISE_SQL}, {_FLAGS_SQL}
+WITH RECURSIVE {E_NOISE_SQL}, {_FLAGS_SQL}
 SELECT count(*) AS n_flags, count(*) FILTER (WHERE flag_type = 'merge_candidate') AS n_merge_candidate,
   count(*) FILTER (WHERE flag_type = 'split_candidate') AS n_split_candidate,
   count(*) FILTER (WHERE flag_type = 'label_collision') AS n_label_collision,
@@ -568,45 +558,57 @@ def drift_report(spark, sf):
     )
 
 
-# The label tree: one level with a fixed start, so that SQL can follow it.
-_BEST_SQL = f"""{_PTS_SQL.replace('>= 10))', '>= 10))')}, {', '.join(split_sql(k, 3) for k in (2, 3, 4, 5))},
-sils AS (SELECT g, 2 AS k, s FROM k2_sil UNION ALL SELECT g, 3, s FROM k3_sil UNION ALL SELECT g, 4, s FROM k4_sil UNION ALL SELECT g, 5, s FROM k5_sil),
-best AS (SELECT g, arg_max(k, (s, -k)) AS k, max(s) AS s FROM sils GROUP BY g)"""
+# The label tree, from a fixed start, so that SQL can follow it.
+_BEST_SQL = f"{_PTS_SQL}, {split_sql('pts', (2, 3, 4, 5))}"
 
 
 @query("subcluster_best_k", f"""
-WITH {E_NOISE_SQL}, {_BEST_SQL} SELECT g::BIGINT AS cluster_id, k::BIGINT AS k, round(s, 6) + 0e0 AS silhouette FROM best""")
+WITH RECURSIVE {E_NOISE_SQL}, {_BEST_SQL} SELECT g::BIGINT AS cluster_id, k::BIGINT AS k, round(s, 6) + 0e0 AS silhouette FROM split_best""")
 def subcluster_best_k(spark, sf):
     df = points(spark, sf, True).where("cluster_id >= 0").select(
         F.col("cluster_id").cast("bigint").alias("grp"), "id", "v"
     )
     sizes = {r.grp: r["count"] for r in df.groupBy("grp").count().collect()}
-    _, best = taxonomy.best_splits(df, sizes, restarts=1, iterations=3)
+    _, best = taxonomy.best_splits(df, sizes, starts="farthest")
     return spark.createDataFrame(
         [(g, k, round(s, 6)) for g, _, k, s in best], "cluster_id bigint, k bigint, silhouette double"
     )
 
 
-_TREE_SQL = f"""{_BEST_SQL},
-parts AS (SELECT g, c, count(*) AS n, min(id) AS first FROM (
-  {' UNION ALL '.join(f'SELECT g, id, c, {k} AS k FROM k{k}_a3' for k in (2, 3, 4, 5))}) JOIN best USING (g, k)
-  WHERE best.s >= {SPLIT_AT}::DOUBLE GROUP BY g, c),
-kids AS (SELECT g, n, row_number() OVER (PARTITION BY g ORDER BY first) - 1 AS i FROM parts),
-tree AS (SELECT cluster_id::VARCHAR AS node_path, NULL AS parent_path, 'topic ' || chr((97 + cluster_id % 4)::INT) AS label, 0 AS level, count(*) AS n_samples, 5e-1 AS confidence
-  FROM e WHERE cluster_id >= 0 GROUP BY cluster_id
-  UNION ALL SELECT g || '/' || i, g::VARCHAR, 'topic ' || chr((97 + g % 4)::INT) || '/' || i, 1, n, 5e-1 * 9e-1 FROM kids WHERE n >= 5)"""
+TREE_DEPTH, TREE_ROWS = 3, 5
+
+
+def _tree_sql() -> str:
+    """tree(node_path, parent_path, label, level, n_samples, confidence): every level splits the nodes that the one above left large enough."""
+    parts = [f"""n0 AS (SELECT cluster_id::VARCHAR AS node_path, NULL AS parent_path, 'topic ' || chr((97 + cluster_id % 4)::INT) AS label, 0 AS level,
+  count(*) AS n_samples, 5e-1 AS confidence FROM e WHERE cluster_id >= 0 GROUP BY cluster_id),
+r0 AS MATERIALIZED (SELECT cluster_id::VARCHAR AS g, id, v FROM e WHERE cluster_id >= 0)"""]
+    for i in range(TREE_DEPTH):
+        parts.append(f"p{i} AS MATERIALIZED (SELECT r{i}.* FROM r{i} JOIN n{i} ON node_path = g WHERE n_samples >= {2 * TREE_ROWS})")
+        parts.append(split_sql(f"p{i}", (2, 3, 4, 5), f"t{i}"))
+        parts.append(f"""c{i} AS (SELECT t.g, t.c, count(*) AS n, min(t.id) AS first FROM t{i} t JOIN t{i}_best b ON b.g = t.g AND b.k = t.k
+  WHERE b.s >= {SPLIT_AT}::DOUBLE GROUP BY t.g, t.c),
+o{i} AS (SELECT g, c, n, row_number() OVER (PARTITION BY g ORDER BY first) - 1 AS at FROM c{i}),
+n{i + 1} AS (SELECT o.g || '/' || o.at AS node_path, o.g AS parent_path, p.label || '/' || o.at AS label, {i + 1} AS level, o.n AS n_samples, p.confidence * 9e-1 AS confidence
+  FROM o{i} o JOIN n{i} p ON p.node_path = o.g WHERE o.n >= {TREE_ROWS}),
+r{i + 1} AS MATERIALIZED (SELECT o.g || '/' || o.at AS g, t.id, t.v FROM t{i} t JOIN t{i}_best b ON b.g = t.g AND b.k = t.k JOIN o{i} o ON o.g = t.g AND o.c = t.c)""")
+    parts.append("tree AS (" + " UNION ALL ".join(f"SELECT * FROM n{i}" for i in range(TREE_DEPTH + 1)) + ")")
+    return ",\n".join(parts)
+
+
+_TREE_SQL = _tree_sql()
 
 
 def tree(spark, sf):
     df = points(spark, sf, True)
     labels = cluster_labels(df).withColumn("confidence", F.lit(0.5))
     return taxonomy.discover(
-        df, labels, max_depth=1, min_samples=5, min_silhouette=SPLIT_AT, restarts=1, iterations=3
+        df, labels, max_depth=TREE_DEPTH, min_samples=TREE_ROWS, min_silhouette=SPLIT_AT, starts="farthest"
     )
 
 
 @query("taxonomy_nodes", f"""
-WITH {E_NOISE_SQL}, {_TREE_SQL}
+WITH RECURSIVE {E_NOISE_SQL}, {_TREE_SQL}
 SELECT node_path, parent_path, label, level::BIGINT AS level, n_samples, round(confidence, 6) + 0e0 AS confidence FROM tree""")
 def taxonomy_nodes(spark, sf):
     return tree(spark, sf).select(
@@ -615,13 +617,13 @@ def taxonomy_nodes(spark, sf):
     )
 
 
-@query("taxonomy_stats", f"WITH {E_NOISE_SQL}, {_TREE_SQL} SELECT count(*) AS total_nodes, max(level)::BIGINT AS max_depth FROM tree")
+@query("taxonomy_stats", f"WITH RECURSIVE {E_NOISE_SQL}, {_TREE_SQL} SELECT count(*) AS total_nodes, max(level)::BIGINT AS max_depth FROM tree")
 def taxonomy_stats(spark, sf):
     return taxonomy.stats(tree(spark, sf)).select("total_nodes", F.col("max_depth").cast("bigint").alias("max_depth"))
 
 
 @query("taxonomy_flatten", f"""
-WITH {E_NOISE_SQL}, {_TREE_SQL}
+WITH RECURSIVE {E_NOISE_SQL}, {_TREE_SQL}
 SELECT p.label, string_agg(c.label, '|' ORDER BY c.node_path) AS children FROM tree c JOIN tree p ON c.parent_path = p.node_path
 GROUP BY p.node_path, p.label""")
 def taxonomy_flatten(spark, sf):

@@ -177,3 +177,47 @@ def test_taxonomy_splits_and_respects_gates(points, blobs, spark):
     assert '"label":"both/1"' in taxonomy.nested(tree, 1).where("node_path = '0'").first().json
     flat = taxonomy.discover(df, labels, max_depth=0)
     assert flat.count() == 2
+
+
+def plain_plus_plus(x, k, seed):
+    """k-means++ over all rows, one draw per start."""
+    rng = np.random.default_rng(seed)
+    chosen = [int(rng.integers(len(x)))]
+    while len(chosen) < k:
+        gap = ((x[:, None] - x[chosen][None]) ** 2).sum(-1).min(1)
+        chosen.append(int(rng.choice(len(x), p=gap / gap.sum())))
+    return x[chosen]
+
+
+def cost(x, centres):
+    return float(((x[:, None] - centres[None]) ** 2).sum(-1).min(1).sum())
+
+
+def test_parallel_starts_are_no_worse_than_plain_ones(points):
+    rng = np.random.default_rng(31)
+    x = np.vstack([rng.normal(rng.uniform(-20, 20, 3), 1.0, (30, 3)) for _ in range(8)])
+    pts = points(x).select(F.lit(0).cast("bigint").alias("grp"), "id", "v")
+    found = lloyd.parallel_starts(pts, 8, restarts=20)
+    assert sorted(found) == [(0, r) for r in range(20)] and all(len(c) == 8 for c in found.values())
+    assert len({tuple(c[0]) for c in found.values()}) > 5  # restarts begin at rows of their own
+    plain = [cost(x, plain_plus_plus(x, 8, seed)) for seed in range(20)]
+    assert np.median([cost(x, c) for c in found.values()]) <= np.median(plain)
+    other = lloyd.parallel_starts(pts.repartition(5), 8, restarts=20)
+    assert all(np.array_equal(found[key], other[key]) for key in found)
+
+
+def test_parallel_starts_of_few_distinct_rows_and_in_batches(points, monkeypatch):
+    x = [[0.0, 0.0]] * 30 + [[1.0, 0.0]] * 2 + [[5.0, 5.0]]
+    pts = points(x).select((F.col("id") % 2).cast("bigint").alias("grp"), "id", "v")
+    found = lloyd.parallel_starts(pts, 4, restarts=3)
+    assert {key: len(c) for key, c in found.items()} == {(g, r): 3 if g == 0 else 2 for g in (0, 1) for r in range(3)}
+    monkeypatch.setattr(lloyd, "MAX_CENTRE_BYTES", 1)
+    again = lloyd.parallel_starts(pts, 4, restarts=3)
+    assert all(np.array_equal(found[key], again[key]) for key in found)
+
+
+def test_farthest_starts(points):
+    x = [[0.0], [1.0], [9.0], [4.0], [9.0]]
+    pts = points(x).select(F.lit(3).cast("bigint").alias("grp"), "id", "v")
+    assert lloyd.spread_starts(pts, 3, 5, starts="farthest")[3, 0].ravel().tolist() == [0.0, 9.0, 4.0]
+    assert len(lloyd.spread_starts(pts, 9, 1, starts="farthest")[3, 0]) == 4

@@ -10,6 +10,8 @@ NAMES = [
     "src_json", "dedup_exact", "embed_hashed_tf", "fuse_embeddings", "assign_nearest", "silhouette_per_cluster",
     "representatives_topk", "clean_response", "top_token_label", "first_success", "ucb_running", "lof_scores",
     "near_dup_pairs", "cluster_coherence", "merge_candidates", "curriculum_weights", "drift_health", "adjusted_rand",
+    "kmeans_lloyd", "kmeans_restarts_check", "mst_edges", "graph_embedding_check", "split_candidates", "taxonomy_nodes",
+    "cluster_prompts", "provenance_records", "src_csv",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not there")
