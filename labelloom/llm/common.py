@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from labelloom.scratch import cut, spread
 
-__all__ = ["bounded_batches", "cut", "join_labels", "read", "spread", "tiles", "whole_runs", "word_bytes", "word_table"]
+__all__ = ["bounded_batches", "cut", "give_back", "join_labels", "read", "spread", "tidied", "tiles", "whole_runs", "word_bytes", "word_table"]
 
 #: Upper bound on the bytes that Spark puts into one Arrow batch, so that long texts do not pile up in a worker.
 BATCH_BYTES = 8 * 1024 * 1024
@@ -71,6 +72,29 @@ def whole_runs(
         yield pa.Table.from_batches(held)
 
 
+def give_back() -> None:
+    """Give memory that this worker no longer uses back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` that gives memory back when it ends.
+
+    Workers outlive their tasks; what one stage leaves in their pools would be missing in the next.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def tiles(rows: DataFrame, by: list[str], member: str, most: int) -> DataFrame:
     """``rows`` with columns chunk, other and tile: groups of more than ``most`` rows become tiles of two hashed chunks.
 

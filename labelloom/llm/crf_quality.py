@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelloom.llm.common import tidied
+
 TRAIN_DOCS = 1200
 TRAIN_LINES = 200
 _UPPER = bytes(range(65, 91))
@@ -287,4 +289,4 @@ def keep(docs: DataFrame, model: Model, least: float, text: str = "text") -> Dat
             good = np.isnan(quality) | (model.score(np.nan_to_num(quality, nan=0.5)) >= least)
             yield batch.filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import word_bytes
+from labelloom.llm.common import cut, tidied, word_bytes
 
 WINDOW = 10
 PAGE_BYTES = 16 * 1024 * 1024
@@ -276,11 +276,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     Every row of ``docs`` gives one row; with several pages, keys must be unique. Other columns are not read.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").cast("binary").alias("data"))
-    tests = benchmark.where(F.col(item_text).isNotNull() & F.col(item).isNotNull()).select(
-        F.col(item).cast("long").alias("item"), F.col(item_text).cast("string").cast("binary").alias("data")
-    )
-    total = tests.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    pages = max(1, -(-total // page_bytes))
+    tests, pages = _pages(benchmark, item, item_text, page_bytes)
     found = None
     for k in range(pages):
         part = tests if pages == 1 else tests.where(F.pmod(F.xxhash64("item", "data"), F.lit(pages)) == k)
@@ -322,29 +318,88 @@ def cut_spans(data: bytes, spans: list) -> bytes:
     return b"\n".join(out)
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def _pages(benchmark: DataFrame, item: str, item_text: str, page_bytes: int) -> tuple[DataFrame, int]:
+    """(item, data) of the usable items, and the number of pages that they fill."""
+    tests = benchmark.where(F.col(item_text).isNotNull() & F.col(item).isNotNull()).select(
+        F.col(item).cast("long").alias("item"), F.col(item_text).cast("string").cast("binary").alias("data")
+    )
+    total = tests.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    return tests, max(1, -(-total // page_bytes))
+
+
+def _cleaned(texts: list[str | None], found: list[tuple]) -> tuple[list[str | None], list[int]]:
+    """Texts without their spans, and the positions of those that keep a word or had no hit."""
+    out, keep = [], []
+    for i, (text, (_, n, _, spans)) in enumerate(zip(texts, found, strict=True)):
+        out.append(cut_spans(text.encode(), spans).decode() if spans else text)
+        if not spans or sum(s["end"] - s["start"] for s in spans) < n:
+            keep.append(i)
+    return out, keep
+
+
+def remove(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
+           item_text: str = "text", window: int = WINDOW, page_bytes: int = PAGE_BYTES) -> DataFrame:
     """``docs`` with the found spans cut out of their texts; documents that lose all their words are dropped.
 
-    ``key`` must be unique and not null. All columns are kept, in order; texts without a hit stay as they are.
+    All columns are kept, in order and whatever their names; texts without a hit stay as they are. Every row stands for
+    itself: keys may repeat or be null. A benchmark of one page is searched and cut in one pass over the rows; with
+    several pages the rows are numbered and written first.
     """
-    found = find(docs, benchmark, key, text, **options).where(F.size("spans") > 0).select(
-        F.col(key).alias("_key"), F.col("n_words").alias("_n"), F.col("spans").alias("_spans"),
-    )
+    tests, pages = _pages(benchmark, item, item_text, page_bytes)
+    if pages == 1:
+        return _removed_in_place(docs, Page.of([(r["item"], bytes(r["data"])) for r in tests.collect()], window), text)
+    numbered = cut(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*docs.columns).alias("row")), "numbered")
+    plain = numbered.select("uid", F.col("row")[text].alias("text"))
+    found = find(plain, benchmark, "uid", "text", item, item_text, window, page_bytes).where(F.size("spans") > 0).select("uid", "n_words", "spans")
+    found = cut(found, "spans")
+    hit = numbered.join(found, "uid").select("uid", F.col("row")[text].alias("text"), "n_words", "spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(None, n, None, s) for n, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            texts, keep = _cleaned(batch.column(1).to_pylist(), rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["uid", "clean"]).take(pa.array(keep, pa.int64()))
+
+    clean = hit.mapInArrow(run, "uid long, clean string")
+    rest = numbered.join(found.select("uid"), "uid", "left_anti").select("row.*")
+    changed = numbered.join(clean, "uid").select("row.*", F.col("clean").alias("_clean"))
+    # The cut text takes its place by position, as any name may occur among the columns.
     names = docs.columns
-    joined = docs.join(found, F.col(key) == F.col("_key"), "left")
-    clean = joined.where("_key is null").select(*names)
-    hit = joined.where(
-        F.col("_key").isNotNull() & (F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]) < F.col("_n"))
-    )
+    columns = [f"c{i}" for i in range(len(names))] + ["clean"]
+    changed = changed.toDF(*columns).select(*[F.col("clean" if n == text else f"c{i}").alias(n) for i, n in enumerate(names)])
+    return rest.unionAll(changed)
+
+
+def _removed_in_place(docs: DataFrame, page: Page, text: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(page)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        number = known.words.get
+        held: list[pa.RecordBatch] = []
+        ids: list[tuple[int, np.ndarray]] = []
+        count = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            found = iter(_shard(known, ids))
+            for batch in held:
+                at = batch.schema.get_field_index(text)
+                texts, keep = _cleaned(batch.column(at).to_pylist(), [next(found) for _ in range(batch.num_rows)])
+                columns = [pa.array(texts, batch.schema.field(at).type) if i == at else c for i, c in enumerate(batch.columns)]
+                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).take(pa.array(keep, pa.int64()))
+            held.clear()
+            ids.clear()
+
         for batch in batches:
-            spans = batch.column(batch.schema.get_field_index("_spans"))
-            at = batch.schema.get_field_index(text)
-            texts = [
-                cut_spans(t.as_py().encode(), s.as_py()).decode() for t, s in zip(batch.column(at), spans, strict=True)
-            ]
-            columns = [pa.array(texts, pa.string()) if n == text else batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return clean.unionAll(hit.select(*names, "_spans").mapInArrow(run, docs.schema))
+            held.append(batch)
+            for data in batch.column(batch.schema.get_field_index(text)):
+                words = word_bytes((data.as_py() or "").encode())
+                ids.append((len(ids), np.fromiter((number(w, 0) for w in words), np.int32, len(words))))
+                count += len(words)
+            if count >= SHARD_WORDS or len(ids) >= SHARD_DOCS:
+                yield from flush()
+                count = 0
+        if held:
+            yield from flush()
+
+    return docs.mapInArrow(tidied(run), docs.schema)

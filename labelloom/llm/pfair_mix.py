@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from labelloom.llm.common import cut
+
 BLOCK_BYTES = 1024 * 1024
 #: Hash ranges into which every source is cut for its running sums.
 BUCKETS = 4096
@@ -28,15 +30,15 @@ def _size(text: str) -> Column:
 
 
 def blocks(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
-           block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(key, source, size, offset, block): place of every document in its source.
+           block_bytes: int = BLOCK_BYTES, whole: bool = False) -> DataFrame:
+    """(key, source, size, offset, block[, row]): place of every document in its source; ``whole`` adds all columns as ``row``.
 
     The offset is a running sum of sizes (UTF-8 bytes plus one) in the order of md5(key), key. It is summed in
     BUCKETS hash ranges of each source, so a hot source is never one window. Null sources count as ''.
     """
     rows = docs.select(
         F.col(key).alias("key"), F.coalesce(F.col(source), F.lit("")).alias("source"), _size(text).alias("size"),
-        F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("h"),
+        F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("h"), *([F.struct(*docs.columns).alias("row")] if whole else []),
     )
     leading = F.conv(F.substring("h", 1, 8), 16, 10).cast("long")
     placed = rows.withColumn("bucket", F.floor(leading * F.lit(BUCKETS) / F.lit(2**32)))
@@ -47,7 +49,7 @@ def blocks(docs: DataFrame, key: str = "doc_id", source: str = "source", text: s
     offset = F.col("before") + F.col("running") - F.col("size")
     return (
         placed.withColumn("running", F.sum("size").over(inside)).join(before, ["source", "bucket"])
-        .select("key", "source", "size", offset.alias("offset"), F.floor(offset / F.lit(block_bytes)).alias("block"))
+        .select("key", "source", "size", offset.alias("offset"), F.floor(offset / F.lit(block_bytes)).alias("block"), *(["row"] if whole else []))
     )
 
 
@@ -111,6 +113,31 @@ def schedule(sources: DataFrame) -> DataFrame:
     )
 
 
+def _planned(sizes: DataFrame, weights: DataFrame | None) -> DataFrame:
+    """Schedule of sources given as (source, bytes, blocks)."""
+    if weights is None:
+        return schedule(sizes.select("source", F.sqrt("bytes").alias("weight"), "blocks"))
+    wanted = weights.groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.sum("weight").alias("weight"))
+    return schedule(sizes.join(wanted, "source", "left").select("source", "weight", "blocks"))
+
+
+def _sizes(rows: DataFrame, block_bytes: int) -> DataFrame:
+    return rows.groupBy("source").agg(F.sum("size").alias("bytes"), F.ceil(F.sum("size") / F.lit(block_bytes)).alias("blocks"))
+
+
+def in_mixed_order(docs: DataFrame, weights: DataFrame | None = None, key: str = "doc_id", source: str = "source", text: str = "text",
+                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Whole rows of ``docs`` in the mixed order of ``mix``: ranges of slots, sorted within each.
+
+    Every row comes out once, with all its columns, whatever their names and however often its key occurs; rows with
+    null keys have their place too. Rows travel with their place instead of being joined back by key.
+    """
+    size = docs.select(F.coalesce(F.col(source), F.lit("")).alias("source"), _size(text).alias("size"))
+    plan = cut(_planned(_sizes(size, block_bytes), weights).select("source", "block", "slot"), "schedule")
+    placed = blocks(docs, key, source, text, block_bytes, whole=True).join(plan, ["source", "block"])
+    return placed.select("slot", "offset", "row").repartitionByRange("slot").sortWithinPartitions("slot", "offset").select("row.*")
+
+
 def mix(docs: DataFrame, weights: DataFrame | None = None, key: str = "doc_id", source: str = "source", text: str = "text",
         block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(key, source, block, slot, release, deadline, offset): every document once, in the slot of its block.
@@ -120,14 +147,6 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, key: str = "doc_id",
     Rows with equal keys stand side by side. An empty table gives no rows. Other columns are not read.
     """
     placed = blocks(docs, key, source, text, block_bytes)
-    sizes = placed.groupBy("source").agg(
-        F.sum("size").alias("bytes"), F.ceil(F.sum("size") / F.lit(block_bytes)).alias("blocks")
-    )
-    if weights is None:
-        sources = sizes.select("source", F.sqrt("bytes").alias("weight"), "blocks")
-    else:
-        wanted = weights.groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.sum("weight").alias("weight"))
-        sources = sizes.join(wanted, "source", "left").select("source", "weight", "blocks")
-    return placed.join(schedule(sources), ["source", "block"]).select(
+    return placed.join(_planned(_sizes(placed, block_bytes), weights), ["source", "block"]).select(
         F.col("key").alias(key), F.col("source").alias(source), "block", "slot", "release", "deadline", "offset",
     )

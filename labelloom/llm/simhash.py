@@ -24,9 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import cut, join_labels, tiles, whole_runs
+from labelloom.llm.common import cut, join_labels, tidied, tiles, whole_runs
 from labelloom.operators.graph import components
-from labelloom.llm.verify import jaccard_forest
 
 RADIUS = 3
 SEED = 42
@@ -63,7 +62,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", words
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["key", "fp"])
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").cast("binary").alias("data"))
-    return rows.mapInArrow(run, "key long, fp long").withColumnRenamed("key", key)
+    return rows.mapInArrow(tidied(run), "key long, fp long").withColumnRenamed("key", key)
 
 
 def gray_rank(code: np.ndarray) -> np.ndarray:
@@ -219,11 +218,11 @@ def _links(codes: DataFrame, radius: int, tile: int) -> DataFrame:
             linked = label != np.arange(label.size)
             yield pa.RecordBatch.from_arrays([pa.array(rep[linked]), pa.array(rep[label[linked]])], names=["a", "b"])
 
-    spelled = codes.select("rep", "fp").mapInArrow(spell, "p int, lead long, rank long, rep long")
+    spelled = codes.select("rep", "fp").mapInArrow(tidied(spell), "p int, lead long, rank long, rep long")
     tiled = tiles(spelled, ["p", "lead"], "rank", tile)
     return (
         tiled.repartition("p", "lead", "tile").sortWithinPartitions("p", "lead", "tile", "rank")
-        .mapInArrow(search, "a long, b long")
+        .mapInArrow(tidied(search), "a long, b long")
     )
 
 
@@ -232,142 +231,29 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     """(key, fp, component_id): fingerprint and smallest key reachable over links of at most ``radius`` bits.
 
     Null and empty texts have fingerprint zero and are linked with one another. Rows with equal keys
-    share a component row each. Other columns of ``docs`` are not looked at. An empty table gives no rows.
+    share a component row each. A row with a null key takes the component of rows with its fingerprint, which is
+    null if none has a key. Other columns of ``docs`` are not looked at. An empty table gives no rows.
     """
     fps = cut(fingerprints(docs, text, key, words), "fps")
     codes = cut(fps.groupBy("fp").agg(F.min(key).alias("rep")), "codes")
-    linked = components(_links(codes, radius, tile))
+    linked = components(_links(codes.where("rep is not null"), radius, tile))
     named = codes.join(linked, codes.rep == linked.node, "left").select(
         "fp", F.coalesce("component", "rep").alias("component_id")
     )
     return fps.join(named, "fp").select(key, "fp", "component_id")
 
 
-# Near-copies of a given Jaccard similarity, by wide fingerprints and many bit orders.
-WORDS, SIMILARITY = 5, 0.8
-#: Bits of a wide fingerprint, the radius that holds nearly all pairs of similarity 0.8 (19 bits expected, deviation 4),
-#: bits in front of an order, and the number of orders. With d differing bits an order's front agrees with probability
-#: C(128 - d, FRONT) / C(128, FRONT); over all orders and simulated d that finds 99.3 of 100 pairs of similarity 0.8 and 99.8
-#: from 0.85 on. A longer front needs more orders: 16 bits reach the same with 192.
-WIDE, WIDE_RADIUS, FRONT, ORDERS = 128, 30, 14, 96
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each group of rows whose fingerprints hang together over links of ``radius`` bits.
 
-
-def shingle_hashes(data: bytes | None, words: int = WORDS) -> list[bytes]:
-    """Distinct 128-bit hashes of the word shingles; a shorter text is one shingle, a wordless one has none."""
-    w = data.lower().split() if data else []
-    if not w:
-        return []
-    h = xxhash.xxh3_128_digest
-    if len(w) < words:
-        return [h(b" ".join(w))]
-    return list({h(b" ".join(s)) for s in zip(*(w[i:] for i in range(words)))})
-
-
-def wide_fingerprint(hashes: list[bytes]) -> bytes:
-    """16 bytes: bitwise majority of distinct shingle hashes."""
-    votes = np.zeros(WIDE, np.int64)
-    for at in range(0, len(hashes), 65536):
-        part = np.frombuffer(b"".join(hashes[at : at + 65536]), np.uint8).reshape(-1, WIDE // 8)
-        votes += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * votes > len(hashes), bitorder="little").tobytes()
-
-
-def _wide_rows(rows: DataFrame) -> DataFrame:
-    """(key, same, fp): a hash of the text's words, equal for copies, and its wide fingerprint; null without words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            same, fps = [], []
-            for data in batch.column(1):
-                text = data.as_py()
-                hashes = shingle_hashes(text)
-                same.append(xxhash.xxh3_128_digest(b" ".join(text.lower().split())) if hashes else None)
-                fps.append(wide_fingerprint(hashes) if hashes else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), pa.array(fps, pa.binary())], names=["key", "same", "fp"])
-
-    return rows.mapInArrow(run, "key long, same binary, fp binary")
-
-
-def wide_orders(bits: np.ndarray) -> Iterator[np.ndarray]:
-    """Each code's bits (one line of WIDE bits per code) with other bits in front, as two 64-bit words."""
-    rng = np.random.Generator(np.random.PCG64(SEED))
-    for _ in range(ORDERS):
-        moved = np.packbits(bits[:, rng.permutation(WIDE)], axis=1)
-        yield np.ascontiguousarray(moved).view(">u8").astype(np.uint64)
-
-
-def _candidates(reps: DataFrame) -> DataFrame:
-    """(a, b): a forest over (rep, fp) within the wide radius, among codes that share the front of a bit order."""
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, WIDE // 8)
-            for p, code in enumerate(wide_orders(np.unpackbits(fp, axis=1, bitorder="little"))):
-                rank = gray_rank(code[:, 0])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array((p << FRONT) + (rank >> np.uint64(64 - FRONT)).astype(np.int64)), pa.array(rank.view(np.int64)),
-                        pa.array(np.ascontiguousarray(code[:, 1]).view(np.int64)), batch.column(0),
-                    ],
-                    names=["front", "rank", "low", "rep"],
-                )
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def key(table: pa.Table) -> np.ndarray:
-            front, t = table.column("front").to_numpy(), table.column("tile").to_numpy()
-            return np.cumsum(np.r_[False, (front[1:] != front[:-1]) | (t[1:] != t[:-1])])
-
-        for table in whole_runs(batches, key):
-            group = key(table)
-            many = np.repeat(np.bincount(group) > 1, np.bincount(group))
-            if not many.any():
-                continue
-            words = [table.column(c).to_numpy().view(np.uint64)[many] for c in ("rank", "low")]
-            label = forest(np.stack([gray_code(words[0]), words[1]], axis=1), group[many], WIDE_RADIUS)
-            rep = table.column("rep").to_numpy()[many]
-            linked = label != np.arange(label.size)
-            yield pa.RecordBatch.from_arrays([pa.array(rep[linked]), pa.array(rep[label[linked]])], names=["a", "b"])
-
-    spelled = reps.select("rep", "fp").mapInArrow(spell, "front long, rank long, low long, rep long")
-    tiled = tiles(spelled, ["front"], "rep", TILE)
-    return (
-        tiled.repartition("front", "tile").sortWithinPartitions("front", "tile", "rank").mapInArrow(search, "a long, b long").distinct()
-    )
-
-
-def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """(key, component_id) of every document that shares a group with another.
-
-    Texts are equal if their lower-cased words are. Others are linked if the exact Jaccard similarity of their
-    five-word shingles is at least ``similarity``; wide fingerprints and the Gray-ordered index name the candidates.
-    Null, empty and wordless texts are in no group. Keys must be unique; null keys are passed over.
+    The row with the smallest key stays, null keys last; of rows with equal keys any one. Rows are told apart by a number
+    of their own, so repeated and null keys are no hindrance. Texts without words have fingerprint zero and
+    are one group. All columns are kept, whatever their names; an empty table stays empty.
     """
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").cast("binary").alias("data"))
-    fps = cut(_wide_rows(rows).where("same is not null"), "fps")
-    copies = fps.groupBy("same").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n"))
-    reps = cut(fps.join(copies, (fps.key == copies.rep) & (fps.same == copies.same)).select("rep", "fp"), "reps")
-    near = cut(components(_candidates(reps)), "near")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, data in enumerate(batch.column(2)):
-                found = np.frombuffer(b"".join(shingle_hashes(data.as_py())), np.int64)[::2]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i : i + 1], batch.column(1)[i : i + 1], pa.array([np.sort(found)], pa.list_(pa.int64()))],
-                    names=["value", "cls", "shingles"],
-                )
-
-    texts = rows.join(near, rows.key == near.node).select(F.col("component").alias("value"), F.col("key").alias("cls"), "data")
-    shingled = cut(texts.mapInArrow(sets, "value long, cls long, shingles array<long>"), "shingles")
-    linked = components(jaccard_forest(shingled, similarity))
-    named = copies.join(linked, copies.rep == linked.node, "left").where("n > 1 or component is not null").select(
-        "same", F.coalesce("component", "rep").alias("component_id")
-    )
-    return fps.join(named, "same").select(F.col("key").alias(key), "component_id")
-
-
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` without the members of near-copy groups, but for the one with the smallest key. Null keys stay."""
-    found = similar_groups(docs, key, text, similarity)
-    others = cut(found.where(F.col(key) != F.col("component_id")).select(key), "copies")
-    return docs.join(others, key, "left_anti").select(*docs.columns)
+    numbered = cut(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*docs.columns).alias("row")), "numbered")
+    found = groups(numbered.select("uid", F.col("row")[text].alias("text")), "uid", "text", words, radius)
+    keys = numbered.select("uid", F.col("row")[key].alias("key"))
+    order = F.struct(F.col("key").isNull().alias("missing"), "key", "uid")
+    first = found.join(keys, "uid").groupBy("component_id").agg(F.min(order)["uid"].alias("first"))
+    others = found.join(first, "component_id").where("uid <> first").select("uid")
+    return numbered.join(others, "uid", "left_anti").select("row.*")

@@ -6,7 +6,7 @@ the documents' order, blocks count from 0 in each part. A frame is
     4 bytes  "LTK1"
     5 x uint32  tokens in the block, payload bytes, documents that start in the block,
                 CRC-32 of the block's ids (little-endian uint32), CRC-32 of everything behind the header
-    per document  int64 id, int64 tokens (with the end id)
+    per document  int64 id, int64 tokens (with the end id; negative for a null id, which is stored as 0)
     payload  (see ``token_codec``)
 
 so each block can be checked and decoded alone, whatever container it lies in. Spark's own writer commits
@@ -15,6 +15,7 @@ the files, which makes a retried task harmless.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from labelloom.llm import token_codec
+from labelloom.llm.common import give_back, tidied
 from labelloom.scratch import new_path
 
 MAGIC = b"LTK1"
@@ -38,6 +40,8 @@ _HEAD_BYTES = struct.calcsize(_HEAD)
 LANES = 512
 #: Distinct pieces that a worker remembers with their ids; later ones are encoded whenever they come.
 WORDS = 150_000
+#: Pieces that the library encodes at once.
+PIECES = 8192
 
 
 class _Numbers(dict):
@@ -56,13 +60,16 @@ class WordTokenizer:
 
     The library cuts a text into words before it merges bytes, and a space belongs to the word behind it. So a
     text may be cut in front of each space, except inside runs of white space; such texts are cut by the
-    library's own pattern. The ids of a text are those of its pieces in a row. Strings of special tokens are
-    ordinary text.
+    library's own pattern. The ids of a text are those of its pieces in a row. A text that holds the string of a
+    special token is given to the library as a whole.
     """
 
     def __init__(self, path: str) -> None:
         self._library = Tokenizer.from_file(path)
-        self._library.encode_special_tokens = True
+        if self._library.get_vocab_size(with_added_tokens=True) > 1 << 16:
+            raise ValueError("ids are kept in 16 bits: the vocabulary may have 65,536 tokens at most")
+        special = [t.content for t in self._library.get_added_tokens_decoder().values()]
+        self._special = regex.compile("|".join(map(regex.escape, special))).search if special else lambda _: None
         self._pattern = regex.compile(public_tokenizers.PATTERN).findall
         self._runs = regex.compile(r"\s \s| $|  ").search
         self._number = _Numbers()
@@ -73,6 +80,8 @@ class WordTokenizer:
         """Keys of the pieces; a key stands for itself behind a space, or behind a NUL for what follows the NUL."""
         if not text:
             return []
+        if self._special(text):
+            return ["\0" + text]
         if self._runs(text):
             return ["\0" + piece for piece in self._pattern(text)]
         pieces = text.split(" ")
@@ -93,7 +102,9 @@ class WordTokenizer:
             at.append(np.fromiter(map(number, pieces), np.int32, len(pieces)))
         if new:
             plain = [w[1:] if w[:1] == "\0" else " " + w for w in new]
-            found = [e.ids for e in self._library.encode_batch_fast(plain, add_special_tokens=False)]
+            found = []
+            for k in range(0, len(plain), PIECES):
+                found += [e.ids for e in self._library.encode_batch_fast(plain[k : k + PIECES], add_special_tokens=False)]
             ends = np.cumsum(np.array([len(f) for f in found], np.int64)) + self._ids.size
             self._first = np.r_[self._first, ends]
             self._ids = np.r_[self._ids, np.array([i for f in found for i in f], np.uint16)]
@@ -115,6 +126,8 @@ _tokenizers: dict[str, WordTokenizer] = {}
 def tokenizer(path: str) -> WordTokenizer:
     """The tokenizer of this worker process; tasks that run in it one after another share its pieces."""
     if path not in _tokenizers:
+        # Spark's tasks fill the cores; threads of the library would only hold memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _tokenizers[path] = WordTokenizer(path)
     return _tokenizers[path]
 
@@ -154,8 +167,8 @@ def write_tokens(
 ) -> None:
     """Write the token ids of ``ordered``, whose partitions and rows within them are in output order.
 
-    Each text is followed by ``end_id``; null and empty texts give that id alone. An empty table is written as
-    a folder without rows.
+    Each text is followed by ``end_id``; null and empty texts give that id alone. Keys may repeat and be null. An
+    empty table is written as a folder without rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,13 +176,15 @@ def write_tokens(
         tokenize = tokenizer(vocabulary)
         block_no = 0
         ids, keys, sizes = [np.zeros(0, np.uint16)], [], []  # of documents that start in ids
+        signs = []  # -1 for a null key
         waiting = 0
 
         def blocks(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal ids, keys, sizes, waiting, block_no
+            nonlocal ids, keys, sizes, signs, waiting, block_no
             stream = np.concatenate(ids)
             ids = []
             doc_ids, doc_sizes = np.concatenate([*keys, np.zeros(0, np.int64)]), np.concatenate([*sizes, np.zeros(0, np.int64)])
+            doc_signs = np.concatenate([*signs, np.zeros(0, np.int64)])
             starts = carried + np.cumsum(doc_sizes) - doc_sizes
             whole = stream.size if last else stream.size // token_codec.BLOCK * token_codec.BLOCK
             cut = token_codec.cut_blocks(stream[:whole])
@@ -179,7 +194,7 @@ def write_tokens(
                 frames = []
                 for block, payload in zip(group, token_codec.encode(group), strict=True):
                     here = slice(*np.searchsorted(starts, [at, at + block.size]))
-                    frames.append(_frame(block, payload, doc_ids[here], doc_sizes[here]))
+                    frames.append(_frame(block, payload, doc_ids[here], doc_sizes[here] * doc_signs[here]))
                     at += block.size
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -190,12 +205,13 @@ def write_tokens(
                 )
                 block_no += len(group)
             later = np.searchsorted(starts, whole)
-            ids, keys, sizes = [stream[whole:]], [doc_ids[later:]], [doc_sizes[later:]]
+            ids, keys, sizes, signs = [stream[whole:]], [doc_ids[later:]], [doc_sizes[later:]], [doc_signs[later:]]
             waiting = stream.size - whole
 
         carried = 0  # waiting ids that belong to a document which started in a written block
         for batch in batches:
-            keys.append(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            keys.append(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False))
+            signs.append(np.where(batch.column(0).is_valid().to_numpy(zero_copy_only=False), 1, -1))
             for texts in _slices([t or "" for t in batch.column(1).to_pylist()]):
                 got, n = tokenize(texts)
                 ids.append(np.insert(got, np.cumsum(n), np.uint16(end_id)))
@@ -203,12 +219,13 @@ def write_tokens(
                 waiting += got.size + n.size
             if waiting >= LANES * token_codec.BLOCK:
                 yield from blocks(False)
+                give_back()
                 carried = waiting - int(sum(s.sum() for s in sizes))
         if waiting:
             yield from blocks(True)
 
     rows = ordered.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    rows.mapInArrow(run, "part int, block long, n_tokens long, frame binary").write.parquet(path)
+    rows.mapInArrow(tidied(run), "part int, block long, n_tokens long, frame binary").write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
@@ -224,7 +241,7 @@ def read_tokens(spark: SparkSession, path: str, key: str = "doc_id", with_ids: b
     parts = totals.count()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs: list[tuple[int, int]] = []  # begun, not ended
+        docs: list[tuple[int | None, int]] = []  # begun, not ended
         open_crc = done = 0
         offset, current = 0, None
 
@@ -245,7 +262,7 @@ def read_tokens(spark: SparkSession, path: str, key: str = "doc_id", with_ids: b
                     if docs:
                         raise ValueError("a document has no end")
                     current, offset = part, 0
-                docs += [tuple(d) for d in starting.tolist()]
+                docs += [(doc, size) if size > 0 else (None, -size) for doc, size in starting.tolist()]
                 at = 0
                 while docs and at < ids.size:
                     doc, size = docs[0]
@@ -267,7 +284,7 @@ def read_tokens(spark: SparkSession, path: str, key: str = "doc_id", with_ids: b
 
     rows = (
         frames.select("part", "block", "frame").repartitionByRange(max(1, parts), "part").sortWithinPartitions("part", "block")
-        .mapInArrow(run, "part int, key long, at long, n_tokens long, crc long, ids array<int>")
+        .mapInArrow(tidied(run), "part int, key long, at long, n_tokens long, crc long, ids array<int>")
     )
     return rows.join(starts, "part").select(
         F.col("key").alias(key), (F.col("before") + F.col("at")).alias("start"), "n_tokens", F.col("crc").alias("ids_crc32"),
