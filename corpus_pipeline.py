@@ -29,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near-copies."""
+    """Keep the document with the smallest id of each group: 3-word shingles, links of at most 3 differing bits."""
     bounded_batches(spark)
     return simhash.keep_one(docs)
 
@@ -46,9 +46,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Put the documents into the order of the mixed blocks: of the files by name, and of the rows within a file."""
     bounded_batches(spark)
-    order = pfair_mix.mix(docs).select(F.col("doc_id").alias("_id"), F.col("slot").alias("_slot"), F.col("offset").alias("_offset"))
-    placed = docs.join(order, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return placed.repartitionByRange("_slot").sortWithinPartitions("_slot", "_offset").select(*docs.columns)
+    return pfair_mix.in_mixed_order(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
