@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 from labelloom.functions.vectors import unit
 from labelloom.operators.pairs import pairwise
 from labelloom.operators.represent import simplex_grid
-from labelloom.operators.silhouette import score_totals
+from labelloom.operators.silhouette import add_sums, score_totals
 from labelloom.scratch import cut, settle
 
 
 def weight_silhouettes(df: DataFrame, parts: list[str], steps: int = 5) -> DataFrame:
     """(cand, w0, w1, ..., silhouette) for every weight vector of the simplex grid.
 
-    One pass over block pairs computes a Gram matrix per part; the distance of
+    One pass over pairs of blocks computes a Gram matrix per part; the distance of
     every fused space follows from those, so no fused vector is built.
     """
     grid = simplex_grid(len(parts), steps)
@@ -33,26 +33,34 @@ def weight_silhouettes(df: DataFrame, parts: list[str], steps: int = 5) -> DataF
     )
     cuts = np.cumsum([0, *widths])
 
-    def sums(grp: int, a: dict, b: dict):
-        grams, a_has, b_has = [], [], []
-        for low, high in zip(cuts[:-1], cuts[1:]):
-            x, y = a["v"][:, low:high], b["v"][:, low:high]
-            grams.append(x @ y.T)
-            a_has.append((x != 0).any(1).astype(np.float64))
-            b_has.append((y != 0).any(1).astype(np.float64))
-        found, code = np.unique(b["cluster"], return_inverse=True)
-        marks = np.zeros((len(code), len(found)))
-        marks[np.arange(len(code)), code] = 1.0
-        for cand, weights in enumerate(grid):
-            squares = [w * w for w in weights]
-            na = np.sqrt(sum(s * h for s, h in zip(squares, a_has)))
-            nb = np.sqrt(sum(s * h for s, h in zip(squares, b_has)))
-            inner = sum(s * g for s, g in zip(squares, grams))
-            inner /= np.where(na == 0, 1, na)[:, None] * np.where(nb == 0, 1, nb)[None, :]
-            d2 = (na > 0).astype(float)[:, None] + (nb > 0).astype(float)[None, :] - 2 * inner
-            d2[a["id"][:, None] == b["id"][None, :]] = 0.0
-            total = np.sqrt(np.maximum(d2, 0.0)) @ marks
-            n, m = total.shape
+    def shares(x: np.ndarray) -> list[np.ndarray]:
+        return [(x[:, low:high] != 0).any(1).astype(np.float64) for low, high in zip(cuts[:-1], cuts[1:])]
+
+    def sums(grp: int, a: dict, bs: list[dict]):
+        a_has = shares(a["v"])
+        found = np.unique(np.concatenate([b["cluster"] for b in bs]))
+        n, m = len(a["id"]), len(found)
+        totals = np.zeros((len(grid), n, m))
+        for b in bs:
+            b_has = shares(b["v"])
+            grams = [a["v"][:, low:high] @ b["v"][:, low:high].T for low, high in zip(cuts[:-1], cuts[1:])]
+            code = np.searchsorted(found, b["cluster"])
+            same = a["id"][:, None] == b["id"][None, :] if np.array_equal(a["id"], b["id"]) else None
+            for cand, weights in enumerate(grid):
+                squares = [w * w for w in weights]
+                na = np.sqrt(sum(s * h for s, h in zip(squares, a_has)))
+                nb = np.sqrt(sum(s * h for s, h in zip(squares, b_has)))
+                left, right = 1 / np.where(na == 0, 1, na), 1 / np.where(nb == 0, 1, nb)
+                d2 = sum((s * g for s, g in zip(squares, grams) if s), np.zeros((n, len(code))))
+                d2 *= -2 * left[:, None]
+                d2 *= right[None, :]
+                d2 += (na > 0).astype(float)[:, None]
+                d2 += (nb > 0).astype(float)[None, :]
+                np.maximum(d2, 0.0, out=d2)
+                if same is not None:
+                    d2[same] = 0.0
+                add_sums(totals[cand], np.sqrt(d2, out=d2), code, np.ones(len(code)))
+        for cand in range(len(grid)):
             yield {
                 "grp": np.zeros(n * m, dtype=np.int64),
                 "cand": np.full(n * m, cand, dtype=np.int32),
@@ -60,23 +68,24 @@ def weight_silhouettes(df: DataFrame, parts: list[str], steps: int = 5) -> DataF
                 "weight": np.ones(n * m),
                 "own": np.repeat(a["cluster"], m),
                 "cluster": np.tile(found, n),
-                "total": total.ravel(),
+                "total": totals[cand].ravel(),
             }
 
+    sizes = settle(
+        points.select("grp", "cluster", F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1))).alias("cand"))
+        .groupBy("grp", "cand", "cluster")
+        .agg(F.count(F.lit(1)).cast("double").alias("size")),
+        "fusion_sizes",
+    )
     total = (
         pairwise(
             points, ["cluster"], sums,
             "grp bigint, cand int, id bigint, weight double, own bigint, cluster bigint, total double",
+            out_rows=max(1, sizes.count()),
         )
         .groupBy("grp", "cand", "id", "weight", "own", "cluster")
         .agg(F.sum("total").alias("total"))
     )
-    sizes = settle(
-        points.select("grp", "cluster", F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1))).alias("cand"))
-        .groupBy("grp", "cand", "cluster")
-        .agg(F.count(F.lit(1)).cast("double").alias("size")),
-        "fusion_sizes",
-    )
     means = score_totals(total, sizes).groupBy("cand").agg(
         F.coalesce(F.avg("s"), F.lit(0.0)).alias("silhouette")
     )
