@@ -11,6 +11,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Largest small table that is marked for broadcast.
+SMALL_BYTES = 32 << 20
 
 _local_roots: dict[str, str] = {}
 
@@ -55,15 +59,28 @@ def drop(written: DataFrame) -> None:
 def settle(df: DataFrame, name: str = "small", max_rows: int = 20_000) -> DataFrame:
     """Fix a table that is expected to be small.
 
-    Up to ``max_rows`` rows become a local table, which Spark broadcasts by its
-    known size; anything larger is written with ``cut`` and joined by size.
+    Up to ``max_rows`` rows become a local table. Spark does not know its size, so one of at most
+    ``SMALL_BYTES`` is marked for broadcast: the large side of a join then stays where it is and is not
+    dealt by a key with few, uneven values. Anything larger is written with ``cut`` and joined by size.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
+        local = df.sparkSession.createDataFrame(rows, df.schema)
+        return F.broadcast(local) if sum(map(_size, rows)) <= SMALL_BYTES else local
     return cut(df, name)
 
 
+def _size(value) -> int:
+    """Rough bytes of a collected value."""
+    if isinstance(value, str | bytes):
+        return len(value) + 8
+    if isinstance(value, dict):
+        return sum(_size(x) for pair in value.items() for x in pair)
+    if isinstance(value, list | tuple):
+        return 8 * len(value) + (sum(map(_size, value)) if value and isinstance(value[0], str | list | tuple | dict) or isinstance(value, tuple) else 0)
+    return 8
+
+
 def parallelism(spark: SparkSession) -> int:
     """Task count for compute-heavy stages whose input is small in bytes."""
     return max(
