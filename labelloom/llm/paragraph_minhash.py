@@ -6,7 +6,8 @@
 2. Each paragraph is a set of five-word shingles with a MinHash signature. Bands are tuned to the set's size for
    similarity 0.8: below four shingles only equal sets reach it (one band of the whole signature), up to ten there
    are two bands of one value, from eight on four bands of two. At 0.8 these find 96 and 98 of 100 pairs.
-3. Band values that occur in one document only are dropped after a pre-aggregated count.
+3. Band values that occur in one document only are dropped: each batch of texts sends its distinct values once, in
+   compact slices per bucket of values, and gets back a bit for each.
 4. Paragraphs that share a band value are joined; their exact Jaccard similarity decides. A group gives back a
    forest, and connected components are the clusters. Equal paragraphs are one class throughout.
 5. In each cluster the first document keeps its occurrences, all others are removals.
@@ -21,17 +22,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import cut, word_bytes
+from labelloom.llm.common import cut, tidied, word_table
 from labelloom.operators.graph import components
 from labelloom.llm.verify import TILE, jaccard_forest
+from labelloom.scratch import drop, parallelism
 
 REACH = 4
 SHINGLE = 5
@@ -41,10 +45,16 @@ VALUES = 8
 GRAM = 8
 #: Most words of an edit on either side that an extension steps over; ``SHINGLE`` equal words must follow.
 GAP = 8
+#: Bytes of text that are worked on at once, and that a bucket of hashes comes from on average.
+BATCH = 4 << 20
+BUCKET = 16 << 20
+#: Grams in more batches are met by a join instead of inside a bucket.
+HOT = 256
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.array([0x9E3779B97F4A7C15 + 0x51ED270B35AD4E12 * i | 1 for i in range(VALUES)], dtype=object)
 _ODD = np.array([int(x) & 0xFFFFFFFFFFFFFFFF for x in _ODD], np.uint64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+_XXH = tuple(np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -53,12 +63,50 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word)
-        if len(self) < 1_000_000:
-            self[word] = h
-        return h
+def _turn(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def xxh64(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """XXH64 (seed 0) of many stretches of a byte buffer that goes on for eight bytes behind the last; one length at a time."""
+    p1, p2, p3, p4, p5 = _XXH
+    eight, four = (np.ndarray(data.size - n + 1, f"<u{n}", data, strides=(1,)) for n in (8, 4))
+    out = np.empty(start.size, np.uint64)
+    length = np.minimum(size, 32).astype(np.uint8)
+    order = np.argsort(length, kind="stable")
+    ends = np.cumsum(np.bincount(length, minlength=33))
+    for n in range(32):
+        who = order[ends[n - 1] if n else 0 : ends[n]]
+        if not who.size:
+            continue
+        at, k = start[who], 0
+        h = np.full(who.size, p5 + np.uint64(n))
+        while k + 8 <= n:
+            h = _turn(h ^ _turn(eight[at + k] * p2, 31) * p1, 27) * p1 + p4
+            k += 8
+        if k + 4 <= n:
+            h = _turn(h ^ four[at + k].astype(np.uint64) * p1, 23) * p2 + p3
+            k += 4
+        while k < n:
+            h = _turn(h ^ data[at + k].astype(np.uint64) * p5, 11) * p1
+            k += 1
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        out[who] = h ^ (h >> np.uint64(32))
+    for i in order[ends[31] :].tolist():
+        out[i] = xxhash.xxh64_intdigest(data[start[i] : start[i] + size[i]].tobytes())
+    return out
+
+
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words (see ``common.word_bytes``) of all texts in a row, and how many each text has."""
+    whole = b" ".join([b"", *[t or b"" for t in texts], b" " * 8]).translate(word_table())
+    data = np.frombuffer(whole, np.uint8)
+    inside = data != 32
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, end = edges[::2], edges[1::2]
+    behind = np.cumsum([1, *[len(t or b"") + 1 for t in texts]])
+    return xxh64(data, start, end - start), np.diff(np.searchsorted(start, behind))
 
 
 def _expand(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -68,12 +116,8 @@ def _expand(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class Paragraphs:
     """The paragraphs of several texts: ``doc``, ``start`` and ``words`` per paragraph, its class and shingles."""
 
-    def __init__(self, texts: list[bytes | None], hashes: dict | None = None, reach: int = REACH) -> None:
-        number = (_Hashes() if hashes is None else hashes).__getitem__
-        rows = [word_bytes(t or b"") for t in texts]
-        sizes = np.array([len(r) for r in rows], np.int64)
-        h = np.fromiter((x for r in rows for x in map(number, r)), np.uint64, int(sizes.sum()))
-        del rows
+    def __init__(self, texts: list[bytes | None], reach: int = REACH) -> None:
+        h, sizes = word_hashes(texts)
         doc = np.repeat(np.arange(sizes.size), sizes)
         begin = np.cumsum(sizes) - sizes
         place = np.arange(h.size) - begin[doc]
@@ -125,52 +169,184 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _band_rows(rows: DataFrame) -> DataFrame:
-    """(value, cls, doc, at): at is start * 2^32 + words."""
+def _batches(rows: DataFrame, most: int = BATCH) -> DataFrame:
+    """(batch, size, keys, ends, data): about ``most`` bytes of text, compressed, with the keys and ends of its texts.
+
+    Written once. Later passes meet a batch by its number, so texts are not dealt by key again.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, bytes]] = []
+        n, number = 0, TaskContext.get().partitionId() << 32
+
+        def packed() -> pa.RecordBatch:
+            whole = b"".join(t for _, t in held)
+            columns = [
+                [number], [n], [np.array([k for k, _ in held], np.int64).tobytes()], [np.cumsum([len(t) for _, t in held]).astype(np.int64).tobytes()],
+                [pa.compress(whole, "zstd", asbytes=True)],
+            ]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["batch", "size", "keys", "ends", "data"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for batch in batches:
-            docs, held, n = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), [], 0
-            done = 0
-            for i, data in enumerate(batch.column(1)):
-                held.append(data.as_py())
-                n += len(held[-1] or b"")
-                if n < 2 << 20 and i + 1 < batch.num_rows:
-                    continue
-                found = Paragraphs(held, hashes)
-                ids = docs[done : i + 1][found.doc]
-                at = (found.start << 32) + found.words
-                for who, value in found.bands():
-                    yield pa.RecordBatch.from_arrays(
-                        [_signed(value), _signed(found.cls[who]), pa.array(ids[who]), pa.array(at[who])], names=["value", "cls", "doc", "at"]
-                    )
-                held, n, done = [], 0, i + 1
-
-    return rows.mapInArrow(run, "value long, cls long, doc long, at long")
-
-
-def _shingle_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, shingles): the distinct shingles of each wanted class (cls, doc, at), taken from its text."""
+            for key, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held.append((key, data.as_py() or b""))
+                n += len(held[-1][1])
+                if n >= most:
+                    yield packed()
+                    held, n, number = [], 0, number + 1
+        if held:
+            yield packed()
+
+    return cut(rows.mapInArrow(tidied(pack), "batch long, size long, keys binary, ends binary, data binary"), "texts")
+
+
+def _texts(row: dict) -> tuple[np.ndarray, list[bytes]]:
+    """Keys and texts of a row of ``_batches``."""
+    ends = np.frombuffer(row["ends"], np.int64).tolist()
+    whole = pa.decompress(row["data"], row["size"], "zstd", asbytes=True)
+    return np.frombuffer(row["keys"], np.int64), [whole[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _buckets(batches: DataFrame) -> int:
+    return max(parallelism(batches.sparkSession), math.ceil((batches.agg(F.sum("size")).first()[0] or 0) / BUCKET))
+
+
+def _bucket(values: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each hash; it does not fall as hashes rise."""
+    return ((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+
+
+def _offsets(x: np.ndarray) -> tuple[int, int, bytes]:
+    """(least, bytes a number, numbers above the least) in as few bytes as hold them."""
+    least = int(x.min())
+    above = (x - least).astype(np.min_scalar_type(int(x.max()) - least))
+    return least, above.itemsize, above.tobytes()
+
+
+def _numbers(least: int, width: int, data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{width}").astype(np.int64) + least
+
+
+def _marks(batches: DataFrame, values_of: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], buckets: int, kind: str, hot: int = HOT) -> DataFrame:
+    """(batch, marks): which distinct values of each batch, in ascending order, stand in documents of two keys.
+
+    ``values_of`` gives (text number, value) of a batch's texts. Tasks send each distinct value of a batch once, as
+    sorted slices of a bucket of values, with one key and whether there are others; the answer is a bit a value.
+    Values of which ``kind`` keeps fewer bytes may be marked without need. A mark is (bucket, n, shared, hot), hot
+    for values in more than ``hot`` batches.
+    """
+
+    def slices(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(incoming):
+            keys, texts = _texts(row)
+            at, values = values_of(texts)
+            if not values.size:
+                continue
+            order = np.argsort(values)
+            values, keys = values[order], keys[at[order]]
+            first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+            low, high = np.minimum.reduceat(keys, first), np.maximum.reduceat(keys, first)
+            values = values[first]
+            bucket = _bucket(values, buckets)
+            begin = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            out = []
+            for a, b in zip(begin.tolist(), [*begin[1:].tolist(), values.size], strict=True):
+                out.append((int(bucket[a]), row["batch"], b - a, values[a:b].astype(kind).tobytes(), *_offsets(low[a:b]), np.packbits(low[a:b] != high[a:b]).tobytes()))
+            names = ["bucket", "batch", "n", "value", "least", "width", "key", "several"]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=names)
+
+    def shared(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        value = np.concatenate([np.frombuffer(r["value"], kind) for r in rows])
+        key = np.concatenate([_numbers(r["least"], r["width"], r["key"]) for r in rows])
+        several = np.concatenate([np.unpackbits(np.frombuffer(r["several"], np.uint8), count=r["n"]) for r in rows])
+        order = np.argsort(value)
+        first = np.flatnonzero(np.r_[True, value[order][1:] != value[order][:-1]])
+        count = np.diff(np.r_[first, value.size])
+        found = (np.minimum.reduceat(key[order], first) != np.maximum.reduceat(key[order], first)) | np.maximum.reduceat(several[order], first).astype(bool)
+        mark, many = np.empty(value.size, bool), np.empty(value.size, bool)
+        mark[order], many[order] = np.repeat(found, count), np.repeat(count > hot, count)
+        ends = np.cumsum([r["n"] for r in rows])
+        out = [
+            (r["batch"], r["bucket"], r["n"], np.packbits(mark[e - r["n"] : e]).tobytes(), np.packbits(many[e - r["n"] : e]).tobytes() if many[e - r["n"] : e].any() else None)
+            for r, e in zip(rows, ends.tolist(), strict=True)
+        ]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["batch", "bucket", "n", "shared", "hot"])
+
+    sent = batches.mapInArrow(tidied(slices), "bucket long, batch long, n long, value binary, least long, width long, key binary, several binary")
+    marks = sent.groupBy("bucket").applyInArrow(shared, "batch long, bucket long, n long, shared binary, hot binary")
+    return cut(marks.groupBy("batch").agg(F.collect_list(F.struct("bucket", "n", "shared", "hot")).alias("marks")), "marks")
+
+
+def _marked(row: dict, values: np.ndarray, of: str = "shared") -> np.ndarray:
+    """Of each value of a batch whether it is marked."""
+    distinct, at = np.unique(values, return_inverse=True)
+    bits = [
+        np.unpackbits(np.frombuffer(m[of], np.uint8), count=m["n"]) if m[of] is not None else np.zeros(m["n"], np.uint8)
+        for m in sorted(row["marks"], key=lambda m: m["bucket"])
+    ]
+    return np.concatenate([*bits, np.zeros(0, np.uint8)]).astype(bool)[at] if distinct.size else np.zeros(0, bool)
+
+
+def _bands(found: Paragraphs) -> tuple[np.ndarray, np.ndarray]:
+    """(paragraph, band value) of all bands."""
+    bands = [(np.zeros(0, np.int64), np.zeros(0, np.uint64)), *found.bands()]
+    return np.concatenate([who for who, _ in bands]), np.concatenate([value for _, value in bands])
+
+
+def _band_values(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    found = Paragraphs(texts)
+    who, value = _bands(found)
+    return found.doc[who], value
+
+
+def _band_rows(marked: DataFrame) -> DataFrame:
+    """(value, cls, doc, at, batch, lead): the marked bands; at is start * 2^32 + words, lead is the first band of each paragraph."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            for data, ask in zip(batch.column(0), batch.column(1), strict=True):
-                found = Paragraphs([data.as_py()], hashes)
-                begin = np.cumsum(found.sizes) - found.sizes
-                where = {s: k for k, s in enumerate(found.start.tolist())}
-                sets, names = [], []
-                for a in ask.as_py():
-                    k = where.get(a["at"] >> 32)
-                    if k is not None and found.cls[k : k + 1].view(np.int64)[0] == a["cls"]:
-                        names.append(a["cls"])
-                        sets.append(np.unique(found.shingles[begin[k] : begin[k] + found.sizes[k]]).view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["cls", "shingles"])
-
-    asked = wanted.groupBy("doc").agg(F.collect_list(F.struct("cls", "at")).alias("ask"))
-    found = rows.join(asked, rows.key == asked.doc).select("data", "ask").mapInArrow(run, "cls long, shingles array<long>")
-    return found.dropDuplicates(["cls"])
+        for row in _rows(batches):
+            keys, texts = _texts(row)
+            found = Paragraphs(texts)
+            who, value = _bands(found)
+            held = _marked(row, value)
+            who, value = who[held], value[held]
+            order = np.argsort(who, kind="stable")
+            who, value = who[order], value[order]
+            lead = np.r_[True, who[1:] != who[:-1]][: who.size]
+            at = (found.start[who] << 32) + found.words[who]
+            columns = [_signed(value), _signed(found.cls[who]), pa.array(keys[found.doc[who]]), pa.array(at), pa.array(np.full(who.size, row["batch"])), pa.array(lead)]
+            yield pa.RecordBatch.from_arrays(columns, names=["value", "cls", "doc", "at", "batch", "lead"])
+
+    return marked.mapInArrow(tidied(run), "value long, cls long, doc long, at long, batch long, lead boolean")
+
+
+def _shingle_sets(batches: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, shingles): the distinct shingles of each wanted class (cls, batch), taken from a text of its batch."""
+
+    def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(incoming):
+            found = Paragraphs(_texts(row)[1])
+            begin = np.cumsum(found.sizes) - found.sizes
+            asked = np.sort(np.array(row["asked"], np.int64))
+            cls, first = np.unique(found.cls.view(np.int64), return_index=True)
+            first = first[np.isin(cls, asked, assume_unique=True)]
+            sets = [np.unique(found.shingles[begin[k] : begin[k] + found.sizes[k]]).view(np.int64) for k in first.tolist()]
+            yield pa.RecordBatch.from_arrays([_signed(found.cls[first]), pa.array(sets, pa.list_(pa.int64()))], names=["cls", "shingles"])
+
+    asked = wanted.groupBy("batch").agg(F.collect_list("cls").alias("asked"))
+    return batches.join(asked, "batch").mapInArrow(tidied(run), "cls long, shingles array<long>")
+
+
+def _texts_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").cast("binary").alias("data"))
 
 
 def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, tile: int = TILE) -> DataFrame:
@@ -179,30 +355,33 @@ def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
     Null keys are passed over; null, empty and wordless texts have no paragraphs. Documents with equal keys count
     as one document. Other columns are not read.
     """
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").cast("binary").alias("data"))
-    bands = _band_rows(rows)
-    shared = bands.groupBy("value").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high").select("value")
-    held = cut(bands.join(shared, "value", "left_semi"), "bands")
+    return _occurrences(_batches(_texts_of(docs, key, text)), similarity, tile)
+
+
+def _occurrences(batches: DataFrame, similarity: float, tile: int) -> DataFrame:
+    marks = _marks(batches, _band_values, _buckets(batches), "u8")
+    held = cut(_band_rows(batches.join(marks, "batch")), "bands")
+    drop(marks)
     several = held.groupBy("value").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("value")
-    pairs = cut(held.join(several, "value", "left_semi").select("value", "cls").distinct(), "candidates")
-    standing = held.groupBy("cls").agg(F.min(F.struct("doc", "at")).alias("at"))
-    wanted = standing.join(pairs.select("cls").distinct(), "cls", "left_semi").select("cls", "at.doc", "at.at")
-    sets = cut(_shingle_sets(rows, wanted), "shingles")
-    linked = components(jaccard_forest(cut(pairs.join(sets, "cls"), "sets"), similarity, tile))
-    one = held.select("cls", "doc", "at").distinct().join(linked, held.cls == linked.node, "left").select(
+    pairs = cut(held.select("value", "cls").join(several, "value", "left_semi").distinct(), "candidates")
+    standing = held.where("lead").groupBy("cls").agg(F.min("batch").alias("batch"))
+    sets = cut(_shingle_sets(batches, standing.join(pairs.select("cls").distinct(), "cls", "left_semi")), "shingles")
+    met = cut(pairs.join(sets, "cls"), "sets")
+    drop(sets)
+    drop(pairs)
+    linked = components(jaccard_forest(met, similarity, tile))
+    drop(met)
+    one = held.where("lead").select("cls", "doc", "at").distinct().join(linked, held.cls == linked.node, "left").select(
         "doc", "at", F.coalesce("component", "cls").alias("cluster")
     )
     named = cut(one, "occurrences")
+    drop(held)
     clusters = named.groupBy("cluster").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last")).where("first_doc <> last")
     return named.join(clusters.drop("last"), "cluster").select(
         "doc", F.shiftright("at", 32).alias("start"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).alias("words"), "cluster", "first_doc",
     )
 
 
-def _word_hashes(data: bytes | None, hashes: dict) -> np.ndarray:
-    return np.array([hashes[w] for w in word_bytes(data or b"")], np.uint64)
-
-
 def _stretches(h: np.ndarray, n: int) -> np.ndarray:
     """A hash of each stretch of n words."""
     out, power = np.zeros(max(h.size - n + 1, 0), np.uint64), np.cumprod(np.full(n, _ODD[1]))
@@ -214,35 +393,103 @@ def _stretches(h: np.ndarray, n: int) -> np.ndarray:
 
 def _least_grams(h: np.ndarray, size: int) -> np.ndarray:
     """For each window of ``size`` words its least gram."""
-    grams = _stretches(h, min(GRAM, size))
-    over = size - min(GRAM, size) + 1
-    return np.lib.stride_tricks.sliding_window_view(grams, over).min(axis=1) if grams.size >= over else grams[:0]
+    least, over, reach = _stretches(h, min(GRAM, size)), size - min(GRAM, size) + 1, 1
+    if least.size < over:
+        return least[:0]
+    while reach < over:
+        step = min(reach, over - reach)
+        least, reach = np.minimum(least[:-step], least[step:]), reach + step
+    return least
 
 
-def _windows(rows: DataFrame, size: int) -> DataFrame:
-    """(value, doc, at): the windows of ``size`` words whose least gram stands in at least two documents."""
+def _windows(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, place in the text, least gram, hash) of every window of ``size`` words."""
+    h, sizes = word_hashes(texts)
+    n = np.maximum(sizes - size + 1, 0)
+    at, begin = _expand(np.cumsum(sizes) - sizes, n), np.repeat(np.cumsum(sizes) - sizes, n)
+    return np.repeat(np.arange(sizes.size), n), at - begin, _least_grams(h, size)[at], _stretches(h, size)[at]
 
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            found = [np.unique(_least_grams(_word_hashes(data.as_py(), hashes), size)) for data in batch.column(1)]
-            docs = np.repeat(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), [f.size for f in found])
-            yield pa.RecordBatch.from_arrays([_signed(np.concatenate([*found, np.zeros(0, np.uint64)])), pa.array(docs)], names=["gram", "doc"])
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            for i in range(batch.num_rows):
-                h = _word_hashes(batch.column(1)[i].as_py(), hashes)
-                asked = batch.column(2)[i].values.to_numpy().view(np.uint64)
-                at = np.flatnonzero(np.isin(_least_grams(h, size), asked))
-                doc = np.full(at.size, batch.column(0)[i].as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays([_signed(_stretches(h, size)[at]), pa.array(doc), pa.array(at)], names=["value", "doc", "at"])
+def _gram_values(size: int) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+    def values(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        text, _, gram, _ = _windows(texts, size)
+        new = np.r_[True, (text[1:] != text[:-1]) | (gram[1:] != gram[:-1])][: gram.size]
+        return text[new], gram[new]
 
-    held = rows.mapInArrow(grams, "gram long, doc long")
-    shared = held.groupBy("gram").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high").select("gram")
-    asked = cut(held.join(shared, "gram", "left_semi").groupBy("doc").agg(F.collect_set("gram").alias("grams")), "grams")
-    return rows.join(asked, rows.key == asked.doc).select("key", "data", "grams").mapInArrow(windows, "value long, doc long, at long")
+    return values
+
+
+def _meetings(batches: DataFrame, size: int, hot: int = HOT) -> DataFrame:
+    """(doc, other, off, stretch, low, high): windows of ``size`` words of a document that stand in an earlier one too.
+
+    ``other`` is the first document that has the window, ``off`` the way from its place to the one there; low and high are the
+    first and last such window of a stretch of ``size`` places. Only windows whose least gram stands in two documents are
+    sent, in buckets of grams; those of a gram that stands in very many batches as rows that Spark joins.
+    """
+    buckets = _buckets(batches)
+    marks = _marks(batches, _gram_values(size), buckets, "u4", hot)
+    marked = batches.join(marks, "batch")
+
+    def slices(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(incoming):
+            keys, texts = _texts(row)
+            text, at, gram, value = _windows(texts, size)
+            held = np.flatnonzero(_marked(row, gram) & ~_marked(row, gram, "hot"))
+            if not held.size:
+                continue
+            bucket = _bucket(gram[held], buckets)
+            order = np.argsort(bucket, kind="stable")
+            held, bucket = held[order], bucket[order]
+            begin = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            out = []
+            for a, b in zip(begin.tolist(), [*begin[1:].tolist(), held.size], strict=True):
+                who = held[a:b]
+                out.append((int(bucket[a]), value[who].tobytes(), *_offsets(keys[text[who]]), *_offsets(at[who])))
+            names = ["bucket", "value", "least", "width", "key", "least_at", "width_at", "at"]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=names)
+
+    def meet(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        value = np.concatenate([np.frombuffer(r["value"], np.uint64) for r in rows])
+        doc = np.concatenate([_numbers(r["least"], r["width"], r["key"]) for r in rows])
+        at = np.concatenate([_numbers(r["least_at"], r["width_at"], r["at"]) for r in rows])
+        del rows, table
+        order = np.argsort(value)
+        value, doc, at = value[order], doc[order], at[order]
+        first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
+        count = np.diff(np.r_[first, value.size])
+        other = np.repeat(np.minimum.reduceat(doc, first), count)
+        place = np.repeat(np.minimum.reduceat(np.where(doc == other, at, np.iinfo(np.int64).max), first), count)
+        later = doc != other
+        doc, other, at, off = doc[later], other[later], at[later], (place - at)[later]
+        order = np.lexsort((at, doc))
+        doc, other, at, off = doc[order], other[order], at[order], off[order]
+        stretch = at // size
+        new = np.ones(doc.size, bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (other[1:] != other[:-1]) | (off[1:] != off[:-1]) | (stretch[1:] != stretch[:-1])
+        begin = np.flatnonzero(new)
+        end = np.r_[begin[1:], doc.size][: begin.size] - 1
+        return pa.table([doc[begin], other[begin], off[begin], stretch[begin], at[begin], at[end]], names=["doc", "other", "off", "stretch", "low", "high"])
+
+    sent = marked.mapInArrow(tidied(slices), "bucket long, value binary, least long, width long, key binary, least_at long, width_at long, at binary")
+    found = sent.groupBy("bucket").applyInArrow(meet, "doc long, other long, off long, stretch long, low long, high long")
+    if not marks.where(F.exists("marks", lambda m: m["hot"].isNotNull())).isEmpty():
+
+        def rest(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row in _rows(incoming):
+                keys, texts = _texts(row)
+                text, at, gram, value = _windows(texts, size)
+                held = np.flatnonzero(_marked(row, gram) & _marked(row, gram, "hot"))
+                yield pa.RecordBatch.from_arrays([_signed(value[held]), pa.array(keys[text[held]]), pa.array(at[held])], names=["value", "doc", "at"])
+
+        often = cut(marked.mapInArrow(tidied(rest), "value long, doc long, at long"), "windows")
+        first = often.groupBy("value").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last")).where("first.doc <> last")
+        found = found.unionByName(often.join(first.drop("last"), "value").where("doc <> first.doc").select(
+            "doc", F.col("first.doc").alias("other"), (F.col("first.at") - F.col("at")).alias("off"), F.floor(F.col("at") / size).alias("stretch"),
+            F.col("at").alias("low"), F.col("at").alias("high"),
+        ))
+    # An edit breaks ``size`` windows in a row, so that many hold at most two runs of one offset: their ends name both.
+    return found.groupBy("doc", "other", "off", "stretch").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def _ends(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -313,26 +560,26 @@ def extended(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], size: i
 
 def passages(rows: DataFrame, similarity: float = SIMILARITY, size: int = LEAST_WORDS) -> DataFrame:
     """(doc, start, words, cluster, first_doc): passages of at least ``size`` words that stand in an earlier document too."""
-    windows = _windows(rows, size)
-    first = windows.groupBy("value").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last")).where("first.doc <> last")
-    matched = windows.join(first.drop("last"), "value").where("doc <> first.doc").select(
-        "doc", F.col("first.doc").alias("other"), "at", (F.col("first.at") - F.col("at")).alias("off")
-    )
-    # An edit breaks ``size`` windows in a row, so that many hold at most two runs of one offset: their ends name both.
-    near = matched.groupBy("doc", "other", "off", F.floor(F.col("at") / size).alias("stretch")).agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    return _passages(_batches(rows), rows, similarity, size)
+
+
+def _passages(batches: DataFrame, rows: DataFrame, similarity: float, size: int) -> DataFrame:
+    near = _meetings(batches, size)
     seeds = cut(near.groupBy("doc", "other").agg(F.collect_list(F.struct("low", "high", "off")).alias("seeds")), "seeds")
+    drop(batches)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for batch in batches:
             out: list[tuple[int, int, int, int, int]] = []
-            for doc, other, asked, mine, theirs in zip(*(c for c in batch.columns), strict=True):
-                a, b = (_word_hashes(t.as_py(), hashes) for t in (mine, theirs))
+            words = []
+            for column in ("mine", "theirs"):
+                h, sizes = word_hashes(batch.column(column).to_pylist())
+                words.append(np.split(h, np.cumsum(sizes)[:-1]))
+            for doc, other, asked, a, b in zip(*(batch.column(c) for c in ("doc", "other", "seeds")), *words, strict=True):
                 at = {(s[end], s[end] + s["off"]) for s in asked.as_py() for end in ("low", "high")}
                 at = [(i, j) for i, j in at if i + size <= a.size and j + size <= b.size and np.array_equal(a[i : i + size], b[j : j + size])]
-                names = _stretches(b, size).view(np.int64)
                 for p, q, r, s in extended(a, b, at, size, similarity):
-                    name = int(names[r : s - size + 1].min())
+                    name = int(_stretches(b[r:s], size).view(np.int64).min())
                     out += [(doc.as_py(), p, q - p, name, other.as_py()), (other.as_py(), r, s - r, name, other.as_py())]
             columns = list(zip(*out, strict=True)) if out else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "start", "words", "cluster", "first_doc"])
@@ -380,8 +627,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", sim
     ``n_paragraphs`` counts the paragraphs and passages of a run, ``cluster`` and ``first_doc`` are the least of them.
     ``removed`` is false in the document that is first; a word that is removed for one piece is not kept for another.
     """
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").cast("binary").alias("data"))
-    found = occurrences(docs, key, text, similarity, tile).unionByName(passages(rows, similarity, least_words))
+    rows = _texts_of(docs, key, text)
+    batches = _batches(rows)
+    found = _occurrences(batches, similarity, tile).unionByName(_passages(batches, rows, similarity, least_words))
     pieces = found.groupBy("doc", "start", (F.col("doc") != F.col("first_doc")).alias("removed")).agg(
         F.max("words").alias("words"), F.count(F.lit(1)).alias("pieces"), F.min("cluster").alias("cluster"), F.min("first_doc").alias("first_doc"),
     )
