@@ -50,6 +50,8 @@ BATCH = 4 << 20
 BUCKET = 16 << 20
 #: Grams in more batches are met by a join instead of inside a bucket.
 HOT = 256
+#: Numbers that are hashed at once.
+STRETCH = 1 << 14
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.array([0x9E3779B97F4A7C15 + 0x51ED270B35AD4E12 * i | 1 for i in range(VALUES)], dtype=object)
 _ODD = np.array([int(x) & 0xFFFFFFFFFFFFFFFF for x in _ODD], np.uint64)
@@ -57,10 +59,24 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 _XXH = tuple(np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _STEP
-    x = (x ^ (x >> np.uint64(32))) * _STEP
-    return x ^ (x >> np.uint64(32))
+def _mix(x: np.ndarray, factor: np.uint64 | None = None) -> np.ndarray:
+    """A hash of each number (times ``factor``), in stretches that stay in a core's cache."""
+    out = np.empty(x.size, np.uint64)
+    room = np.empty(min(x.size, STRETCH), np.uint64)
+    for at in range(0, x.size, STRETCH):
+        y = out[at : at + STRETCH]
+        high = room[: y.size]
+        if factor is None:
+            y[:] = x[at : at + STRETCH]
+        else:
+            np.multiply(x[at : at + STRETCH], factor, out=y)
+        for _ in range(2):
+            np.right_shift(y, np.uint64(32), out=high)
+            np.bitwise_xor(y, high, out=y)
+            np.multiply(y, _STEP, out=y)
+        np.right_shift(y, np.uint64(32), out=high)
+        np.bitwise_xor(y, high, out=y)
+    return out
 
 
 def _turn(x: np.ndarray, bits: int) -> np.ndarray:
@@ -146,7 +162,7 @@ class Paragraphs:
         five = np.zeros(h.size, np.uint64)
         for k in range(SHINGLE):
             five[: h.size - k] += h[k:] * _ODD[2 + k]
-        self.shingles = _mix(five[_expand(first, self.sizes)])
+        self.shingles = _mix(five)[_expand(first, self.sizes)]
         short = self.words < SHINGLE
         self.shingles[(np.cumsum(self.sizes) - self.sizes)[short]] = self.cls[short]
 
@@ -155,7 +171,7 @@ class Paragraphs:
         if not self.cls.size:
             return
         at = np.cumsum(self.sizes) - self.sizes
-        signature = [np.minimum.reduceat(_mix(self.shingles * odd), at) for odd in _ODD]
+        signature = [np.minimum.reduceat(_mix(self.shingles, odd), at) for odd in _ODD]
         tiny, some, many = self.sizes < 4, (self.sizes >= 4) & (self.sizes <= 10), self.sizes >= 8
         whole = sum(v[tiny] * odd for v, odd in zip(signature, _ODD, strict=True))
         yield np.flatnonzero(tiny), _mix(whole)
@@ -338,8 +354,13 @@ def _shingle_sets(batches: DataFrame, wanted: DataFrame) -> DataFrame:
             asked = np.sort(np.array(row["asked"], np.int64))
             cls, first = np.unique(found.cls.view(np.int64), return_index=True)
             first = first[np.isin(cls, asked, assume_unique=True)]
-            sets = [np.unique(found.shingles[begin[k] : begin[k] + found.sizes[k]]).view(np.int64) for k in first.tolist()]
-            yield pa.RecordBatch.from_arrays([_signed(found.cls[first]), pa.array(sets, pa.list_(pa.int64()))], names=["cls", "shingles"])
+            owner, shingles = np.repeat(np.arange(first.size), found.sizes[first]), found.shingles[_expand(begin[first], found.sizes[first])]
+            order = np.lexsort((shingles, owner))
+            owner, shingles = owner[order], shingles[order]
+            new = np.r_[True, (owner[1:] != owner[:-1]) | (shingles[1:] != shingles[:-1])][: owner.size]
+            ends = np.searchsorted(owner[new], np.arange(first.size + 1)).astype(np.int32)
+            sets = pa.ListArray.from_arrays(pa.array(ends), _signed(shingles[new]))
+            yield pa.RecordBatch.from_arrays([_signed(found.cls[first]), sets], names=["cls", "shingles"])
 
     asked = wanted.groupBy("batch").agg(F.collect_list("cls").alias("asked"))
     return batches.join(asked, "batch").mapInArrow(tidied(run), "cls long, shingles array<long>")
@@ -385,9 +406,11 @@ def _occurrences(batches: DataFrame, similarity: float, tile: int) -> DataFrame:
 def _stretches(h: np.ndarray, n: int) -> np.ndarray:
     """A hash of each stretch of n words."""
     out, power = np.zeros(max(h.size - n + 1, 0), np.uint64), np.cumprod(np.full(n, _ODD[1]))
-    mixed = _mix(h)
-    for k in range(n if out.size else 0):
-        out += mixed[k : k + out.size] * power[k]
+    mixed, room = _mix(h), np.empty(min(out.size, STRETCH), np.uint64)
+    for at in range(0, out.size, STRETCH):
+        part = out[at : at + STRETCH]
+        for k in range(n):
+            part += np.multiply(mixed[at + k : at + k + part.size], power[k], out=room[: part.size])
     return _mix(out)
 
 
@@ -492,32 +515,35 @@ def _meetings(batches: DataFrame, size: int, hot: int = HOT) -> DataFrame:
     return found.groupBy("doc", "other", "off", "stretch").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
-def _ends(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Ends of the equal runs of a and b from their beginnings on, each behind an edit of at most GAP words."""
+def _ends(a: np.ndarray, b: np.ndarray, fives: np.ndarray, others: np.ndarray) -> list[tuple[int, int]]:
+    """Ends of the equal runs of a and b from their beginnings on, each behind an edit of at most GAP words.
+
+    ``fives`` and ``others`` hold a hash of the SHINGLE words from each place of a and of b on.
+    """
     x = y = 0
     ends = []
     while True:
         n = min(a.size - x, b.size - y)
-        apart = np.flatnonzero(a[x : x + n] != b[y : y + n])
-        run = int(apart[0]) if apart.size else n
+        apart = a[x : x + n] != b[y : y + n]
+        run = int(apart.argmax()) if n else 0
+        run = run if n and apart[run] else n
         x, y = x + run, y + run
         ends.append((x, y))
-        left, right = a[x : x + GAP + SHINGLE].tolist(), b[y : y + GAP + SHINGLE].tolist()
-        steps = [
-            (p + q, p, q) for p in range(len(left) - SHINGLE + 1) for q in range(len(right) - SHINGLE + 1)
-            if left[p] == right[q] and left[p : p + SHINGLE] == right[q : q + SHINGLE]
-        ]
-        if not steps:
+        left, right = fives[x : x + GAP + 1].tolist(), others[y : y + GAP + 1].tolist()
+        both = set(left).intersection(right)
+        if not both:
+            return ends
+        gap, p = min((p + right.index(five), p) for p, five in enumerate(left) if five in both)
+        x, y = x + p, y + gap - p
+        if a[x : x + SHINGLE].tolist() != b[y : y + SHINGLE].tolist():  # only their hashes are equal
             return ends
-        _, p, q = min(steps)
-        x, y = x + p, y + q
 
 
 class _Shared:
-    """Distinct shingles of two growing stretches, and how many they share."""
+    """Distinct shingles of two growing stretches, and how many they share; both begin with the same ones."""
 
-    def __init__(self) -> None:
-        self.mine, self.theirs, self.common = set(), set(), 0
+    def __init__(self, equal: set[int]) -> None:
+        self.mine, self.theirs, self.common = equal.copy(), equal.copy(), len(equal)
 
     def add(self, mine: list[int], theirs: list[int]) -> None:
         for own, other, new in ((self.mine, self.theirs, mine), (self.theirs, self.mine, theirs)):
@@ -529,35 +555,90 @@ class _Shared:
         return self.common >= similarity * (len(self.mine) + len(self.theirs) - self.common) - 1e-9
 
 
-def extended(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], size: int, similarity: float) -> list[tuple[int, int, int, int]]:
-    """(first, end, first in b, end in b) of the passages around seeds (place in a, place in b) of ``size`` equal words."""
+def extended(
+    a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], size: int, similarity: float, shingles: tuple[np.ndarray, np.ndarray] | None = None
+) -> list[tuple[int, int, int, int]]:
+    """(first, end, first in b, end in b) of the passages around seeds (place in a, place in b) of ``size`` equal words.
+
+    Seeds whose words differ are passed over. ``shingles`` are those of a and of b, where they are known.
+    """
     found: list[tuple[int, int, int, int]] = []
-    mine, theirs = (_stretches(x, SHINGLE).tolist() for x in (a, b))
+    mine, theirs = shingles or (_stretches(x, SHINGLE) for x in (a, b))
     less = SHINGLE - 1
     for i, j in sorted(seeds):
         if any(p <= i and i + size <= q and r <= j and j + size <= s for p, q, r, s in found[-8:]):
             continue
+        if a[i : i + size].tolist() != b[j : j + size].tolist():
+            continue
         # The run of the seed itself, then the farthest end on the right and on the left that is still similar.
-        left, right = _ends(a[:i][::-1], b[:j][::-1]), _ends(a[i:], b[j:])
+        left = _ends(a[:i][::-1], b[:j][::-1], mine[: max(i - less, 0)][::-1], theirs[: max(j - less, 0)][::-1])
+        right = _ends(a[i:], b[j:], mine[i:], theirs[j:])
         p, r, q, s = i - left[0][0], j - left[0][1], i + right[0][0], j + right[0][1]
-        shared, x, y = _Shared(), q, s
-        shared.add(mine[p : q - less], theirs[r : s - less])
-        for far, away in right[1:]:
-            shared.add(mine[x - less : i + far - less], theirs[y - less : j + away - less])
-            x, y = i + far, j + away
-            if shared.alike(similarity):
-                q, s = x, y
-        shared, x, y = _Shared(), p, r
-        shared.add(mine[p : q - less], theirs[r : s - less])
-        for far, away in left[1:]:
-            shared.add(mine[i - far : x], theirs[j - away : y])
-            x, y = i - far, j - away
-            if shared.alike(similarity):
-                p, r = x, y
-        found.append((p, q, r, s))
+        equal = set(mine[p : q - less].tolist()) if len(left) > 1 or len(right) > 1 else set()
+        low, high, begin, end = p, q, r, s
+        if len(right) > 1:
+            shared, x, y = _Shared(equal), q, s
+            for far, away in right[1:]:
+                shared.add(mine[x - less : i + far - less].tolist(), theirs[y - less : j + away - less].tolist())
+                x, y = i + far, j + away
+                if shared.alike(similarity):
+                    high, end = x, y
+        if len(left) > 1:
+            # What the right side has added counts here as well.
+            shared, x, y = _Shared(equal), p, r
+            if high > q or end > s:
+                shared.add(mine[q - less : high - less].tolist(), theirs[s - less : end - less].tolist())
+            for far, away in left[1:]:
+                shared.add(mine[i - far : x].tolist(), theirs[j - away : y].tolist())
+                x, y = i - far, j - away
+                if shared.alike(similarity):
+                    low, begin = x, y
+        found.append((low, high, begin, end))
     return found
 
 
+def _verified(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """(doc, start, words, cluster, first_doc) of the passages of (doc, other, seeds, mine, theirs)."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        # A text that stands in several rows is hashed once.
+        number: dict[bytes, int] = {}
+        one, two = ([number.setdefault(t or b"", len(number)) for t in batch.column(c).to_pylist()] for c in ("mine", "theirs"))
+        h, sizes = word_hashes(list(number))
+        begin = np.cumsum(sizes) - sizes
+        fives, windows = _stretches(h, SHINGLE), _stretches(h, size)
+        asked = batch.column("seeds")
+        row = np.repeat(np.arange(batch.num_rows), asked.value_lengths().to_numpy(zero_copy_only=False))
+        low, high, off = (x.to_numpy(zero_copy_only=False) for x in asked.flatten().flatten())
+        row, off, i = np.r_[row, row], np.r_[off, off], np.r_[low, high]
+        j = i + off
+        mine, theirs = np.array(one)[row], np.array(two)[row]
+        inside = (i + size <= sizes[mine]) & (j + size <= sizes[theirs])
+        row, i, j, mine, theirs = row[inside], i[inside], j[inside], mine[inside], theirs[inside]
+        alike = windows[begin[mine] + i] == windows[begin[theirs] + j]
+        row, i, j = row[alike], i[alike], j[alike]
+        order = np.lexsort((j, i, row))
+        row, i, j = row[order], i[order], j[order]
+        new = np.r_[True, (row[1:] != row[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])][: row.size]
+        row, i, j = row[new], i[new], j[new]
+        first = np.searchsorted(row, np.arange(batch.num_rows + 1)).tolist()
+        seeds = list(zip(i.tolist(), j.tolist(), strict=True))
+        out: list[tuple[int, int, int, int, int]] = []
+        for k, (doc, other) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("other").to_pylist(), strict=True)):
+            if first[k] == first[k + 1]:
+                continue
+            (a, a_fives, _), (b, b_fives, b_windows) = (
+                (h[begin[t] : begin[t] + sizes[t]], fives[begin[t] : begin[t] + sizes[t] - SHINGLE + 1], windows[begin[t] : begin[t] + sizes[t] - size + 1])
+                for t in (one[k], two[k])
+            )
+            for p, q, r, s in extended(a, b, seeds[first[k] : first[k + 1]], size, similarity, (a_fives, b_fives)):
+                name = int(b_windows[r : s - size + 1].view(np.int64).min())
+                out += [(doc, p, q - p, name, other), (other, r, s - r, name, other)]
+        columns = list(zip(*out, strict=True)) if out else [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "start", "words", "cluster", "first_doc"])
+
+
 def passages(rows: DataFrame, similarity: float = SIMILARITY, size: int = LEAST_WORDS) -> DataFrame:
     """(doc, start, words, cluster, first_doc): passages of at least ``size`` words that stand in an earlier document too."""
     return _passages(_batches(rows), rows, similarity, size)
@@ -568,56 +649,48 @@ def _passages(batches: DataFrame, rows: DataFrame, similarity: float, size: int)
     seeds = cut(near.groupBy("doc", "other").agg(F.collect_list(F.struct("low", "high", "off")).alias("seeds")), "seeds")
     drop(batches)
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple[int, int, int, int, int]] = []
-            words = []
-            for column in ("mine", "theirs"):
-                h, sizes = word_hashes(batch.column(column).to_pylist())
-                words.append(np.split(h, np.cumsum(sizes)[:-1]))
-            for doc, other, asked, a, b in zip(*(batch.column(c) for c in ("doc", "other", "seeds")), *words, strict=True):
-                at = {(s[end], s[end] + s["off"]) for s in asked.as_py() for end in ("low", "high")}
-                at = [(i, j) for i, j in at if i + size <= a.size and j + size <= b.size and np.array_equal(a[i : i + size], b[j : j + size])]
-                for p, q, r, s in extended(a, b, at, size, similarity):
-                    name = int(_stretches(b[r:s], size).view(np.int64).min())
-                    out += [(doc.as_py(), p, q - p, name, other.as_py()), (other.as_py(), r, s - r, name, other.as_py())]
-            columns = list(zip(*out, strict=True)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "start", "words", "cluster", "first_doc"])
+    def verify(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _verified(incoming, size, similarity)
 
     mine, theirs = (rows.select(F.col("key").alias(k), F.col("data").alias(d)) for k, d in (("doc", "mine"), ("other", "theirs")))
     both = seeds.join(mine, "doc").join(theirs, "other").select("doc", "other", "seeds", "mine", "theirs")
-    return both.mapInArrow(verify, "doc long, start long, words long, cluster long, first_doc long")
+    return both.mapInArrow(tidied(verify), "doc long, start long, words long, cluster long, first_doc long")
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document the runs of words that are removed and of those that are repeated but stay."""
     for batch in batches:
-        out = []
-        for doc, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            pieces = sorted(asked, key=lambda p: p["start"])
-            state = np.zeros(max(p["start"] + p["words"] for p in pieces) + 2, np.int8)
-            for removed in (False, True):
-                for p in pieces:
-                    if p["removed"] == removed:
-                        state[p["start"] + 1 : p["start"] + p["words"] + 1] = 1 + removed
-            edges = np.flatnonzero(state[1:] != state[:-1])
-            runs = [(int(a), int(b), bool(state[a + 1] == 2)) for a, b in zip(edges[:-1], edges[1:], strict=True) if state[a + 1]]
-            inside: list[list[dict]] = [[] for _ in runs]
-            begins = np.array([a for a, _, _ in runs])
-            for p in pieces:
-                k = int(np.searchsorted(begins, p["start"], "right")) - 1
-                while k < len(runs) and runs[k][0] < p["start"] + p["words"]:
-                    if runs[k][1] > p["start"] and runs[k][2] == p["removed"]:
-                        inside[k].append(p)
-                    k += 1
-            out += [
-                (doc, a, b - a, sum(p["pieces"] for p in ps), min(p["cluster"] for p in ps), min(p["first_doc"] for p in ps), removed)
-                for (a, b, removed), ps in zip(runs, inside, strict=True)
-            ]
-        columns = list(zip(*out, strict=True)) if out else [()] * 7
-        types = [pa.int64()] * 6 + [pa.bool_()]
-        names = ["doc", "start", "n_words", "n_paragraphs", "cluster", "first_doc", "removed"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+        if not batch.num_rows:
+            continue
+        asked = batch.column(1)
+        start, words, removed, count, cluster, first_doc = (x.to_numpy(zero_copy_only=False) for x in asked.flatten().flatten())
+        sizes = asked.value_lengths().to_numpy(zero_copy_only=False)
+        # All documents on one axis, with a gap between them.
+        shift = np.cumsum(np.maximum.reduceat(start + words, np.cumsum(sizes) - sizes) + 2)
+        shift = np.r_[0, shift[:-1]]
+        first = start + np.repeat(shift, sizes)
+        last = first + words
+        places, at = np.unique(np.r_[first, last], return_inverse=True)
+        change = np.zeros((2, places.size), np.int64)
+        np.add.at(change, (np.r_[removed, removed].astype(np.int64), at), np.repeat([1, -1], first.size))
+        kept, taken = change.cumsum(axis=1) > 0
+        state = np.where(taken, 2, kept)
+        edges = np.flatnonzero(np.r_[True, state[1:] != state[:-1]])
+        runs = np.flatnonzero(state[edges])
+        begin, stop, kind = places[edges[runs]], places[edges[runs + 1]], state[edges[runs]] == 2
+        # A piece covers the runs from the last that begins at or before it to the last that begins before its end.
+        low, high = np.searchsorted(begin, first, "right") - 1, np.searchsorted(begin, last, "left")
+        piece, at = np.repeat(np.arange(low.size), high - low), _expand(low, high - low)
+        inside = kind[at] == removed[piece]
+        piece, at = piece[inside], at[inside]
+        pieces = np.zeros(begin.size, np.int64)
+        clusters, firsts = (np.full(begin.size, np.iinfo(np.int64).max) for _ in range(2))
+        np.add.at(pieces, at, count[piece])
+        np.minimum.at(clusters, at, cluster[piece])
+        np.minimum.at(firsts, at, first_doc[piece])
+        doc = np.searchsorted(shift, begin, "right") - 1
+        columns = [batch.column(0).take(pa.array(doc)), *(pa.array(x) for x in (begin - shift[doc], stop - begin, pieces, clusters, firsts, kind))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc", "start", "n_words", "n_paragraphs", "cluster", "first_doc", "removed"])
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
