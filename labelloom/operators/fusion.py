@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from labelloom.functions.vectors import unit
 from labelloom.operators.pairs import pairwise
 from labelloom.operators.represent import simplex_grid
-from labelloom.operators.silhouette import add_sums, score_totals
+from labelloom.operators.silhouette import STEP_ROWS, marked, score_totals
 from labelloom.scratch import cut, settle
 
 
@@ -41,25 +41,52 @@ def weight_silhouettes(df: DataFrame, parts: list[str], steps: int = 5) -> DataF
         found = np.unique(np.concatenate([b["cluster"] for b in bs]))
         n, m = len(a["id"]), len(found)
         totals = np.zeros((len(grid), n, m))
+
+        def lengths(weights: list[float], has: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+            """1 / length of the weighted parts of each row, 0 for a row without any, and its own square."""
+            length = np.sqrt(sum(w * w * h for w, h in zip(weights, has)))
+            return np.where(length == 0, 0.0, 1 / np.where(length == 0, 1, length)), (length > 0).astype(np.float64)
+
+        from_a = [lengths(weights, a_has) for weights in grid]
         for b in bs:
             b_has = shares(b["v"])
-            grams = [a["v"][:, low:high] @ b["v"][:, low:high].T for low, high in zip(cuts[:-1], cuts[1:])]
-            code = np.searchsorted(found, b["cluster"])
-            same = a["id"][:, None] == b["id"][None, :] if np.array_equal(a["id"], b["id"]) else None
-            for cand, weights in enumerate(grid):
-                squares = [w * w for w in weights]
-                na = np.sqrt(sum(s * h for s, h in zip(squares, a_has)))
-                nb = np.sqrt(sum(s * h for s, h in zip(squares, b_has)))
-                left, right = 1 / np.where(na == 0, 1, na), 1 / np.where(nb == 0, 1, nb)
-                d2 = sum((s * g for s, g in zip(squares, grams) if s), np.zeros((n, len(code))))
-                d2 *= -2 * left[:, None]
-                d2 *= right[None, :]
-                d2 += (na > 0).astype(float)[:, None]
-                d2 += (nb > 0).astype(float)[None, :]
-                np.maximum(d2, 0.0, out=d2)
-                if same is not None:
-                    d2[same] = 0.0
-                add_sums(totals[cand], np.sqrt(d2, out=d2), code, np.ones(len(code)))
+            from_b = [lengths(weights, b_has) for weights in grid]
+            turned = [np.ascontiguousarray(b["v"][:, low:high].T) for low, high in zip(cuts[:-1], cuts[1:])]
+            present, marks = marked(np.searchsorted(found, b["cluster"]), np.ones(len(b["id"])))
+            own_block = np.array_equal(a["id"], b["id"])
+            whole = all(h.all() for h in a_has + b_has)
+            # Few rows at a time, so that their products stay in a core's cache.
+            for at in range(0, n, STEP_ROWS):
+                rows = slice(at, at + STEP_ROWS)
+                grams = [a["v"][rows, low:high] @ t for low, high, t in zip(cuts[:-1], cuts[1:], turned)]
+                same = a["id"][rows, None] == b["id"][None, :] if own_block else None
+                d2, part = np.empty_like(grams[0]), np.empty_like(grams[0])
+                if whole:
+                    # Every part has length one: the parts' squared distances, halved, only need mixing.
+                    for g in grams:
+                        np.maximum(np.subtract(1.0, g, out=g), 0.0, out=g)
+                        if same is not None:
+                            g[same] = 0.0
+                for cand, weights in enumerate(grid):
+                    used = [(w * w, g) for w, g in zip(weights, grams) if w]
+                    if whole and used:
+                        (first, g), *more = used
+                        np.multiply(g, 2 * first / sum(s for s, _ in used), out=d2)
+                        for s, g in more:
+                            d2 += np.multiply(g, 2 * s / sum(s for s, _ in used), out=part)
+                    else:
+                        (left, a_one), (right, b_one) = (x[rows] for x in from_a[cand]), from_b[cand]
+                        d2[...] = 0.0
+                        for s, g in used:
+                            d2 += np.multiply(g, s, out=part)
+                        d2 *= -2 * left[:, None]
+                        d2 *= right[None, :]
+                        d2 += a_one[:, None]
+                        d2 += b_one[None, :]
+                        np.maximum(d2, 0.0, out=d2)
+                        if same is not None:
+                            d2[same] = 0.0
+                    totals[cand][rows, present] += np.sqrt(d2, out=d2) @ marks
         for cand in range(len(grid)):
             yield {
                 "grp": np.zeros(n * m, dtype=np.int64),
