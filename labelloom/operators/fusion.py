@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.functions.vectors import unit
-from labelloom.operators.pairs import pairwise
+from labelloom.operators.pairs import block_pairs, pairwise
 from labelloom.operators.represent import simplex_grid
 from labelloom.operators.silhouette import STEP_ROWS, marked, score_totals
 from labelloom.scratch import cut, settle
@@ -36,27 +36,26 @@ def weight_silhouettes(df: DataFrame, parts: list[str], steps: int = 5) -> DataF
     def shares(x: np.ndarray) -> list[np.ndarray]:
         return [(x[:, low:high] != 0).any(1).astype(np.float64) for low, high in zip(cuts[:-1], cuts[1:])]
 
-    def sums(grp: int, a: dict, bs: list[dict]):
-        a_has = shares(a["v"])
-        found = np.unique(np.concatenate([b["cluster"] for b in bs]))
-        n, m = len(a["id"]), len(found)
-        totals = np.zeros((len(grid), n, m))
+    def lengths(weights: list[float], has: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """1 / length of the weighted parts of each row, 0 for a row without any, and its own square."""
+        length = np.sqrt(sum(w * w * h for w, h in zip(weights, has)))
+        return np.where(length == 0, 0.0, 1 / np.where(length == 0, 1, length)), (length > 0).astype(np.float64)
 
-        def lengths(weights: list[float], has: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-            """1 / length of the weighted parts of each row, 0 for a row without any, and its own square."""
-            length = np.sqrt(sum(w * w * h for w, h in zip(weights, has)))
-            return np.where(length == 0, 0.0, 1 / np.where(length == 0, 1, length)), (length > 0).astype(np.float64)
-
-        from_a = [lengths(weights, a_has) for weights in grid]
-        for b in bs:
-            b_has = shares(b["v"])
-            from_b = [lengths(weights, b_has) for weights in grid]
+    def sums(grp: int, left: list[dict], right: list[dict]):
+        sides = [left] if right is left else [left, right]
+        found = [np.unique(np.concatenate([b["cluster"] for b in side])) for side in sides]
+        marks = [[marked(np.searchsorted(found[i], b["cluster"]), np.ones(len(b["id"]))) for b in side] for i, side in enumerate(sides)]
+        has = [[shares(b["v"]) for b in side] for side in sides]
+        scales = [[[lengths(weights, h) for weights in grid] for h in one] for one in has]
+        totals = [[np.zeros((len(grid), len(b["id"]), len(found[-1 - i]))) for b in side] for i, side in enumerate(sides)]
+        for i, j in block_pairs(left, right):
+            a, b, own_block = left[i], right[j], right is left and i == j
+            (a_codes, a_marks), (b_codes, b_marks) = marks[0][i], marks[-1][j]
             turned = [np.ascontiguousarray(b["v"][:, low:high].T) for low, high in zip(cuts[:-1], cuts[1:])]
-            present, marks = marked(np.searchsorted(found, b["cluster"]), np.ones(len(b["id"])))
-            own_block = np.array_equal(a["id"], b["id"])
-            whole = all(h.all() for h in a_has + b_has)
+            whole = all(h.all() for h in has[0][i] + has[-1][j])
+            back = np.zeros((len(grid), len(b["id"]), len(a_codes)))
             # Few rows at a time, so that their products stay in a core's cache.
-            for at in range(0, n, STEP_ROWS):
+            for at in range(0, len(a["id"]), STEP_ROWS):
                 rows = slice(at, at + STEP_ROWS)
                 grams = [a["v"][rows, low:high] @ t for low, high, t in zip(cuts[:-1], cuts[1:], turned)]
                 same = a["id"][rows, None] == b["id"][None, :] if own_block else None
@@ -75,28 +74,37 @@ def weight_silhouettes(df: DataFrame, parts: list[str], steps: int = 5) -> DataF
                         for s, g in more:
                             d2 += np.multiply(g, 2 * s / sum(s for s, _ in used), out=part)
                     else:
-                        (left, a_one), (right, b_one) = (x[rows] for x in from_a[cand]), from_b[cand]
+                        (by_a, a_one), (by_b, b_one) = (x[rows] for x in scales[0][i][cand]), scales[-1][j][cand]
                         d2[...] = 0.0
                         for s, g in used:
                             d2 += np.multiply(g, s, out=part)
-                        d2 *= -2 * left[:, None]
-                        d2 *= right[None, :]
+                        d2 *= -2 * by_a[:, None]
+                        d2 *= by_b[None, :]
                         d2 += a_one[:, None]
                         d2 += b_one[None, :]
                         np.maximum(d2, 0.0, out=d2)
                         if same is not None:
                             d2[same] = 0.0
-                    totals[cand][rows, present] += np.sqrt(d2, out=d2) @ marks
-        for cand in range(len(grid)):
-            yield {
-                "grp": np.zeros(n * m, dtype=np.int64),
-                "cand": np.full(n * m, cand, dtype=np.int32),
-                "id": np.repeat(a["id"], m),
-                "weight": np.ones(n * m),
-                "own": np.repeat(a["cluster"], m),
-                "cluster": np.tile(found, n),
-                "total": totals[cand].ravel(),
-            }
+                    d = np.sqrt(d2, out=d2)
+                    totals[0][i][cand][rows, b_codes] += d @ b_marks
+                    if not own_block:
+                        back[cand] += d.T @ a_marks[rows]
+            totals[-1][j][:, :, a_codes] += back
+        for i, side in enumerate(sides):
+            others = found[-1 - i]
+            m = len(others)
+            for block, total in zip(side, totals[i]):
+                n = len(block["id"])
+                for cand in range(len(grid)):
+                    yield {
+                        "grp": np.zeros(n * m, dtype=np.int64),
+                        "cand": np.full(n * m, cand, dtype=np.int32),
+                        "id": np.repeat(block["id"], m),
+                        "weight": np.ones(n * m),
+                        "own": np.repeat(block["cluster"], m),
+                        "cluster": np.tile(others, n),
+                        "total": total[cand].ravel(),
+                    }
 
     sizes = settle(
         points.select("grp", "cluster", F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1))).alias("cand"))
@@ -108,7 +116,7 @@ def weight_silhouettes(df: DataFrame, parts: list[str], steps: int = 5) -> DataF
         pairwise(
             points, ["cluster"], sums,
             "grp bigint, cand int, id bigint, weight double, own bigint, cluster bigint, total double",
-            out_rows=max(1, sizes.count()),
+            out_rows=max(1, sizes.count()), both=True,
         )
         .groupBy("grp", "cand", "id", "weight", "own", "cluster")
         .agg(F.sum("total").alias("total"))

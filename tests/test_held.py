@@ -5,8 +5,10 @@ import tracemalloc
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from labelloom.functions.vectors import squared_distances
-from labelloom.operators import cells, fusion, lloyd, neighbors, silhouette, spectral
+from labelloom.operators import cells, fusion, lloyd, neighbors, pairs, silhouette, spectral
 from labelloom.scratch import cut
 
 
@@ -126,3 +128,23 @@ def test_one_task_finds_the_vectors_and_sends_no_steps(spark, monkeypatch):
     assert np.linalg.norm(a @ x - x * values, axis=0).max() <= 1.1e-6
     with pytest.raises(ValueError, match="not settled"):
         spectral.leading(edges, 3, tolerance=1e-12, rounds=1, degree=2)
+
+
+def test_each_pair_of_blocks_meets_once(spark, points, monkeypatch):
+    rng = np.random.default_rng(12)
+    x, labels = rng.normal(size=(90, 3)), rng.integers(0, 3, 90)
+    seen = spark.sparkContext.accumulator(0)
+
+    def kernel(grp, left, right):
+        for i, j in pairs.block_pairs(left, right):
+            seen.add(len(left[i]["id"]) * len(right[j]["id"]))
+            yield {"id": left[i]["id"][:1]}
+
+    rows = silhouette.labelled(points(x, labels)).select("grp", "id", "v")
+    pairs.pairwise(cut(rows), [], kernel, "id bigint", 8, 1, True).count()
+    sizes = [r["count"] for r in rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(12))).count().collect()]
+    # All 90 x 90 pairs would be 8,100.
+    assert seen.value == (90 * 90 + sum(s * s for s in sizes)) // 2
+    got = silhouette.silhouette_rows(silhouette.labelled(points(x, labels)), 8).toPandas().sort_values("id")
+    one = silhouette.silhouette_rows(silhouette.labelled(points(x, labels)), 1024).toPandas().sort_values("id")
+    assert got["s"].to_numpy() == pytest.approx(one["s"].to_numpy())
