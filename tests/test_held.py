@@ -148,3 +148,14 @@ def test_each_pair_of_blocks_meets_once(spark, points, monkeypatch):
     got = silhouette.silhouette_rows(silhouette.labelled(points(x, labels)), 8).toPandas().sort_values("id")
     one = silhouette.silhouette_rows(silhouette.labelled(points(x, labels)), 1024).toPandas().sort_values("id")
     assert got["s"].to_numpy() == pytest.approx(one["s"].to_numpy())
+
+
+def test_tasks_give_memory_back(points, monkeypatch, tmp_path):
+    given, real = tmp_path / "given", cells.give_back
+    monkeypatch.setattr(cells, "give_back", lambda: (real(), open(given, "a").write("x"))[0])
+    x = np.random.default_rng(13).normal(size=(120, 3))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    found = {(r.id, r.first_id) for r in neighbors.earliest_matches(points(x), 0.95, 16).collect()}
+    assert found == {(i, int(np.flatnonzero(x @ x[i] >= 0.95)[0])) for i in range(120) if (x[:i] @ x[i] >= 0.95).any()}
+    # Placing, finding targets and the tiles, each at least once.
+    assert len(given.read_text()) >= 3
